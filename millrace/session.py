@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,12 +53,41 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; the result keeps the partitioning of ``df``."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+class Bucketed(NamedTuple):
+    """A table in the shared folder, bucketed so that joins on its keys do not move it again."""
+
+    name: str
+    table: DataFrame
+
+    def release(self) -> None:
+        """Forget the table's name; its files stay."""
+        self.table.sparkSession.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+def write_bucketed(df: DataFrame, label: str, *keys: str) -> Bucketed:
+    """Write ``df`` bucketed by the keys, in as many buckets as shuffles have partitions.
+
+    This cuts the lineage and survives the loss of executors. Rows are moved to their bucket first,
+    so there is one file per bucket.
+    """
+    spark = df.sparkSession
+    buckets = shuffle_partitions(spark)
+    path = fresh_path(spark, label)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    (
+        df.repartition(buckets, *keys)
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("path", path)
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .saveAsTable(name)
+    )
+    return Bucketed(name, spark.table(name))
 
 
 def write_and_read(df: DataFrame, path: str) -> DataFrame:
