@@ -182,25 +182,22 @@ def read_snapshot(spark: SparkSession, base: str, iteration: int) -> DataFrame:
     return spark.read.parquet(snapshot_path(base, iteration))
 
 
-def personalized_ranks(
-    nodes: DataFrame,
-    edges: DataFrame,
+def iterate(
+    graph: Prepared,
     sources: Sequence[int],
     iterations: int,
     alpha: float = ALPHA,
     base: str | None = None,
     start: int = 0,
-    edges_per_split: int = EDGES_PER_SPLIT,
 ) -> DataFrame:
-    """``(id, rank)`` after ``iterations`` steps.
+    """The node table with the ranks after ``iterations`` steps.
 
     Every step writes its ranks below ``base`` (by default a new path in the shared folder), which
     cuts the lineage; a later call with ``start`` goes on from the snapshot of that number.
     """
     if not sources:
         raise ValueError("at least one source is needed")
-    spark = nodes.sparkSession
-    graph = prepare(nodes, edges, edges_per_split)
+    spark = graph.nodes.sparkSession
     base = base or fresh_path(spark, "ranks")
     if start == 0:
         ranks = write_and_read(initial_ranks(graph, sources), snapshot_path(base, 0))
@@ -208,8 +205,25 @@ def personalized_ranks(
         ranks = read_snapshot(spark, base, start)
     for iteration in range(start, iterations):
         ranks = write_and_read(step(graph, ranks, sources, alpha), snapshot_path(base, iteration + 1))
-    graph.release()
-    return ranks.select("id", "rank")
+    return ranks
+
+
+def personalized_ranks(
+    nodes: DataFrame,
+    edges: DataFrame,
+    sources: Sequence[int],
+    iterations: int,
+    alpha: float = ALPHA,
+    base: str | None = None,
+    start: int = 0,
+    edges_per_split: int = EDGES_PER_SPLIT,
+) -> DataFrame:
+    """``(id, rank)`` after ``iterations`` steps; see ``iterate`` for ``base`` and ``start``."""
+    graph = prepare(nodes, edges, edges_per_split)
+    try:
+        return iterate(graph, sources, iterations, alpha, base, start).select("id", "rank")
+    finally:
+        graph.release()
 
 
 def arriving_log_mass(graph: Prepared, ranks: DataFrame) -> DataFrame:
