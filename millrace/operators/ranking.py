@@ -241,6 +241,11 @@ def top_nodes(ranks: DataFrame, n: int = 100, digits: int | None = None) -> Data
     return ranks.select("id", rank.alias("rank")).orderBy(F.desc("rank"), "id").limit(n)
 
 
+def log_ranks(ranks: DataFrame) -> DataFrame:
+    """``(id, log_rank)`` of the nodes that have any rank."""
+    return ranks.where("rank > 0").select("id", F.log("rank").alias("log_rank"))
+
+
 def format_ranks(ranks: DataFrame) -> DataFrame:
     """``(rank, id)`` with the rank as text of five decimals."""
     # Fixed value: the printed form.

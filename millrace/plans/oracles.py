@@ -20,7 +20,7 @@ def _words(text: str) -> str:
 
 LINES = "lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)"
 LINE_TOKENS = f"{LINES}, tokens AS (SELECT doc_id, {_words('line')} AS tk FROM lines)"
-LINE_WORDS = f"{LINE_TOKENS}, leading AS (SELECT len(tk) AS n_raw, list_distinct(tk[1:40]) AS ws FROM tokens)"
+LINE_WORDS = f"{LINE_TOKENS}, led AS (SELECT len(tk) AS n_raw, list_distinct(tk[1:40]) AS ws FROM tokens)"
 DOC_WORDS = f"occurrences AS (SELECT doc_id, unnest({_words('text')}) AS term FROM documents)"
 POSTINGS = f"{DOC_WORDS}, postings AS (SELECT term, doc_id, count(*) AS tf FROM occurrences GROUP BY ALL)"
 BIGRAMS = (
@@ -32,8 +32,8 @@ BIGRAMS = (
 
 def _pmi(where: str) -> str:
     return (
-        f"WITH {LINE_WORDS}, uni AS (SELECT w, count(*) AS n FROM (SELECT unnest(ws) AS w FROM leading {where}) GROUP BY w), "
-        "firsts AS (SELECT unnest(ws) AS x, ws FROM leading), "
+        f"WITH {LINE_WORDS}, uni AS (SELECT w, count(*) AS n FROM (SELECT unnest(ws) AS w FROM led {where}) GROUP BY w), "
+        "firsts AS (SELECT unnest(ws) AS x, ws FROM led), "
         "pairs AS (SELECT x, y, count(*) AS n FROM (SELECT x, unnest(ws) AS y FROM firsts) WHERE x <> y GROUP BY ALL "
         f"HAVING count(*) >= {catalog.PMI_THRESHOLD}) "
         "SELECT x, y, round(log10(p.n::DOUBLE * (SELECT count(*) FROM lines) / (a.n::DOUBLE * b.n)), 9) AS pmi, p.n AS n "
@@ -48,7 +48,7 @@ def text_oracles() -> dict[str, str]:
         "lines AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS line_no, unnest(l) AS line FROM cut) "
         f"SELECT doc_id, line_no::INTEGER AS line_no, len({_words('line')})::INTEGER AS n_tokens FROM lines",
         "word_count": f"WITH {DOC_WORDS} SELECT term AS word, count(*) AS n FROM occurrences GROUP BY term",
-        "line_frequency": f"WITH {LINE_WORDS} SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM leading) GROUP BY word",
+        "line_frequency": f"WITH {LINE_WORDS} SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM led) GROUP BY word",
         "successor_count": f"WITH {BIGRAMS} SELECT \"right\" AS successor, n FROM bigrams WHERE \"left\" = '{catalog.WORD}' AND n > 1",
         "bigram_counts": f"WITH {BIGRAMS} SELECT * FROM bigrams",
         "bigram_marginals": f"WITH {BIGRAMS} SELECT * FROM totals",
@@ -109,9 +109,9 @@ def retrieval_oracles() -> dict[str, str]:
         "inverted_index_segments": _lists(64, "doc_id", "postings"),
         "gap_encode": _lists(64, "gap", "gaps"),
         "gap_decode": f"WITH {POSTINGS} SELECT term, doc_id, tf::INTEGER AS tf FROM postings",
-        "matching_all": f"WITH {POSTINGS} SELECT doc_id FROM postings WHERE term = 'water' "
-        "INTERSECT SELECT doc_id FROM postings WHERE term = 'fire'",
-        "matching_any": f"WITH {POSTINGS} SELECT DISTINCT doc_id FROM postings WHERE term IN ('water', 'fire')",
+        "matching_all": f"WITH {POSTINGS} SELECT doc_id FROM postings WHERE term = '{catalog.ALL_OF[0]}' "
+        f"INTERSECT SELECT doc_id FROM postings WHERE term = '{catalog.ALL_OF[1]}'",
+        "matching_any": f"WITH {POSTINGS} SELECT DISTINCT doc_id FROM postings WHERE term IN {catalog.ANY_OF}",
         "boolean_retrieval": docs + either,
         "snippets": f"SELECT doc_id, {SNIPPET} FROM documents",
     }
@@ -177,10 +177,11 @@ def graph_oracles() -> dict[str, str]:
         "missing_targets": f"WITH {GRAPH} SELECT dst, count(*) AS messages FROM edges "
         f"WHERE dst NOT IN (SELECT id FROM nodes WHERE id % {len(KINDS)} <> {SUPPLIER}) GROUP BY dst",
         "personalized_pagerank": f"{many} SELECT id, round(rank, {digits}) AS rank FROM r{steps}",
-        "single_source_pagerank": f"{_ranks(sources[:1], steps)} SELECT id, round(rank, {digits}) AS rank FROM r{steps}",
+        "single_source_pagerank": f"{_ranks(sources[:1], steps)} "
+        f"SELECT id, round(ln(rank), {catalog.LOG_DIGITS}) AS log_rank FROM r{steps} WHERE rank > 0",
         "top_ranked_nodes": f"{many} {top} 100",
         "printed_ranks": f"{many} SELECT printf('%.5f', rank) AS rank, id FROM ({top} 20)",
-        "log_mass": f"{_ranks(sources, 1)} SELECT dst AS id, round(ln(sum(rank / deg)), 9) AS log_mass "
+        "log_mass": f"{_ranks(sources, 1)} SELECT dst AS id, round(ln(sum(rank / deg)), {catalog.LOG_DIGITS}) AS log_mass "
         "FROM edges JOIN r1 ON src = id WHERE rank > 0 GROUP BY dst",
     }
 
@@ -211,7 +212,7 @@ def _training(model: str, epochs: int) -> str:
 
 
 def classification_oracles() -> dict[str, str]:
-    epochs, digits = catalog.EPOCHS, catalog.RANK_DIGITS
+    epochs, digits = catalog.EPOCHS, catalog.SCORE_DIGITS
     one, several = _training("'all'", epochs), _training("lang", epochs)
     weights = f"SELECT model_id, feature, round(weight, {digits}) AS weight FROM w{epochs}"
     # Occurrences by feature first: each document meets every model.
@@ -261,9 +262,9 @@ def arrival_oracles() -> dict[str, str]:
     minutes = 60
     counted = f"WITH {_regional()}, {_windowed('regional', minutes)}"
     trends = (
-        f"{counted}, both AS (SELECT window_end, key, n AS cur, 0 AS prev FROM counts UNION ALL "
+        f"{counted}, merged AS (SELECT window_end, key, n AS cur, 0 AS prev FROM counts UNION ALL "
         f"SELECT window_end + INTERVAL {minutes} MINUTE, key, 0, n FROM counts), "
-        "trends AS (SELECT key, sum(cur)::BIGINT AS cur, epoch_ms(window_end) AS ts, sum(prev)::BIGINT AS prev FROM both "
+        "trends AS (SELECT key, sum(cur)::BIGINT AS cur, epoch_ms(window_end) AS ts, sum(prev)::BIGINT AS prev FROM merged "
         "WHERE window_end <= (SELECT max(window_end) FROM counts) GROUP BY window_end, key)"
     )
     titles = " ".join(f"WHEN '{r.name}' THEN '{r.title}'" for r in arrivals.EVENT_REGIONS)
