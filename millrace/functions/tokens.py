@@ -26,6 +26,9 @@ def leading_distinct(tokens: Column, limit: int = MAX_LINE_TOKENS) -> Column:
 
 
 def bigram_array(tokens: Column) -> Column:
-    """Neighbouring words as an array of ``(left, right)`` structs; empty for fewer than two words."""
+    """Neighbouring words as an array of ``(left, right)`` structs; empty for fewer than two words.
+
+    ``tokens`` is used several times, so it should be a column and not the expression that makes it.
+    """
     steps = F.greatest(F.size(tokens) - 1, F.lit(0))
     return F.arrays_zip(F.slice(tokens, 1, steps).alias("left"), F.slice(tokens, 2, steps).alias("right"))

@@ -13,8 +13,12 @@ MAX_STRIPE = 1_000_000
 
 
 def words(texts: DataFrame, text: str, *keep: str) -> DataFrame:
-    """One row per word occurrence with the ``keep`` columns."""
-    return texts.select(*keep, F.explode(tokenize(F.col(text))).alias("word"))
+    """One row per word occurrence with the ``keep`` columns.
+
+    The words are exploded from the expression itself. Exploding a column of them would make the
+    optimizer add a filter for empty arrays below it, which cuts every text into words once more.
+    """
+    return texts.select(*keep, F.explode(tokenize(F.col(text))).alias("word")).where(F.col("word").isNotNull())
 
 
 def word_count(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -32,8 +36,13 @@ def line_frequency(lines: DataFrame, limit: int) -> DataFrame:
 
 
 def bigrams(lines: DataFrame) -> DataFrame:
-    """One row per pair of neighbouring words of a line."""
-    return lines.select(F.inline(bigram_array(tokenize(F.col("line")))))
+    """One row ``(left, right)`` per pair of neighbouring words of a line.
+
+    Words are never null. Saying so here keeps the joins below from filtering one use of the counts
+    and not another, so that all uses read the same shuffle.
+    """
+    pairs = lines.select(tokenize(F.col("line")).alias("_words")).select(F.inline(bigram_array(F.col("_words"))))
+    return pairs.where(F.col("left").isNotNull() & F.col("right").isNotNull())
 
 
 def successor_count(lines: DataFrame, word: str, min_count: int = 2) -> DataFrame:
@@ -88,7 +97,7 @@ def stripes(
     return (
         pairs.select(key, segment.alias("segment"), F.struct(F.col(entry), value.alias("value")).alias("_entry"))
         .groupBy(key, "segment")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list("_entry"))).alias(name))
+        .agg(F.map_from_entries(F.sort_array(F.collect_list("_entry"))).alias(name))
     )
 
 

@@ -38,7 +38,7 @@ def posting_lists(postings: DataFrame, max_postings: int = MAX_POSTINGS) -> Data
         .groupBy("term", segment.cast("long").alias("segment"))
         .agg(
             F.max("_df").alias("_df"),
-            F.array_sort(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"),
+            F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"),
         )
         .select("term", "segment", F.coalesce("_df", F.size("postings")).cast("long").alias("df"), "postings")
     )

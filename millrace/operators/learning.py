@@ -26,8 +26,10 @@ ENSEMBLE_METHODS = ("average", "vote")
 
 def feature_counts(instances: DataFrame) -> DataFrame:
     """``(doc_id, model_id, label, feature, n)``."""
-    occurrences = instances.select("doc_id", "model_id", "label", F.explode("features").alias("feature"))
-    return occurrences.groupBy("doc_id", "model_id", "label", "feature").agg(F.count("*").alias("n"))
+    # The outer form, because the plain one would add a filter below that computes the features once more.
+    occurrences = instances.select("doc_id", "model_id", "label", F.explode_outer("features").alias("feature"))
+    known = occurrences.where(F.col("feature").isNotNull())
+    return known.groupBy("doc_id", "model_id", "label", "feature").agg(F.count("*").alias("n"))
 
 
 def train_batch(instances: DataFrame, epochs: int = 1, delta: float = DELTA, average: bool = True) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scores import NEGATIVE, POSITIVE
 from millrace.operators import learning
+from millrace.plans.text import documents
 from millrace.sources.features import is_positive, text_instances
 from millrace.sources.tables import read_table
 
@@ -16,8 +17,8 @@ def labelled_documents(spark: SparkSession, directory: str) -> DataFrame:
     labels = read_table(spark, directory, "labels").select(
         "doc_id", F.when(F.col("quality") == 0, POSITIVE).otherwise(NEGATIVE).alias("label")
     )
-    documents = read_table(spark, directory, "documents").select("doc_id", "text", F.col("lang").alias("model_id"))
-    return text_instances(documents.join(labels, "doc_id"), "model_id", "label")
+    texts = documents(spark, directory).withColumnRenamed("lang", "model_id")
+    return text_instances(texts.join(labels, "doc_id"), "model_id", "label")
 
 
 def training_set(spark: SparkSession, directory: str, per_language: bool = False) -> DataFrame:

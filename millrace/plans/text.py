@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from millrace.functions.tokens import MAX_LINE_TOKENS, tokenize
 from millrace.operators import counts, pmi
-from millrace.sources.tables import read_table
+from millrace.sources.tables import read_table, spread_small
 from millrace.sources.text import explode_lines
 
 
 def documents(spark: SparkSession, directory: str) -> DataFrame:
-    return read_table(spark, directory, "documents")
+    """The documents, dealt out to all cores if they are few."""
+    return spread_small(read_table(spark, directory, "documents").select("doc_id", "text", "lang"))
 
 
 def document_lines(spark: SparkSession, directory: str) -> DataFrame:

@@ -69,3 +69,12 @@ def to_tbl_layout(df: DataFrame, name: str) -> DataFrame:
             for field in tbl_schema(name).fields
         ]
     )
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer tasks than there are cores; a larger scan stays as it is.
+
+    Meant for jobs that turn each row into many: a small file would keep all of that in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
