@@ -96,8 +96,10 @@ def train_online(
         "features",
     )
     placed = dealt.repartition("model_id", "shard").sortWithinPartitions("model_id", "shard", "position")
+    feature = instances.schema["features"].dataType.elementType.simpleString()
+    model = instances.schema["model_id"].dataType.simpleString()
     trained = placed.select("model_id", "shard", "label", "features").mapInPandas(
-        _sequential_pass(delta), "model_id string, shard int, feature string, weight double"
+        _sequential_pass(delta), f"model_id {model}, shard int, feature {feature}, weight double"
     )
     filled = dealt.groupBy("model_id").agg(F.count_distinct("shard").alias("shards"))
     summed = trained.groupBy("model_id", "feature").agg(F.sum("weight").alias("total"))
