@@ -47,8 +47,9 @@ def matches(tokens: Column, found: Column) -> Column:
 def retrieve(queries: DataFrame, postings: DataFrame) -> DataFrame:
     """``(qid, doc_id)`` of the documents each query matches.
 
-    ``queries`` has ``(qid, query)`` and ``postings`` at least ``(term, doc_id)``. Both operators are
-    monotone, so a document with none of the terms cannot match and the join on terms loses nothing.
+    ``queries`` has ``(qid, query)`` and ``postings`` at least ``(term, doc_id)``, where a pair may occur
+    several times. Both operators are monotone, so a document with none of the terms cannot match and
+    the join on terms loses nothing.
     """
     parsed = queries.select("qid", _checked(F.col("query")).alias("tokens"))
     wanted = parsed.select("qid", "tokens", F.explode(F.array_distinct("tokens")).alias("term")).where(

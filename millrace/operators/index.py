@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from millrace.operators import skew
 from millrace.operators.counts import words
 
-# A posting list is cut into segments of this many consecutive document ids once it is longer.
+# A posting list is cut into segments of this many consecutive document ids once it is longer. So are the
+# lists of the MAX_CUT_TERMS most frequent terms: the list of these terms that is broadcast stays below
+# 100 MB, and a term beyond it has at most that fraction of all postings.
 MAX_POSTINGS = 65_536
+MAX_CUT_TERMS = 500_000
 
 
 def term_frequency(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -27,10 +30,10 @@ def posting_lists(postings: DataFrame, max_postings: int = MAX_POSTINGS) -> Data
     """``(term, segment, df, postings)`` with postings ``(doc_id, tf)`` ascending by document.
 
     A term of at most ``max_postings`` documents is one row with segment 0. A longer list is cut by
-    document id, segment s holding the ids from s * max_postings on, so no row holds more than
-    ``max_postings`` entries and the segments in order give the whole list.
+    document id, segment s holding the ids from s * max_postings on, so a segment holds
+    ``max_postings`` entries at most and the segments in order give the whole list.
     """
-    hot = skew.hot_keys(document_frequency(postings), "term", "df", max_postings)
+    hot = skew.hot_keys(document_frequency(postings), "term", "df", max_postings, MAX_CUT_TERMS)
     hot = hot.select(F.col("term").alias("_hot_term"), F.col("df").alias("_df"))
     segment = F.when(F.col("_df").isNotNull(), F.floor(F.col("doc_id") / max_postings)).otherwise(0)
     return (

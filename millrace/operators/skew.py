@@ -25,10 +25,12 @@ def split_count(rows: Column, rows_per_split: int) -> Column:
     return F.greatest(F.ceil(rows / F.lit(rows_per_split)), F.lit(1)).cast("int")
 
 
-def hot_keys(weights: DataFrame, key: str, rows: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
-    """``(key, rows)`` of the keys above one split: the largest ``MAX_HOT_KEYS`` of them at most."""
+def hot_keys(
+    weights: DataFrame, key: str, rows: str, rows_per_split: int = ROWS_PER_SPLIT, limit: int = MAX_HOT_KEYS
+) -> DataFrame:
+    """``(key, rows)`` of the keys above one split: the largest ``limit`` of them at most."""
     hot = weights.where((F.col(rows) > rows_per_split) & (F.octet_length(F.col(key)) <= MAX_KEY_BYTES))
-    return hot.select(key, rows).orderBy(F.desc(rows), key).limit(MAX_HOT_KEYS)
+    return hot.select(key, rows).orderBy(F.desc(rows), key).limit(limit)
 
 
 def with_splits(df: DataFrame, key: str, hot: DataFrame, rows: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:

@@ -154,6 +154,7 @@ def retrieval_jobs() -> dict[str, Job]:
         "gap_decode": lambda s, d: index.gap_decode(retrieval.inverted_index(s, d, max_postings=64, gaps=True)),
         "matching_all": lambda s, d: retrieval.matching_all(s, d, *ALL_OF),
         "matching_any": lambda s, d: retrieval.matching_any(s, d, *ANY_OF),
+        "indexed_retrieval": lambda s, d: retrieval.indexed_retrieval(s, d, QUERIES),
         "boolean_retrieval": lambda s, d: retrieval.boolean_retrieval(s, d, QUERIES),
         "snippets": lambda s, d: text.documents(s, d).select("doc_id", boolean.snippet(F.col("text")).alias("line")),
     }

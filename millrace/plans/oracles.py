@@ -112,6 +112,7 @@ def retrieval_oracles() -> dict[str, str]:
         "matching_all": f"WITH {POSTINGS} SELECT doc_id FROM postings WHERE term = '{catalog.ALL_OF[0]}' "
         f"INTERSECT SELECT doc_id FROM postings WHERE term = '{catalog.ALL_OF[1]}'",
         "matching_any": f"WITH {POSTINGS} SELECT DISTINCT doc_id FROM postings WHERE term IN {catalog.ANY_OF}",
+        "indexed_retrieval": docs + either,
         "boolean_retrieval": docs + either,
         "snippets": f"SELECT doc_id, {SNIPPET} FROM documents",
     }

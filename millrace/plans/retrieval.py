@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import boolean, index
+from millrace.operators.counts import words
 from millrace.plans.text import documents
+from millrace.session import fresh_path, shuffle_partitions
+from millrace.sinks.files import read_terms, write_index
 
 
 def term_frequency(spark: SparkSession, directory: str) -> DataFrame:
@@ -37,13 +40,25 @@ def boolean_retrieval(
 ) -> DataFrame:
     """``(qid, doc_id, line)`` of the documents that match each query, with the beginning of their text.
 
-    ``postings`` is an index built before; without it the documents are indexed.
+    ``postings`` is an index built before. Without it the words of the documents are looked up as they
+    are read: only the occurrences of the queries' terms are kept, and nothing else is grouped.
     """
     table = queries if isinstance(queries, DataFrame) else query_table(spark, queries)
-    found = boolean.retrieve(table, term_frequency(spark, directory) if postings is None else postings)
+    if postings is None:
+        postings = words(documents(spark, directory), "text", "doc_id").withColumnRenamed("word", "term")
+    found = boolean.retrieve(table, postings)
     return boolean.with_snippets(found, documents(spark, directory))
 
 
+def indexed_retrieval(spark: SparkSession, directory: str, queries: Sequence[str]) -> DataFrame:
+    """Write the index of the documents, and answer the queries from the posting lists of their terms."""
+    path = fresh_path(spark, "index")
+    write_index(inverted_index(spark, directory), path, shuffle_partitions(spark))
+    terms = sorted({term for query in queries for term in query.split()} - {boolean.AND, boolean.OR})
+    postings = index.flatten(read_terms(spark.read.parquet(path), terms))
+    return boolean_retrieval(spark, directory, queries, postings)
+
+
 def matching_all(spark: SparkSession, directory: str, left: str, right: str) -> DataFrame:
     """``(doc_id)`` of the documents with both terms, as the intersection of their postings."""
     postings = term_frequency(spark, directory)

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 def parse_adjacency(lines: DataFrame, line: str = "line") -> DataFrame:
     """``(id, neighbours)`` of lines ``id n1 n2 ...``; a lone id has no neighbours. Blank lines are skipped."""
-    field = F.split(F.trim(F.regexp_replace(F.col(line), r"\s+", " ")), " ")
-    records = lines.where(F.trim(F.regexp_replace(F.col(line), r"\s+", " ")) != "").select(field.alias("_f"))
+    fields = F.regexp_extract_all(F.col(line), F.lit(r"\S+"), F.lit(0))
+    records = lines.select(fields.alias("_f")).where(F.size("_f") > 0)
     return records.select(
         F.get("_f", F.lit(0)).cast("long").alias("id"),
         F.slice("_f", 2, F.size("_f")).cast("array<bigint>").alias("neighbours"),

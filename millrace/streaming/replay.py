@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,17 +58,29 @@ def run_appending(result: DataFrame, sink: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def run_updating(result: DataFrame, sink: str, checkpoint: str) -> None:
-    """Process what there is and write the windows each batch has changed, one directory per batch.
+def run_batches(
+    result: DataFrame,
+    outputs: dict[str, Callable[[DataFrame], DataFrame]],
+    checkpoint: str,
+    mode: str = "append",
+) -> None:
+    """Process what there is and write several tables made of each batch of the result.
 
-    Writing a batch again after a failure replaces its directory, so the sink stays exact.
+    ``outputs`` maps a path to what is written there. The batch is computed once for all of them. Each
+    output has one directory per batch; writing a batch again after a failure replaces it, so the
+    tables stay exact.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        batch.persist()
+        try:
+            for path, made_of in outputs.items():
+                made_of(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     query = (
-        result.writeStream.outputMode("update")
+        result.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
@@ -75,6 +89,11 @@ def run_updating(result: DataFrame, sink: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def run_updating(result: DataFrame, sink: str, checkpoint: str) -> None:
+    """Process what there is and write the windows each batch has changed, one directory per batch."""
+    run_batches(result, {sink: lambda batch: batch}, checkpoint, "update")
+
+
 def latest(spark: SparkSession, sink: str, *keys: str) -> DataFrame:
     """The last written state of every key of an updating sink."""
     written = spark.read.parquet(sink)

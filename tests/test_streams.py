@@ -94,6 +94,21 @@ def test_appending_writes_the_finished_windows(spark, minutes, tmp_path):
     assert got == {k: cur for k, (cur, _) in WANT_TREND.items() if cur}
 
 
+def test_finished_windows_as_rows_and_as_alerts(spark, minutes, tmp_path):
+    where, _ = minutes
+    with open(f"{where}/part-2015-12-01-0240.csv", "w") as out:
+        out.write(trip("yellow", GOLDMAN) + "\n")
+    lines = replay.minute_lines(spark, where, "2015-12-01 00:00:00", files_per_batch=100)
+    trend = windows.trend(windows.taxi_arrivals(windows.with_event_time(lines, delay="0 seconds")))
+    table, alarms = str(tmp_path / "rows"), str(tmp_path / "alerts")
+    replay.run_batches(trend, {table: windows.trend_rows, alarms: windows.alerts}, str(tmp_path / "checkpoint"))
+    ends = {(r.key, r.ts): (r.cur, r.prev) for r in spark.read.parquet(table).collect()}
+    zero = int((START - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
+    got = {(key, (ts - zero) // 60000): counts for (key, ts), counts in ends.items()}
+    assert {k: v for k, v in got.items() if k[1] <= 60} == WANT_TREND
+    assert sorted((r.cur, r.prev) for r in spark.read.parquet(alarms).collect()) == [(12, 5), (25, 4)]
+
+
 def test_a_file_is_no_directory(spark, minutes, tmp_path):
     where, _ = minutes
     lines = replay.minute_lines(spark, f"{where}/part-2015-12-01-0000.csv", "2015-12-01 00:00:00")
