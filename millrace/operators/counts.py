@@ -62,24 +62,28 @@ def bigram_counts(lines: DataFrame) -> DataFrame:
 
 
 def left_marginals(counts: DataFrame) -> DataFrame:
-    """``(left, total, partners)``: occurrences as left word and number of different right words."""
-    return counts.groupBy("left").agg(F.sum("n").alias("total"), F.count("*").alias("partners"))
+    """``(left, total, partners)``: occurrences as left word and number of different right words.
+
+    The partners are counted by their ``n``, which is never 0, because a plain count would leave that
+    column out of the shuffle below and so not share it with the other uses of the counts.
+    """
+    return counts.groupBy("left").agg(F.sum("n").alias("total"), F.count_if(F.col("n") > 0).alias("partners"))
 
 
-def _with_totals(counts: DataFrame, marginals: DataFrame) -> DataFrame:
+def _with_totals(counts: DataFrame, marginals: DataFrame, rows_per_split: int) -> DataFrame:
     """Attach ``total`` and ``partners`` of the left word to every pair; frequent left words are spread."""
-    hot = skew.hot_keys(marginals, "left", "partners")
-    return skew.join_spread(counts, marginals, "left", "right", hot, "partners")
+    hot = skew.hot_keys(marginals, "left", "partners", rows_per_split)
+    return skew.join_spread(counts, marginals, "left", "right", hot, "partners", rows_per_split)
 
 
-def relative_frequency_pairs(lines: DataFrame) -> DataFrame:
+def relative_frequency_pairs(lines: DataFrame, rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
     """``(left, right, value)``: share of the right word after the left one, and the marginal rows.
 
     A marginal row has ``*`` as right word and the number of pairs the left word starts as value.
     """
     counts = bigram_counts(lines)
     marginals = left_marginals(counts)
-    shares = _with_totals(counts, marginals).select("left", "right", (F.col("n") / F.col("total")).alias("value"))
+    shares = _with_totals(counts, marginals, rows_per_split).select("left", "right", (F.col("n") / F.col("total")).alias("value"))
     return shares.unionByName(
         marginals.select("left", F.lit(MARGINAL).alias("right"), F.col("total").cast("double").alias("value"))
     )
@@ -101,13 +105,15 @@ def stripes(
     )
 
 
-def relative_frequency_stripes(lines: DataFrame, max_stripe: int = MAX_STRIPE) -> DataFrame:
+def relative_frequency_stripes(
+    lines: DataFrame, max_stripe: int = MAX_STRIPE, rows_per_split: int = skew.ROWS_PER_SPLIT
+) -> DataFrame:
     """``(left, segment, stripe)``: map from right word to its share.
 
     A word with more than about ``max_stripe`` different right words has several segments.
     """
     counts = bigram_counts(lines)
-    shares = _with_totals(counts, left_marginals(counts))
+    shares = _with_totals(counts, left_marginals(counts), rows_per_split)
     return stripes(
         shares, "left", "right", F.col("n") / F.col("total"), skew.split_count(F.col("partners"), max_stripe)
     )

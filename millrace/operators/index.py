@@ -22,8 +22,12 @@ def term_frequency(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:
-    """``(term, df)``."""
-    return postings.groupBy("term").agg(F.count("*").alias("df"))
+    """``(term, df)``.
+
+    The postings are counted by their ``tf``, which is never 0, because a plain count would leave that
+    column out of the shuffle below and so not share it with the posting lists.
+    """
+    return postings.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
 
 
 def posting_lists(postings: DataFrame, max_postings: int = MAX_POSTINGS) -> DataFrame:

@@ -29,7 +29,10 @@ def hot_keys(
     weights: DataFrame, key: str, rows: str, rows_per_split: int = ROWS_PER_SPLIT, limit: int = MAX_HOT_KEYS
 ) -> DataFrame:
     """``(key, rows)`` of the keys above one split: the largest ``limit`` of them at most."""
-    hot = weights.where((F.col(rows) > rows_per_split) & (F.octet_length(F.col(key)) <= MAX_KEY_BYTES))
+    # One condition on both columns: a filter on the key alone would be pushed below the aggregation that
+    # made the weights, which then could not share its shuffle with the other uses of them.
+    listed = F.when(F.octet_length(F.col(key)) <= MAX_KEY_BYTES, F.col(rows))
+    hot = weights.where(listed > rows_per_split)
     return hot.select(key, rows).orderBy(F.desc(rows), key).limit(limit)
 
 

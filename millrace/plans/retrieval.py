@@ -31,8 +31,13 @@ def inverted_index(
 
 
 def query_table(spark: SparkSession, queries: Sequence[str]) -> DataFrame:
-    """``(qid, query)`` of postfix queries, numbered in order."""
-    return spark.createDataFrame(list(enumerate(queries)), "qid int, query string")
+    """``(qid, query)`` of postfix queries, numbered in order.
+
+    As literals they have a known size, so the planner can broadcast them; rows made in Python would
+    count as a table of unknown size, and it would rather broadcast or move the postings.
+    """
+    literals = [F.struct(F.lit(qid).alias("qid"), F.lit(query).alias("query")) for qid, query in enumerate(queries)]
+    return spark.range(1).select(F.inline(F.array(*literals)))
 
 
 def boolean_retrieval(

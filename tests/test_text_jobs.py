@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import brute
 from millrace.operators import counts, pmi, skew
+from millrace.plans import retrieval, text
 
 LINES = [
     " ".join(f"w{chr(97 + k % 26)}{'x' * (k // 26)}" for k in range(45)),
@@ -42,9 +43,10 @@ def expected_shares():
     return {pair: n / totals[pair[0]] for pair, n in pairs.items()}, totals
 
 
-def test_relative_frequency_pairs(lines, rows):
+@pytest.mark.parametrize("rows_per_split", [skew.ROWS_PER_SPLIT, 2])
+def test_relative_frequency_pairs(lines, rows, rows_per_split):
     shares, totals = expected_shares()
-    got = {(a, b): v for a, b, v in rows(counts.relative_frequency_pairs(lines))}
+    got = {(a, b): v for a, b, v in rows(counts.relative_frequency_pairs(lines, rows_per_split))}
     assert got == {**shares, **{(w, "*"): float(n) for w, n in totals.items()}}
 
 
@@ -86,6 +88,21 @@ def test_pmi_pairs_and_stripes(lines, marginals, threshold):
         assert flat == pairs
 
 
+def test_frequent_words_are_spread(lines):
+    want = brute.pmi(LINES, 1)
+    pairs = {(r.x, r.y): (r.pmi, r.n) for r in pmi.pmi_pairs(lines, rows_per_split=5).collect()}
+    assert pairs.keys() == want.keys()
+    assert all(pairs[k][1] == want[k][1] and abs(pairs[k][0] - want[k][0]) < 1e-12 for k in want)
+
+
+@pytest.mark.parametrize("job", [text.bigram_relfreq_pairs, retrieval.inverted_index])
+def test_texts_are_read_and_counted_once(spark, small, job):
+    df = job(spark, small)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and final.count("regexp_extract_all") == 1
+
+
 def test_unknown_marginals(lines):
     with pytest.raises(ValueError):
         pmi.pmi_pairs(lines, marginals="some")
