@@ -28,24 +28,24 @@ MAX_HUBS = 100_000
 class Prepared(NamedTuple):
     """What stays the same in all steps, written once and bucketed by what the steps join on.
 
-    ``nodes`` has ``(id, degree, splits)``. ``shares`` has ``(src, split, dst, share)``: the part of
-    src's rank that goes to dst, a node of many edges being dealt to ``splits`` groups.
+    ``nodes`` has ``(id, degree, splits)``. ``links`` has ``(src, split, dst, n)`` with the number of
+    edges from src to dst, the links of a node of many edges being dealt to ``splits`` groups.
     """
 
     node_table: Bucketed
-    share_table: Bucketed
+    link_table: Bucketed
 
     @property
     def nodes(self) -> DataFrame:
         return self.node_table.table
 
     @property
-    def shares(self) -> DataFrame:
-        return self.share_table.table
+    def links(self) -> DataFrame:
+        return self.link_table.table
 
     def release(self) -> None:
         self.node_table.release()
-        self.share_table.release()
+        self.link_table.release()
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def is_source(node: Column, sources: Sequence[int]) -> Column:
 def prepare(nodes: DataFrame, edges: DataFrame, edges_per_split: int = EDGES_PER_SPLIT) -> Prepared:
     """Compute the fixed tables once and cut their lineage, so that no step recomputes the graph.
 
-    Parallel edges become one row with the sum of their shares. A step moves ranks but never edges.
+    Parallel edges become one link. A step moves ranks but never links.
     """
     degree = F.coalesce("degree", F.lit(0))
     node_table = write_bucketed(
@@ -135,10 +135,7 @@ def prepare(nodes: DataFrame, edges: DataFrame, edges_per_split: int = EDGES_PER
         .join(F.broadcast(hubs.select(F.col("id").alias("src"), "splits")), "src", "left")
         .select("src", split.alias("split"), "dst", "n")
     )
-    degree_of = _per_split(table).select(F.col("id").alias("src"), "split", "degree")
-    share = F.col("n") / F.col("degree")
-    shares = dealt.join(degree_of, ["src", "split"]).select("src", "split", "dst", share.alias("share"))
-    return Prepared(node_table, write_bucketed(shares, "shares", "src", "split"))
+    return Prepared(node_table, write_bucketed(dealt, "links", "src", "split"))
 
 
 def _per_split(nodes: DataFrame) -> DataFrame:
@@ -161,10 +158,11 @@ def step(graph: Prepared, ranks: DataFrame, sources: Sequence[int], alpha: float
     count = len(set(sources))
     dangling = ranks.where("degree = 0").agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("r")).scalar()
     senders = _per_split(ranks.where("degree > 0 AND rank > 0"))
+    part = F.col("rank") / F.col("degree")
     mass = (
-        graph.shares.join(senders.select(F.col("id").alias("src"), "split", "rank"), ["src", "split"])
+        graph.links.join(senders.select(F.col("id").alias("src"), "split", part.alias("part")), ["src", "split"])
         .groupBy(F.col("dst").alias("id"))
-        .agg(F.sum(F.col("rank") * F.col("share")).alias("mass"))
+        .agg(F.sum(F.col("part") * F.col("n")).alias("mass"))
     )
     arrived = F.coalesce("mass", F.lit(0.0))
     restart = F.lit(alpha / count) + (1 - alpha) * (arrived + dangling / count)
@@ -228,9 +226,10 @@ def personalized_ranks(
 
 def arriving_log_mass(graph: Prepared, ranks: DataFrame) -> DataFrame:
     """``(id, log_mass)`` that arrives at each target, with ranks and sums kept as logarithms."""
-    logs = _per_split(ranks).select(F.col("id").alias("src"), "split", log_or_zero(F.col("rank")).alias("log_rank"))
-    sent = graph.shares.join(logs, ["src", "split"]).select(
-        F.col("dst").alias("id"), (F.col("log_rank") + F.log("share")).alias("log_part")
+    log_part = log_or_zero(F.col("rank")) - F.log("degree")
+    senders = _per_split(ranks.where("degree > 0")).select(F.col("id").alias("src"), "split", log_part.alias("log_part"))
+    sent = graph.links.join(senders, ["src", "split"]).select(
+        F.col("dst").alias("id"), (F.col("log_part") + F.log("n")).alias("log_part")
     )
     return log_sum_exp(sent, ["id"], "log_part", "log_mass")
 
