@@ -235,7 +235,7 @@ def _arrival_jobs(suffix: str, streaming: bool) -> dict[str, Job]:
 
 def _plain_end(df: DataFrame) -> DataFrame:
     """Window ends as timestamps without zone, like the events' own."""
-    return df.withColumn("window_end", F.col("window_end").cast("timestamp_ntz")) if "window_end" in df.columns else df
+    return df.withColumn("window_end", windows.without_zone(F.col("window_end"))) if "window_end" in df.columns else df
 
 
 def arrival_jobs() -> dict[str, Job]:

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.regions import OFFICE_REGIONS, Region, by_type, region_of, region_title, taxi_position
 
@@ -18,10 +19,23 @@ MIN_ARRIVALS = 10
 FACTOR = 2
 EVERYTHING = "all"
 
+UTC = "UTC"
+
+
+def without_zone(time: Column) -> Column:
+    """A time as UTC without a zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit(UTC), time.cast("timestamp_ntz"))
+
 
 def with_event_time(events: DataFrame, column: str = "ts", delay: str | None = None) -> DataFrame:
-    """Add ``event_time``; with ``delay`` as watermark, events later than that are dropped on a stream."""
-    timed = events.withColumn("event_time", F.col(column).cast("timestamp"))
+    """Add ``event_time``; with ``delay`` as watermark, events later than that are dropped on a stream.
+
+    Times without a zone are taken as UTC, whatever the zone of the session.
+    """
+    time = F.col(column)
+    if isinstance(events.schema[column].dataType, T.TimestampNTZType):
+        time = F.convert_timezone(F.lit(UTC), F.current_timezone(), time)
+    timed = events.withColumn("event_time", time.cast("timestamp"))
     return timed.withWatermark("event_time", delay) if delay else timed
 
 
