@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scores import label_of, sigmoid
-from millrace.session import fresh_path, write_and_read, write_bucketed
+from millrace.session import fresh_path, in_buckets, write_and_read, write_bucketed
 
 # Fixed value: the step of one update.
 DELTA = 0.002
@@ -42,7 +42,9 @@ def train_batch(instances: DataFrame, epochs: int = 1, delta: float = DELTA, ave
     Spark decides by their size. Each epoch's weights are written, which cuts the lineage.
     """
     spark = instances.sparkSession
-    counts = write_bucketed(feature_counts(instances), "feature_counts", "doc_id")
+    # Features are counted where their document's bucket is, so they move once, as arrays.
+    placed = feature_counts(in_buckets(instances, "doc_id"))
+    counts = write_bucketed(placed, "feature_counts", "doc_id", placed=True)
     table = counts.table
     sizes = instances.groupBy("model_id").agg(F.count("*").alias("instances"))
     base = fresh_path(spark, "weights")

@@ -68,18 +68,23 @@ class Bucketed(NamedTuple):
         self.table.sparkSession.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def write_bucketed(df: DataFrame, label: str, *keys: str) -> Bucketed:
-    """Write ``df`` bucketed by the keys, in as many buckets as shuffles have partitions.
+def in_buckets(df: DataFrame, *keys: str) -> DataFrame:
+    """Move rows to the partition of their bucket, in as many buckets as shuffles have partitions."""
+    return df.repartition(shuffle_partitions(df.sparkSession), *keys)
+
+
+def write_bucketed(df: DataFrame, label: str, *keys: str, placed: bool = False) -> Bucketed:
+    """Write ``df`` bucketed by the keys.
 
     This cuts the lineage and survives the loss of executors. Rows are moved to their bucket first,
-    so there is one file per bucket.
+    unless they are ``placed`` there already, so there is one file per bucket.
     """
     spark = df.sparkSession
     buckets = shuffle_partitions(spark)
     path = fresh_path(spark, label)
     name = path.rsplit("/", 1)[1].replace("-", "_")
     (
-        df.repartition(buckets, *keys)
+        (df if placed else in_buckets(df, *keys))
         .write.mode("overwrite")
         .format("parquet")
         .option("path", path)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import brute
 from millrace.operators import learning
+from millrace.session import in_buckets, write_bucketed
 from millrace.sinks.files import write_model, write_text_model
 from millrace.sources.features import is_positive, parse_instances, parse_model, read_model, read_text_models
 
@@ -87,6 +88,20 @@ def test_batch_steps(training, average):
     same(weights_of(learning.train_batch(training, 3, 0.5, average)), want)
 
 
+def test_features_are_counted_in_their_bucket(spark, training):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counted = learning.feature_counts(in_buckets(training, "doc_id"))
+        assert counted._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        written = write_bucketed(counted, "counts_test", "doc_id", placed=True)
+        per_document = written.table.groupBy("doc_id").agg(F.sum("n").alias("n"))
+        assert "Exchange" not in per_document._jdf.queryExecution().executedPlan().toString()
+        assert {r.doc_id: r.n for r in per_document.collect()} == {"d1": 4, "d2": 2, "d3": 3, "d4": 4, "d5": 1}
+        written.release()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_an_epoch_is_needed(training):
     with pytest.raises(ValueError):
         learning.train_batch(training, 0)
