@@ -25,7 +25,10 @@ STEPS = 4
 # of a seventh are not, and neither are logarithms.
 RANK_DIGITS = 11
 LOG_DIGITS = 9
-SCORE_DIGITS = 12
+# Weights are a few thousandths at most. Scores add up thousands of them: two orders of addition were
+# found to differ by 1e-14, so they are compared well above that.
+WEIGHT_DIGITS = 12
+SCORE_DIGITS = 9
 EPOCHS = 2
 TREND_LENGTH = "60 minutes"
 TREND_MIN = 3
@@ -200,8 +203,8 @@ def _ensemble(method: str) -> Job:
 
 def classification_jobs() -> dict[str, Job]:
     return {
-        "train_classifier": lambda s, d: rounded(classify.train_classifier(s, d, epochs=EPOCHS), SCORE_DIGITS, "weight"),
-        "train_models": lambda s, d: rounded(_models(s, d), SCORE_DIGITS, "weight"),
+        "train_classifier": lambda s, d: rounded(classify.train_classifier(s, d, epochs=EPOCHS), WEIGHT_DIGITS, "weight"),
+        "train_models": lambda s, d: rounded(_models(s, d), WEIGHT_DIGITS, "weight"),
         "train_classifier_online": lambda s, d: classify.train_classifier_online(s, d),
         "train_classifier_online_shuffled": lambda s, d: classify.train_classifier_online(s, d, shuffle=True),
         "apply_classifier": lambda s, d: rounded(

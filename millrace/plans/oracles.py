@@ -213,9 +213,9 @@ def _training(model: str, epochs: int) -> str:
 
 
 def classification_oracles() -> dict[str, str]:
-    epochs, digits = catalog.EPOCHS, catalog.SCORE_DIGITS
+    epochs = catalog.EPOCHS
     one, several = _training("'all'", epochs), _training("lang", epochs)
-    weights = f"SELECT model_id, feature, round(weight, {digits}) AS weight FROM w{epochs}"
+    weights = f"SELECT model_id, feature, round(weight, {catalog.WEIGHT_DIGITS}) AS weight FROM w{epochs}"
     # Occurrences by feature first: each document meets every model.
     scores = (
         f"{several}, models AS (SELECT DISTINCT model_id FROM w{epochs}), "
@@ -223,7 +223,7 @@ def classification_oracles() -> dict[str, str]:
         f"(SELECT doc_id, w.model_id, sum(weight) AS s FROM occ JOIN w{epochs} w USING (feature) GROUP BY ALL) x "
         "ON x.doc_id = i.doc_id AND x.model_id = m.model_id), "
     )
-    labelled = f"SELECT doc_id, label, round(score, {digits}) AS score, CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS predicted FROM t"
+    labelled = f"SELECT doc_id, label, round(score, {catalog.SCORE_DIGITS}) AS score, CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS predicted FROM t"
     return {
         "train_classifier": f"{one} {weights}",
         "train_models": f"{several} {weights}",
