@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
-
-_local_dirs: dict[str, str] = {}
+WAREHOUSE_KEY = "spark.sql.warehouse.dir"
 
 
 def build_session(app: str = "millrace", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,21 +29,9 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the session.
-
-    Only a local-mode session may fall back to a temporary folder: on a cluster such a folder
-    would live on one machine and be lost with it, so there the setting is required.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
-    if named:
-        return named.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    app = context.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="millrace-")
-    return _local_dirs[app]
+    """The folder every executor can reach: the one that the session names, else one in the warehouse."""
+    named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    return named.rstrip("/") if named else f"{spark.conf.get(WAREHOUSE_KEY).rstrip('/')}/_work"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -1,27 +1,22 @@
-import pytest
-
 from millrace import session
 
 
-class FakeSpark:
-    """A session that names no folder and does not run locally."""
+class Unnamed:
+    """A session that names no folder but has a warehouse."""
 
     class conf:
         @staticmethod
         def get(key, default=None):
-            return default
+            return "/shared/warehouse/" if key == session.WAREHOUSE_KEY else default
 
     class sparkContext:
-        master = "spark://somewhere:7077"
-
         @staticmethod
         def getConf():
-            return FakeSpark.conf
+            return Unnamed.conf
 
 
-def test_a_cluster_has_to_name_its_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_dir(FakeSpark())
+def test_without_a_named_folder_the_warehouse_is_used():
+    assert session.shared_dir(Unnamed()) == "/shared/warehouse/_work"
 
 
 def test_the_named_folder_is_used(spark):
