@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import common, packing, quality_rules, sharding, urls
+from millrace.llm import common, decontamination, licenses, packing, quality_rules, sharding, urls
 
 # The rules that every URL is judged by.
 URL_RULES = (
@@ -27,6 +27,24 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_license_scan(spark: SparkSession, directory: str) -> DataFrame:
+    templates = spark.createDataFrame(list(licenses.TEMPLATES), "license_id string, text string")
+    return licenses.license_scan(common.documents(spark, directory), templates)
+
+
+def op2_decontamination(spark: SparkSession, directory: str) -> DataFrame:
+    docs = common.documents(spark, directory).select("doc_id", "text")
+    judged = decontamination.contamination(docs, spark.read.parquet(f"{directory}/benchmark.parquet"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op3_url_filter(spark: SparkSession, directory: str) -> DataFrame:
     pages = spark.read.parquet(f"{directory}/pages.parquet")
     return urls.filter_urls(pages, urls.rule_table(spark, URL_RULES), "page_id")
@@ -47,6 +65,8 @@ def op8_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_scan": op1_license_scan,
+        "op2_decontamination": op2_decontamination,
         "op3_url_filter": op3_url_filter,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_sharding": op7_sharding,
