@@ -156,6 +156,9 @@ def text_words(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.
     return buf, starts, ends, np.searchsorted(starts, begins)
 
 
+MAX_SLICE_ROWS = 60_000
+
+
 def batches_of(rows: Iterator, size: int = 4 << 20, width: str = "text") -> Iterator:
     """Cut Arrow batches into slices of about ``size`` bytes of text, one row at least."""
     for batch in rows:
@@ -163,6 +166,7 @@ def batches_of(rows: Iterator, size: int = 4 << 20, width: str = "text") -> Iter
         at = 0
         while at < batch.num_rows:
             upto = max(at + 1, int(np.searchsorted(np.cumsum(lengths[at:]), size, side="right")) + at)
+            upto = min(upto, at + MAX_SLICE_ROWS)
             yield batch.slice(at, upto - at)
             at = upto
 

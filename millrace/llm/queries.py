@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import common, decontamination, licenses, packing, quality_rules, sharding, urls
+from millrace.llm import common, decontamination, jaccard, licenses, packing, quality_rules, sharding, urls
 
 # The rules that every URL is judged by.
 URL_RULES = (
@@ -50,6 +50,10 @@ def op3_url_filter(spark: SparkSession, directory: str) -> DataFrame:
     return urls.filter_urls(pages, urls.rule_table(spark, URL_RULES), "page_id")
 
 
+def op4_ngram_jaccard(spark: SparkSession, directory: str) -> DataFrame:
+    return jaccard.jaccard_join(common.documents(spark, directory)).rows.select("doc_id", "n_shingles", "component_id")
+
+
 def op5_best_fit_packing(spark: SparkSession, directory: str) -> DataFrame:
     return packing.pack_documents(common.documents(spark, directory), vocabulary(), SEQUENCE)
 
@@ -68,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_license_scan": op1_license_scan,
         "op2_decontamination": op2_decontamination,
         "op3_url_filter": op3_url_filter,
+        "op4_ngram_jaccard": op4_ngram_jaccard,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op7_sharding": op7_sharding,
         "op8_quality_rules": op8_quality_rules,
