@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -31,6 +31,7 @@ GROWTH = Fraction(4, 3)
 PART_SIZE = 2.5
 SPARE = 0.1
 HOT_HOLDERS = 32
+ROUNDS = 8
 
 
 class Bands:
@@ -121,7 +122,7 @@ def first_uid(block: int) -> int:
     return (task << 43) | (seq << 22)
 
 
-def _block_of(uid):
+def _block_of(uid: Column) -> Column:
     """The block of a row number, as a column."""
     high = F.shiftright(uid, 43)
     return F.call_function("shiftleft", high, F.lit(32)) + F.shiftright(uid, 22).bitwiseAND(F.lit((1 << 21) - 1))
@@ -269,14 +270,59 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _unspared(hot: DataFrame) -> DataFrame:
-    """Hot groups without the holders that can spare them."""
+def _spares(band: Column) -> Column:
+    """Spare signatures of a band, as a column."""
     bands = Bands(THRESHOLD)
     bands.of(1 << 40)
     spares = [int(SPARE * bands.differ(2 * top)) for top in bands.tops]
-    spare = F.element_at(F.array(*[F.lit(n) for n in spares]), (F.col("band") + 1).cast("int"))
+    return F.element_at(F.array(*[F.lit(n) for n in spares]), (band + 1).cast("int"))
+
+
+def _band_of(size: Column) -> Column:
+    """The band of a size, as a column."""
+    bands = Bands(THRESHOLD)
+    bands.of(1 << 40)
+    return F.size(F.filter(F.array(*[F.lit(top) for top in bands.tops]), lambda top: top < size))
+
+
+def _places(hot: DataFrame) -> DataFrame:
+    """Holders of hot groups, with whether they can spare the group."""
     hottest = Window.partitionBy("uid", "band").orderBy(F.desc("holders"), "sig")
-    return hot.withColumn("_place", F.row_number().over(hottest)).where(F.col("_place") > spare).select("sig", "uid")
+    return hot.withColumn("spared", F.row_number().over(hottest) <= _spares(F.col("band")))
+
+
+def _neighbours(holders: DataFrame, seed: int) -> DataFrame:
+    """Pairs of holders of a group in different components, at most one per holder and group.
+
+    Holders of one component lie side by side, so pairs are made where one component ends and the next begins.
+    Large groups are dealt to parts at random, differently for every seed.
+    """
+    part = F.pmod(F.xxhash64("rep", F.lit(seed)), F.ceil(F.col("holders") / HOT_HOLDERS).cast("int"))
+    line = Window.partitionBy("g", "_part").orderBy(F.xxhash64("root", F.lit(seed)), F.xxhash64("rep", F.lit(seed)), "rep")
+    return (
+        holders.withColumn("_part", part)
+        .select("rep", "root", "weight", "holders", F.lead("rep").over(line).alias("next"), F.lead("root").over(line).alias("_root"))
+        .where("root <> _root")
+        .select(F.greatest("rep", "next").alias("a"), F.least("rep", "next").alias("b"), (F.col("weight") / F.col("holders")).alias("w"))
+        .groupBy("a", "b")
+        .agg(F.sum("w").alias("w"))
+    )
+
+
+def _best(pairs: DataFrame) -> DataFrame:
+    """The pairs that are the best of either of their ends."""
+    ends = pairs.select("a", "w", "b").union(pairs.select("b", "w", "a")).toDF("end", "w", "other")
+    best = ends.groupBy("end").agg(F.max(F.struct("w", "other")).alias("best"))
+    return best.select(F.greatest("end", "best.other").alias("a"), F.least("end", "best.other").alias("b")).distinct()
+
+
+def _rooted(holders: DataFrame, links: DataFrame) -> DataFrame:
+    """Holders of the groups that still have several components, with their components."""
+    roots = components(links)
+    placed = holders.drop("root").join(roots, F.col("rep") == F.col("id"), "left").withColumn("root", F.coalesce("root", "rep"))
+    split = placed.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("holders"))
+    split = split.where("low < high").select(F.col("g").alias("_g"), "holders")
+    return placed.drop("holders").join(split, F.col("g") == F.col("_g")).select("g", "rep", "weight", "holders", "root")
 
 
 class Joined:
@@ -315,44 +361,42 @@ def jaccard_join(docs: DataFrame) -> Joined:
         F.col("k1").alias("sig"), F.col("k2").alias("band"), F.col("n").alias("holders"), F.col("uids")[0].alias("uid")
     )
     small = found.where(F.col("kind") == GROUPS).groupBy("uids").agg(F.sum("n").alias("weight"))
+    hot = stored(_places(hot), "jaccard-hot")
+    spared = hot.where("spared").groupBy("uid").agg(F.count("*").alias("spared"))
     held = small.select(F.xxhash64(F.lit(1), "uids").alias("g"), "weight", F.explode("uids").alias("uid")).union(
-        _unspared(hot).select(F.xxhash64(F.lit(2), "sig").alias("g"), F.lit(1).cast("long").alias("weight"), "uid")
-    )
-    holders = stored(
-        held.join(copies, F.col("uid") == F.col("copy"), "left")
-        .groupBy("g", F.coalesce("rep", "uid").alias("rep"))
-        .agg(F.max("weight").alias("weight")),
-        "jaccard-holders",
+        hot.where("not spared").select(F.xxhash64(F.lit(2), "sig").alias("g"), F.lit(1).cast("long").alias("weight"), "uid")
     )
-    leaders = holders.groupBy("g").agg(F.min("rep").alias("leader")).withColumnRenamed("g", "_g")
-    shared = (
-        holders.join(leaders, F.col("g") == F.col("_g"))
-        .where("rep <> leader")
-        .groupBy("rep", "leader")
-        .agg(F.sum("weight").alias("weight"))
-    )
-    best = shared.groupBy("rep").agg(F.max(F.struct("weight", (-F.col("leader")).alias("back"))).alias("best"))
-    pairs = stored(best.select(F.col("rep").alias("a"), (-F.col("best.back")).alias("b")), "jaccard-pairs")
-
-    # All holders that share something with another text: their sets are made once.
-    wanted = holders.join(holders.groupBy("g").count().where("count > 1").withColumnRenamed("g", "_g"), F.col("g") == F.col("_g"))
-    requests = wanted.select("rep").distinct().groupBy(_block_of(F.col("rep")).alias("block")).agg(F.collect_list("rep").alias("uids"))
+    joined = held.join(copies, F.col("uid") == F.col("copy"), "left")
+    distinct = joined.groupBy("g", F.coalesce("rep", "uid").alias("rep")).agg(F.max("weight").alias("weight"))
+    nothing = docs.sparkSession.createDataFrame([], "a long, b long")
+    holders = stored(_rooted(distinct, nothing), "jaccard-holders")
+    requests = holders.select("rep").distinct().groupBy(_block_of(F.col("rep")).alias("block")).agg(F.collect_list("rep").alias("uids"))
     sets = stored(blocks.table.join(requests, "block").mapInArrow(_wanted_sets, "uid long, shingles array<long>"), "jaccard-sets")
-    links = stored(_verified(pairs, sets), "jaccard-links")
-    roots = stored(components(links), "jaccard-roots")
-    placed = holders.join(roots, F.col("rep") == F.col("id"), "left").select("g", "rep", F.coalesce("root", "rep").alias("root"))
-    split = placed.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select(F.col("g").alias("_g"))
-    open_ = stored(placed.join(split, F.col("g") == F.col("_g")).select("g", "rep", "root").join(
-        members.where("uid = rep").select(F.col("uid").alias("_u"), "n"), F.col("rep") == F.col("_u")
-    ).drop("_u"), "jaccard-open")
-    other = open_.select(F.col("g").alias("_g"), F.col("rep").alias("b"), F.col("root").alias("_root"), F.col("n").alias("_n"))
+
+    links, open_ = nothing, holders
+    for seed in range(ROUNDS):
+        found_now = stored(_verified(_best(_neighbours(open_, seed)), sets), "jaccard-links")
+        links = links.union(found_now)
+        if not found_now.count():
+            break
+        open_ = stored(_rooted(open_, links), "jaccard-open")
+
+    facts_of = members.where("uid = rep").join(spared.withColumnRenamed("uid", "_u"), F.col("uid") == F.col("_u"), "left")
+    facts_of = facts_of.select("uid", "n", F.coalesce("spared", F.lit(0)).alias("spared"))
+    sized = open_.join(facts_of, F.col("rep") == F.col("uid")).drop("uid")
+    other = sized.select(
+        F.col("g").alias("_g"), F.col("rep").alias("b"), F.col("root").alias("_root"), F.col("n").alias("_n"), F.col("spared").alias("_spared")
+    )
     t = THRESHOLD
     near = (F.least("n", "_n") * t.denominator) >= (F.greatest("n", "_n") * t.numerator)
+    shared = F.sum("weight") + F.max(F.least("spared", "_spared"))
     crossing = (
-        open_.join(other, (F.col("g") == F.col("_g")) & (F.col("root") < F.col("_root")))
+        sized.join(other, (F.col("g") == F.col("_g")) & (F.col("root") < F.col("_root")))
         .where(near)
-        .select(F.col("rep").alias("a"), "b")
-        .distinct()
+        .groupBy(F.col("rep").alias("a"), "b")
+        .agg(shared.alias("shared"), F.max(F.greatest("n", "_n")).alias("n"))
+        .where(F.col("shared") > _spares(_band_of(F.col("n"))))
+        .select("a", "b")
     )
     more = stored(_verified(crossing, sets), "jaccard-more")
     final = components(links.union(more))
