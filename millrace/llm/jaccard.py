@@ -7,8 +7,10 @@ k + 1 + q partitions that come first in an order that depends on the partition's
 empty ones last), at least q + 1 of the kept ones agree. Because q are to spare, every set may give up its q
 signatures with the most holders, which are those that a frequent passage makes, without losing a partner.
 
-Sets that share a signature are compared exactly, but not all with all: first every set with one other set it
-shares the most with; then only sets that are still in different components.
+Sets that share a signature are compared exactly, but not all with all: first every set with the one it shares the
+most with. Where many sets hold much the same signatures, they are compared tile by tile in memory, and only the
+links that keep a component together leave the task. What is then left are pairs of different components in small
+groups. A pair that shares fewer signatures than it must is not compared.
 """
 
 from __future__ import annotations
@@ -31,7 +33,9 @@ GROWTH = Fraction(4, 3)
 PART_SIZE = 2.5
 SPARE = 0.1
 HOT_HOLDERS = 32
-ROUNDS = 8
+CROWD = 64
+TILE_ROWS = 1024
+TILE_COLUMNS = 4096
 
 
 class Bands:
@@ -291,21 +295,83 @@ def _places(hot: DataFrame) -> DataFrame:
     return hot.withColumn("spared", F.row_number().over(hottest) <= _spares(F.col("band")))
 
 
-def _neighbours(holders: DataFrame, seed: int) -> DataFrame:
-    """Pairs of holders of a group in different components, at most one per holder and group.
+def _neighbours(holders: DataFrame) -> DataFrame:
+    """Pairs of holders of a group, at most one per holder and group, with how much of its groups a pair shares.
 
-    Holders of one component lie side by side, so pairs are made where one component ends and the next begins.
-    Large groups are dealt to parts at random, differently for every seed.
+    Large groups are dealt to parts at random.
     """
-    part = F.pmod(F.xxhash64("rep", F.lit(seed)), F.ceil(F.col("holders") / HOT_HOLDERS).cast("int"))
-    line = Window.partitionBy("g", "_part").orderBy(F.xxhash64("root", F.lit(seed)), F.xxhash64("rep", F.lit(seed)), "rep")
+    part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("holders") / HOT_HOLDERS).cast("int"))
+    line = Window.partitionBy("g", "_part").orderBy("rep")
     return (
         holders.withColumn("_part", part)
-        .select("rep", "root", "weight", "holders", F.lead("rep").over(line).alias("next"), F.lead("root").over(line).alias("_root"))
-        .where("root <> _root")
-        .select(F.greatest("rep", "next").alias("a"), F.least("rep", "next").alias("b"), (F.col("weight") / F.col("holders")).alias("w"))
-        .groupBy("a", "b")
-        .agg(F.sum("w").alias("w"))
+        .select("rep", "weight", "holders", F.lag("rep").over(line).alias("b"))
+        .where("b IS NOT NULL")
+        .groupBy(F.col("rep").alias("a"), "b")
+        .agg(F.sum(F.col("weight") / F.col("holders")).alias("w"))
+    )
+
+
+def _crowds(holders: DataFrame) -> DataFrame:
+    """Open groups with the crowd they belong to, and how many holders it has.
+
+    Groups whose holder with the smallest hash is the same form a crowd: groups of much the same holders do.
+    """
+    least = F.min(F.struct(F.xxhash64("rep").alias("hash"), "rep"))
+    crowds = holders.groupBy("g").agg(least["rep"].alias("crowd")).withColumnRenamed("g", "_g")
+    named = holders.join(crowds, F.col("g") == F.col("_g")).drop("_g")
+    sizes = named.groupBy("crowd").agg(F.countDistinct("rep").alias("crowd_size")).withColumnRenamed("crowd", "_c")
+    return named.join(sizes, F.col("crowd") == F.col("_c")).drop("_c")
+
+
+def _compare_all(table):
+    """Links that hold the components of a tile of documents together, by comparing all of them."""
+    import pyarrow as pa
+
+    uids = table.column("rep").to_numpy()
+    lists = table.column("shingles").combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    m = len(uids)
+    _, which, counts = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(m), sizes)
+    common = counts[which] > 1
+    column = np.cumsum(counts > 1)[which[common]] - 1
+    owner = owner[common]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    same = np.zeros((m, m), dtype=np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, TILE_COLUMNS):
+        x, y = np.searchsorted(column, (first, first + TILE_COLUMNS))
+        held = np.zeros((m, TILE_COLUMNS), dtype=np.float32)
+        held[owner[x:y], column[x:y] - first] = 1
+        same += held @ held.T
+    union = sizes[:, None] + sizes[None, :] - same
+    linked = THRESHOLD.denominator * same >= THRESHOLD.numerator * union
+    root = np.full(m, -1)
+    for i in range(m):
+        if root[i] < 0:
+            reached = np.zeros(m, dtype=bool)
+            edge = np.array([i])
+            while len(edge):
+                reached[edge] = True
+                edge = np.flatnonzero(linked[edge].any(axis=0) & ~reached)
+            root[reached] = i
+    out = np.flatnonzero(root != np.arange(m))
+    return pa.table({"a": pa.array(uids[out], pa.int64()), "b": pa.array(uids[root[out]], pa.int64())})
+
+
+def _compare_crowds(crowds: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links inside large crowds, whose documents are dealt to tiles and compared tile by tile."""
+    people = crowds.select("crowd", "crowd_size", "rep").distinct()
+    tiles = F.ceil(F.col("crowd_size") / TILE_ROWS).cast("int")
+    own = F.pmod(F.xxhash64("rep", F.lit(3)), tiles)
+    dealt = people.withColumn("_own", own).select(
+        "crowd", "rep", "_own", F.explode(F.sequence(F.lit(0), tiles - 1)).alias("_other")
+    )
+    shingles = sets.withColumnRenamed("uid", "_uid")
+    return (
+        dealt.join(shingles, F.col("rep") == F.col("_uid"))
+        .groupBy("crowd", F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"))
+        .applyInArrow(_compare_all, "a long, b long")
     )
 
 
@@ -322,7 +388,7 @@ def _rooted(holders: DataFrame, links: DataFrame) -> DataFrame:
     placed = holders.drop("root").join(roots, F.col("rep") == F.col("id"), "left").withColumn("root", F.coalesce("root", "rep"))
     split = placed.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("holders"))
     split = split.where("low < high").select(F.col("g").alias("_g"), "holders")
-    return placed.drop("holders").join(split, F.col("g") == F.col("_g")).select("g", "rep", "weight", "holders", "root")
+    return placed.select("g", "rep", "weight", "root").join(split, F.col("g") == F.col("_g")).drop("_g")
 
 
 class Joined:
@@ -373,13 +439,11 @@ def jaccard_join(docs: DataFrame) -> Joined:
     requests = holders.select("rep").distinct().groupBy(_block_of(F.col("rep")).alias("block")).agg(F.collect_list("rep").alias("uids"))
     sets = stored(blocks.table.join(requests, "block").mapInArrow(_wanted_sets, "uid long, shingles array<long>"), "jaccard-sets")
 
-    links, open_ = nothing, holders
-    for seed in range(ROUNDS):
-        found_now = stored(_verified(_best(_neighbours(open_, seed)), sets), "jaccard-links")
-        links = links.union(found_now)
-        if not found_now.count():
-            break
-        open_ = stored(_rooted(open_, links), "jaccard-open")
+    links = stored(_verified(_best(_neighbours(holders)), sets), "jaccard-links")
+    open_ = stored(_crowds(_rooted(holders, links)), "jaccard-open")
+    tiled = stored(_compare_crowds(open_.where(F.col("crowd_size") >= CROWD), sets), "jaccard-tiled")
+    links = links.union(tiled)
+    open_ = stored(_rooted(open_.where(F.col("crowd_size") < CROWD), links), "jaccard-rest")
 
     facts_of = members.where("uid = rep").join(spared.withColumnRenamed("uid", "_u"), F.col("uid") == F.col("_u"), "left")
     facts_of = facts_of.select("uid", "n", F.coalesce("spared", F.lit(0)).alias("spared"))
