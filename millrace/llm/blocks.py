@@ -48,13 +48,12 @@ def open_block(blob) -> tuple[list, list[bytes]]:
 
 
 def write_blocks(docs: DataFrame, label: str) -> Bucketed:
-    """``docs(doc_id, text)`` as a table of blocks, bucketed by block so that joins on it do not move the texts."""
+    """All columns of ``docs`` as a table of blocks, bucketed by block so that joins on it do not move the texts."""
     spark = docs.sparkSession
     path = fresh_path(spark, label)
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     (
-        rows.mapInArrow(_pack, BLOCKS)
+        docs.mapInArrow(_pack, BLOCKS)
         .write.format("parquet")
         .option("path", path)
         .option("compression", "none")

@@ -407,7 +407,8 @@ def jaccard_join(docs: DataFrame) -> Joined:
     Repeated rows are linked like other equal texts. A null id is larger than all others; a component without any
     id is null. Other columns are not looked at; an empty table gives no rows.
     """
-    blocks = B.write_blocks(docs, "jaccard-blocks")
+    rows = docs.withColumns({"doc_id": docs["doc_id"].cast("long"), "text": docs["text"].cast("string")})
+    blocks = B.write_blocks(rows, "jaccard-blocks")
     buckets = B.bucket_count(blocks.table)
     asked = blocks.table.mapInArrow(_ask(buckets), ASKED)
     met = asked.groupBy("bucket").applyInArrow(_meet, FOUND)
