@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import common, decontamination, jaccard, licenses, packing, quality_rules, sharding, urls
+from millrace.llm import common, decontamination, jaccard, licenses, lm, packing, quality_rules, sharding, substrings, urls
 
 # The rules that every URL is judged by.
 URL_RULES = (
@@ -51,13 +51,20 @@ def op3_url_filter(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op4_ngram_jaccard(spark: SparkSession, directory: str) -> DataFrame:
-    return jaccard.jaccard_join(common.documents(spark, directory)).rows.select("doc_id", "n_shingles", "component_id")
+    docs = common.documents(spark, directory).select("doc_id", "text")
+    return jaccard.jaccard_join(docs).rows.select("doc_id", "n_shingles", "component_id")
 
 
 def op5_best_fit_packing(spark: SparkSession, directory: str) -> DataFrame:
     return packing.pack_documents(common.documents(spark, directory), vocabulary(), SEQUENCE)
 
 
+def op6_substring_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    docs = common.documents(spark, directory).select("doc_id", "text")
+    cleaned = substrings.substring_dedup(docs)
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_sharding(spark: SparkSession, directory: str) -> DataFrame:
     rows = sharding.shard_documents(common.documents(spark, directory), SHARDS)
     return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
@@ -67,6 +74,12 @@ def op8_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     return quality_rules.quality_rules(common.documents(spark, directory), with_text=False)
 
 
+def op9_lm_scoring(spark: SparkSession, directory: str) -> DataFrame:
+    scored = lm.score_documents(common.documents(spark, directory))
+    mean = F.when(F.col("n_words") > 0, F.round(F.col("log_score") / F.col("n_words"), 6))
+    return scored.withColumns({"log_score": F.round("log_score", 6), "mean_log_score": mean})
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -74,6 +87,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_url_filter": op3_url_filter,
         "op4_ngram_jaccard": op4_ngram_jaccard,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_substring_dedup": op6_substring_dedup,
         "op7_sharding": op7_sharding,
         "op8_quality_rules": op8_quality_rules,
+        "op9_lm_scoring": op9_lm_scoring,
     }
