@@ -21,6 +21,7 @@ from millrace.llm.common import batches_of, stored, with_rank
 
 END_ID = 1
 CACHE_CHUNKS = 1_500_000
+PER_CALL = 256
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 UNUSUAL_BREAK = re.compile("[\x1c-\x1f]")
 
@@ -94,12 +95,20 @@ def plan_bins(lengths: Iterable[tuple[int, int]], size: int) -> list[tuple[int,
 
 
 class Encoder:
-    """Token ids of texts, cached by the blank-separated chunks that the tokenizer never joins."""
+    """Token ids of texts, cached by the blank-separated chunks that the tokenizer never joins.
+
+    A full stop or comma after a letter is a token of its own, and case does not count, so only the chunk before it has
+    to be known, in lower case. New
+    chunks are encoded many at once, with a control character between them that has an id of its own.
+    """
+
+    MARK = "\x01"
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        (self.mark_id,) = self._encode(self.MARK)
         self.known: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
@@ -107,13 +116,38 @@ class Encoder:
         cut = [t.split(" ") if UNUSUAL_BREAK.search(t) else t.split() for t in texts]
         if len(self.known) > CACHE_CHUNKS:
             self.known.clear()
+        self._learn(set().union(*cut))
+        known = self.known
+        return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
+
+    def _learn(self, chunks: set[str]) -> None:
         known = self.known
-        new = list({c for chunks in cut for c in chunks if c not in known})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for chunk, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[chunk] = np.asarray(found.ids, dtype="<u4").tobytes()
-        return [b"".join([known[c] for c in chunks]) for chunks in cut]
+        new = chunks.difference(known)
+        ended = [c for c in new if c[-1:] in (".", ",") and c[-2:-1].lower().isalpha()]
+        whole = new.difference(ended)
+        whole.update(c[:-1] for c in ended)
+        whole.update((".", ","))
+        whole.difference_update(known)
+        special = [c for c in whole if self.MARK in c or not c]
+        for c in special:
+            known[c] = np.asarray(self._encode(c), dtype="<u4").tobytes()
+        folded = {c: c.lower() for c in whole.difference(special) if c.isascii()}
+        plain = list(whole.difference(special, folded).union(folded.values()).difference(known))
+        for at in range(0, len(plain), PER_CALL):
+            part = plain[at : at + PER_CALL]
+            ids = np.asarray(self._encode(f" {self.MARK} ".join(part)), dtype="<u4")
+            ends = np.flatnonzero(ids == self.mark_id)
+            data, begin = ids.tobytes(), 0
+            for c, end in zip(part, [*ends.tolist(), len(ids)], strict=True):
+                known[c] = data[4 * begin : 4 * end]
+                begin = end + 1
+        for c, low in folded.items():
+            known[c] = known[low]
+        for c in ended:
+            known[c] = known[c[:-1]] + known[c[-1]]
+
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def _pieces(path: str, size: int):
