@@ -477,3 +477,32 @@ def jaccard_join(docs: DataFrame) -> Joined:
         (F.col("uid") == F.col("least.uid")).alias("first"),
     )
     return Joined(blocks, rows)
+
+
+def _take(rows: Iterator) -> Iterator:
+    """The rows of each block that are asked for."""
+    import pyarrow as pa
+
+    for batch in rows:
+        for block, blob, uids in zip(
+            batch.column("block").to_pylist(), batch.column("docs"), batch.column("uids").to_pylist(), strict=True
+        ):
+            table = pa.ipc.open_stream(blob.as_buffer()).read_all()
+            yield from table.take(_numbers(uids, first_uid(block))).combine_chunks().to_batches()
+
+
+def _numbers(uids: list[int], base: int):
+    import pyarrow as pa
+
+    return pa.array(sorted(u - base for u in uids), pa.int64())
+
+
+def distinct_documents(docs: DataFrame) -> DataFrame:
+    """All columns of one row of each component, the first of its smallest id; rows without shingles all stay.
+
+    See ``jaccard_join`` for the treatment of nulls, short texts and repeated rows.
+    """
+    joined = jaccard_join(docs)
+    kept = joined.rows.where("first").groupBy(_block_of(F.col("uid")).alias("block")).agg(F.collect_list("uid").alias("uids"))
+    schema = docs.withColumns({"doc_id": docs["doc_id"].cast("long"), "text": docs["text"].cast("string")}).schema
+    return joined.blocks.table.join(kept, "block").mapInArrow(_take, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import common, decontamination, jaccard, licenses, lm, packing, quality_rules, sharding, substrings, urls
+from millrace.llm import classifier, common, decontamination, jaccard, licenses, lm, packing, quality_rules, sharding, substrings, urls
 
 # The rules that every URL is judged by.
 URL_RULES = (
@@ -19,6 +19,7 @@ URL_RULES = (
 )
 SEQUENCE = 4096
 SHARDS = 8
+GOOD_SCORE = 0.3
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -80,6 +81,13 @@ def op9_lm_scoring(spark: SparkSession, directory: str) -> DataFrame:
     return scored.withColumns({"log_score": F.round("log_score", 6), "mean_log_score": mean})
 
 
+def op10_quality_classifier(spark: SparkSession, directory: str) -> DataFrame:
+    docs = common.documents(spark, directory).select("doc_id", "text")
+    labels = spark.read.parquet(f"{directory}/labels.parquet")
+    scored = classifier.quality_scores(docs, labels, keep_text=False)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= GOOD_SCORE).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -91,4 +99,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_sharding": op7_sharding,
         "op8_quality_rules": op8_quality_rules,
         "op9_lm_scoring": op9_lm_scoring,
+        "op10_quality_classifier": op10_quality_classifier,
     }
