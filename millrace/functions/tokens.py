@@ -6,9 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Words are cut at blank, tab, line feed, carriage return and form feed, and start
-# and end with a letter a-z after lower-casing. PMI looks at the first 40 words of a line.
+# and end with a letter a-z after lower-casing.
 WORD_PATTERN = r"[a-z](?:[^ \t\n\r\f]*[a-z])?"
-MAX_LINE_TOKENS = 40
 
 
 def tokenize(text: Column) -> Column:
@@ -20,9 +19,9 @@ def tokenize(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
 
 
-def leading_distinct(tokens: Column, limit: int = MAX_LINE_TOKENS) -> Column:
-    """Distinct words among the first ``limit`` ones, in order of first occurrence."""
-    return F.array_distinct(F.slice(tokens, 1, limit))
+def leading_distinct(tokens: Column, limit: int | None = None) -> Column:
+    """Distinct words, or those among the first ``limit`` ones, in order of first occurrence."""
+    return F.array_distinct(tokens if limit is None else F.slice(tokens, 1, limit))
 
 
 def bigram_array(tokens: Column) -> Column:

@@ -9,7 +9,7 @@ from millrace.functions.tokens import bigram_array, leading_distinct, tokenize
 from millrace.operators import skew
 
 MARGINAL = "*"
-MAX_STRIPE = 1_000_000
+SEGMENTS = 16
 
 
 def words(texts: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -26,8 +26,8 @@ def word_count(texts: DataFrame, text: str = "text") -> DataFrame:
     return words(texts, text).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def line_frequency(lines: DataFrame, limit: int) -> DataFrame:
-    """``(word, n)`` with the number of lines whose first ``limit`` words hold the word."""
+def line_frequency(lines: DataFrame, limit: int | None = None) -> DataFrame:
+    """``(word, n)`` with the number of lines that hold the word, or hold it among their first ``limit`` words."""
     return (
         lines.select(F.explode(leading_distinct(tokenize(F.col("line")), limit)).alias("word"))
         .groupBy("word")
@@ -73,7 +73,7 @@ def left_marginals(counts: DataFrame) -> DataFrame:
 def _with_totals(counts: DataFrame, marginals: DataFrame, rows_per_split: int) -> DataFrame:
     """Attach ``total`` and ``partners`` of the left word to every pair; frequent left words are spread."""
     hot = skew.hot_keys(marginals, "left", "partners", rows_per_split)
-    return skew.join_spread(counts, marginals, "left", "right", hot, "partners", rows_per_split)
+    return skew.join_spread(counts, marginals, "left", "right", hot, rows_per_split)
 
 
 def relative_frequency_pairs(lines: DataFrame, rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
@@ -89,15 +89,18 @@ def relative_frequency_pairs(lines: DataFrame, rows_per_split: int = skew.ROWS_P
     )
 
 
-def stripes(
-    pairs: DataFrame, key: str, entry: str, value: Column, segments: Column | int, name: str = "stripe"
-) -> DataFrame:
+def segment_of(entry: Column, segments: int) -> Column:
+    """In which segment of a stripe an entry is: by the first 32 bits of its MD5, whatever the size of the stripe."""
+    return (F.conv(F.substring(F.md5(entry.cast("binary")), 1, 8), 16, 10).cast("long") % segments).cast("int")
+
+
+def stripes(pairs: DataFrame, key: str, entry: str, value: Column, segments: int, name: str = "stripe") -> DataFrame:
     """Collect ``entry -> value`` maps per key: ``(key, segment, stripe)``.
 
-    ``segments`` says into how many maps the entries of a key are dealt, so that a key with very many
-    entries becomes several rows of bounded size instead of one that no task could hold.
+    The entries of every key are dealt to ``segments`` maps by one rule, so that a key with very many
+    entries has several smaller rows. Data with larger stripes need more segments.
     """
-    segment = F.pmod(F.xxhash64(entry), F.lit(segments) if isinstance(segments, int) else segments).cast("int")
+    segment = segment_of(F.col(entry), segments)
     return (
         pairs.select(key, segment.alias("segment"), F.struct(F.col(entry), value.alias("value")).alias("_entry"))
         .groupBy(key, "segment")
@@ -106,14 +109,9 @@ def stripes(
 
 
 def relative_frequency_stripes(
-    lines: DataFrame, max_stripe: int = MAX_STRIPE, rows_per_split: int = skew.ROWS_PER_SPLIT
+    lines: DataFrame, segments: int = SEGMENTS, rows_per_split: int = skew.ROWS_PER_SPLIT
 ) -> DataFrame:
-    """``(left, segment, stripe)``: map from right word to its share.
-
-    A word with more than about ``max_stripe`` different right words has several segments.
-    """
+    """``(left, segment, stripe)``: maps from right word to its share, dealt to ``segments`` per left word."""
     counts = bigram_counts(lines)
     shares = _with_totals(counts, left_marginals(counts), rows_per_split)
-    return stripes(
-        shares, "left", "right", F.col("n") / F.col("total"), skew.split_count(F.col("partners"), max_stripe)
-    )
+    return stripes(shares, "left", "right", F.col("n") / F.col("total"), segments)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.tokens import MAX_LINE_TOKENS, tokenize
+from millrace.functions.tokens import tokenize
 from millrace.operators import counts, pmi
 from millrace.sources.tables import read_table, spread_small
 from millrace.sources.text import explode_lines
@@ -30,7 +30,7 @@ def word_count(spark: SparkSession, directory: str) -> DataFrame:
     return counts.word_count(documents(spark, directory))
 
 
-def line_frequency(spark: SparkSession, directory: str, limit: int = MAX_LINE_TOKENS) -> DataFrame:
+def line_frequency(spark: SparkSession, directory: str, limit: int | None = None) -> DataFrame:
     return counts.line_frequency(document_lines(spark, directory), limit)
 
 
@@ -50,8 +50,8 @@ def bigram_relfreq_pairs(spark: SparkSession, directory: str) -> DataFrame:
     return counts.relative_frequency_pairs(document_lines(spark, directory))
 
 
-def bigram_relfreq_stripes(spark: SparkSession, directory: str, max_stripe: int = counts.MAX_STRIPE) -> DataFrame:
-    return counts.relative_frequency_stripes(document_lines(spark, directory), max_stripe)
+def bigram_relfreq_stripes(spark: SparkSession, directory: str, segments: int = counts.SEGMENTS) -> DataFrame:
+    return counts.relative_frequency_stripes(document_lines(spark, directory), segments)
 
 
 def pmi_pairs(spark: SparkSession, directory: str, threshold: int = 1, **options) -> DataFrame:

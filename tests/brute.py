@@ -18,7 +18,7 @@ def bigrams(lines):
     return Counter(pair for line in lines for pair in zip(tokens(line), tokens(line)[1:]))
 
 
-def pmi(lines, threshold, limit=40, multi=False):
+def pmi(lines, threshold, limit=None, multi=False):
     single, pairs = Counter(), Counter()
     for line in lines:
         words = distinct(tokens(line)[:limit])

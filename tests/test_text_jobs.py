@@ -1,11 +1,13 @@
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import brute
+import check
 from millrace.operators import counts, pmi, skew
-from millrace.plans import retrieval, text
+from millrace.plans import catalog, oracles, retrieval, text
 
 LINES = [
     " ".join(f"w{chr(97 + k % 26)}{'x' * (k // 26)}" for k in range(45)),
@@ -50,20 +52,21 @@ def test_relative_frequency_pairs(lines, rows, rows_per_split):
     assert got == {**shares, **{(w, "*"): float(n) for w, n in totals.items()}}
 
 
-@pytest.mark.parametrize("max_stripe", [1_000_000, 1])
-def test_relative_frequency_stripes(lines, max_stripe):
+@pytest.mark.parametrize("segments", [1, 16])
+def test_relative_frequency_stripes(lines, segments):
     shares, _ = expected_shares()
-    found, segments = {}, defaultdict(int)
-    for r in counts.relative_frequency_stripes(lines, max_stripe).collect():
-        segments[r.left] += 1
+    found, rows_of = {}, defaultdict(int)
+    for r in counts.relative_frequency_stripes(lines, segments).collect():
+        rows_of[r.left] += 1
+        assert 0 <= r.segment < segments
         for right, value in r.stripe.items():
             assert (r.left, right) not in found
             found[r.left, right] = value
     assert found == shares
-    if max_stripe > 1:
-        assert set(segments.values()) == {1}
+    if segments == 1:
+        assert set(rows_of.values()) == {1}
     else:
-        assert segments["the"] > 1
+        assert rows_of["the"] > 1
 
 
 def test_shares_of_a_left_word_add_up_to_one(lines):
@@ -80,9 +83,9 @@ def test_pmi_pairs_and_stripes(lines, marginals, threshold):
     assert pairs.keys() == want.keys()
     assert all(pairs[k][1] == want[k][1] and abs(pairs[k][0] - want[k][0]) < 1e-12 for k in want)
     assert all(pairs[x, y] == pairs[y, x] for x, y in pairs)
-    for max_stripe in (1_000_000, 2):
+    for segments in (1, 4):
         flat = {}
-        for r in pmi.pmi_stripes(lines, threshold, marginals=marginals, max_stripe=max_stripe).collect():
+        for r in pmi.pmi_stripes(lines, threshold, marginals=marginals, segments=segments).collect():
             assert r.stripe
             flat.update({(r.x, y): tuple(v) for y, v in r.stripe.items()})
         assert flat == pairs
@@ -95,7 +98,9 @@ def test_frequent_words_are_spread(lines):
     assert all(pairs[k][1] == want[k][1] and abs(pairs[k][0] - want[k][0]) < 1e-12 for k in want)
 
 
-@pytest.mark.parametrize("job", [text.bigram_relfreq_pairs, retrieval.inverted_index])
+@pytest.mark.parametrize(
+    "job", [text.bigram_relfreq_pairs, lambda s, d: retrieval.matching_all(s, d, "from", "this"), retrieval.document_frequency]
+)
 def test_texts_are_read_and_counted_once(spark, small, job):
     df = job(spark, small)
     df.collect()
@@ -113,17 +118,42 @@ def test_spread_join_equals_plain_join(spark, rows):
     lookup = spark.createDataFrame([("hot", 1.0)] + [(f"k{k}", float(k)) for k in range(0, 50, 2)], "key string, w double")
     weights = facts.groupBy("key").agg(F.count("*").alias("rows"))
     hot = skew.hot_keys(weights, "key", "rows", 100)
-    assert rows(hot) == [("hot", 500)]
-    joined = skew.join_spread(facts, lookup, "key", "v", hot, "rows", 100)
+    assert [r.rows for r in hot.collect()] == [500]
+    joined = skew.join_spread(facts, lookup, "key", "v", hot, 100)
     assert rows(joined.select("key", "v", "w")) == rows(facts.join(lookup, "key").select("key", "v", "w"))
-    dealt = skew.with_splits(facts, "key", hot, "rows", 100).where("key = 'hot'").select("_splits").distinct().collect()
+    dealt = skew.with_splits(facts, "key", hot, 100).where("key = 'hot'").select("_splits").distinct().collect()
     assert [r[0] for r in dealt] == [5]
 
 
-def test_long_keys_are_not_listed_but_joined(spark, rows):
-    long = "x" * (skew.MAX_KEY_BYTES + 1)
-    facts = spark.createDataFrame([(long, k) for k in range(20)], "key string, v int")
-    lookup = spark.createDataFrame([(long, 2.0)], "key string, w double")
-    hot = skew.hot_keys(facts.groupBy("key").agg(F.count("*").alias("rows")), "key", "rows", 5)
-    assert hot.count() == 0
-    assert skew.join_spread(facts, lookup, "key", "v", hot, "rows", 5).count() == 20
+@pytest.mark.parametrize("key", ["key", ("key", "part")])
+def test_keys_of_any_length_are_listed(spark, key):
+    long = "x" * 5000
+    facts = spark.createDataFrame([(long, 1, k) for k in range(20)], "key string, part int, v int")
+    lookup = spark.createDataFrame([(long, 1, 2.0)], "key string, part int, w double")
+    if key == "key":
+        lookup = lookup.drop("part")
+    names = [key] if key == "key" else list(key)
+    hot = skew.hot_keys(facts.groupBy(*names).agg(F.count("*").alias("rows")), key, "rows", 5)
+    assert [r.rows for r in hot.collect()] == [20]
+    assert skew.join_spread(facts, lookup, key, "v", hot, 5).count() == 20
+
+
+def test_words_below_the_threshold_are_in_no_pair(lines):
+    once = pmi.word_lines(lines)
+    lists = [r.w for r in pmi.frequent_words(lines, once, 2, None, 5).collect()]
+    frequent = {r.word for r in once.collect() if r.n >= 2}
+    assert lists and all(set(w) <= frequent and w == sorted(w) and len(w) > 1 for w in lists)
+
+
+def test_lines_end_alike_here_and_in_sql(spark, tmp_path):
+    """Every kind of line end, a final one, blank lines and an empty text."""
+    texts = ["a b\r\nc\r\n", "a\rb\n\nc", "", "\n", "\n\n", "one", "x\n\r\ny z\n", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("lang", F.lit("en")).coalesce(1).write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    sql = oracles.text_oracles()
+    for name in ("line_tokens", "line_frequency", "bigram_counts"):
+        ok, message = check.compare(spark, connection, str(tmp_path), name, catalog.text_jobs()[name], sql[name])
+        assert ok, message
