@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators import skew
 from millrace.operators.counts import words
+from millrace.session import fresh_path, write_and_read
 
-# A posting list is cut into segments of this many consecutive document ids once it is longer. So are the
-# lists of the MAX_CUT_TERMS most frequent terms: the list of these terms that is broadcast stays below
-# 100 MB, and a term beyond it has at most that fraction of all postings.
+# Documents are numbered without gaps, and a posting list is cut into blocks of this many numbers.
 MAX_POSTINGS = 65_536
-MAX_CUT_TERMS = 500_000
 
 
 def term_frequency(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -22,32 +19,51 @@ def term_frequency(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:
-    """``(term, df)``.
+    """``(term, df)``."""
+    return postings.groupBy("term").agg(F.count("*").alias("df"))
 
-    The postings are counted by their ``tf``, which is never 0, because a plain count would leave that
-    column out of the shuffle below and so not share it with the posting lists.
+
+def numbered(postings: DataFrame) -> DataFrame:
+    """``(doc_id, number)``: the documents of the postings in order of id, numbered from 0 without gaps.
+
+    Ranges of ids are numbered apart and shifted by the sizes of the ranges before, of which there is one per
+    partition. The ranges are written, so that they do not change between their uses.
     """
-    return postings.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    spark = postings.sparkSession
+    ids = postings.select("doc_id").distinct().repartitionByRange("doc_id")
+    ranges = write_and_read(ids.select("doc_id", F.spark_partition_id().alias("range")), fresh_path(spark, "index-ids"))
+    earlier = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranges.groupBy(F.col("range").alias("_of")).agg(F.count("*").alias("_n"))
+    shifts = sizes.select("_of", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
+    place = F.row_number().over(Window.partitionBy("range").orderBy("doc_id")) - 1
+    placed = ranges.withColumn("_place", place).join(shifts, F.col("range") == F.col("_of"))
+    return placed.select("doc_id", (F.col("_place") + F.col("_shift")).cast("long").alias("number"))
 
 
 def posting_lists(postings: DataFrame, max_postings: int = MAX_POSTINGS) -> DataFrame:
     """``(term, segment, df, postings)`` with postings ``(doc_id, tf)`` ascending by document.
 
-    A term of at most ``max_postings`` documents is one row with segment 0. A longer list is cut by
-    document id, segment s holding the ids from s * max_postings on, so a segment holds
-    ``max_postings`` entries at most and the segments in order give the whole list.
+    A term of at most ``max_postings`` documents is one row with segment 0. A longer list is cut by the numbers of
+    its documents, segment s holding numbers from s * max_postings on, so that a segment holds ``max_postings``
+    entries at most and the segments in order give the whole list. Lists are never gathered whole before it is known
+    that they are short, and nothing depends on how far ids lie apart or on how long a term is.
     """
-    hot = skew.hot_keys(document_frequency(postings), "term", "df", max_postings, MAX_CUT_TERMS)
-    hot = hot.select(F.col("term").alias("_hot_term"), F.col("df").alias("_df"))
-    segment = F.when(F.col("_df").isNotNull(), F.floor(F.col("doc_id") / max_postings)).otherwise(0)
+    spark = postings.sparkSession
+    written = write_and_read(postings, fresh_path(spark, "index-postings"))
+    block = F.floor(F.col("number") / max_postings).cast("long")
+    blocks = (
+        written.join(numbered(written), "doc_id")
+        .groupBy("term", block.alias("block"))
+        .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
+    )
+    blocks = write_and_read(blocks, fresh_path(spark, "index-blocks"))
+    frequencies = blocks.groupBy(F.col("term").alias("_term")).agg(F.sum(F.size("postings")).cast("long").alias("df"))
+    segment = F.when(F.col("df") > max_postings, F.col("block")).otherwise(F.lit(0).cast("long"))
     return (
-        postings.join(F.broadcast(hot), F.col("term") == F.col("_hot_term"), "left")
-        .groupBy("term", segment.cast("long").alias("segment"))
-        .agg(
-            F.max("_df").alias("_df"),
-            F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"),
-        )
-        .select("term", "segment", F.coalesce("_df", F.size("postings")).cast("long").alias("df"), "postings")
+        blocks.join(frequencies, F.col("term") == F.col("_term"))
+        .groupBy("term", segment.alias("segment"), "df")
+        .agg(F.sort_array(F.collect_list(F.struct("block", "postings"))).alias("_parts"))
+        .select("term", "segment", "df", F.flatten(F.transform("_parts", lambda p: p["postings"])).alias("postings"))
     )
 
 

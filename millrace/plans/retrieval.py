@@ -64,20 +64,18 @@ def indexed_retrieval(spark: SparkSession, directory: str, queries: Sequence[str
     return boolean_retrieval(spark, directory, queries, postings)
 
 
+def _terms_of(spark: SparkSession, directory: str, *terms: str) -> DataFrame:
+    """``(doc_id, terms)``: which of the terms a document has, for documents with any; the texts are read once."""
+    occurrences = words(documents(spark, directory), "text", "doc_id").where(F.col("word").isin(*terms))
+    return occurrences.groupBy("doc_id").agg(F.collect_set("word").alias("terms"))
+
+
 def matching_all(spark: SparkSession, directory: str, left: str, right: str) -> DataFrame:
     """``(doc_id)`` of the documents with both terms, as the intersection of their postings."""
-    postings = term_frequency(spark, directory)
-    return postings.where(F.col("term") == left).select("doc_id").intersect(
-        postings.where(F.col("term") == right).select("doc_id")
-    )
+    found = _terms_of(spark, directory, left, right)
+    return found.where(F.array_contains("terms", left) & F.array_contains("terms", right)).select("doc_id")
 
 
 def matching_any(spark: SparkSession, directory: str, left: str, right: str) -> DataFrame:
     """``(doc_id)`` of the documents with at least one of the terms, as the union of their postings."""
-    postings = term_frequency(spark, directory)
-    return (
-        postings.where(F.col("term") == left)
-        .select("doc_id")
-        .union(postings.where(F.col("term") == right).select("doc_id"))
-        .distinct()
-    )
+    return _terms_of(spark, directory, left, right).select("doc_id")
