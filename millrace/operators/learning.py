@@ -8,19 +8,16 @@ know weighs 0.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scores import label_of, sigmoid
+from millrace.operators import skew
 from millrace.session import fresh_path, in_buckets, write_and_read, write_bucketed
 
 # Fixed value: the step of one update.
 DELTA = 0.002
 
-INSTANCES_PER_SHARD = 50_000
 ENSEMBLE_METHODS = ("average", "vote")
 
 
@@ -32,148 +29,106 @@ def feature_counts(instances: DataFrame) -> DataFrame:
     return known.groupBy("doc_id", "model_id", "label", "feature").agg(F.count("*").alias("n"))
 
 
-def train_batch(instances: DataFrame, epochs: int = 1, delta: float = DELTA, average: bool = True) -> DataFrame:
+def train_batch(
+    instances: DataFrame,
+    epochs: int = 1,
+    delta: float = DELTA,
+    average: bool = True,
+    rows_per_split: int = skew.ROWS_PER_SPLIT,
+) -> DataFrame:
     """Train all models at once by gradient steps over all instances of a model.
 
     A step adds delta times the sum over the instances of (label - probability) * occurrences to each
     weight; with ``average`` the sum is divided by the number of the model's instances, so that the
     step does not grow with the data. The counts are written once, bucketed by document: scores and
     gradients then need no further move of them unless the weights are too many to be broadcast, which
-    Spark decides by their size. Each epoch's weights are written, which cuts the lineage.
+    Spark decides by their size; frequent features are then spread. Each epoch's weights are written,
+    which cuts the lineage.
     """
+    if epochs < 1:
+        raise ValueError("at least one epoch is needed")
     spark = instances.sparkSession
     # Features are counted where their document's bucket is, so they move once, as arrays.
     placed = feature_counts(in_buckets(instances, "doc_id"))
     counts = write_bucketed(placed, "feature_counts", "doc_id", placed=True)
-    table = counts.table
-    sizes = instances.groupBy("model_id").agg(F.count("*").alias("instances"))
-    base = fresh_path(spark, "weights")
-    weights: DataFrame | None = None
-    for epoch in range(epochs):
-        if weights is None:
-            # All weights are zero, so every probability is one half.
-            residuals = table.withColumn("residual", F.col("label") - 0.5)
-        else:
-            known = weights.select("model_id", "feature", "weight")
-            score = F.sum(F.col("n") * F.coalesce("weight", F.lit(0.0)))
-            scored = table.join(known, ["model_id", "feature"], "left").groupBy("doc_id", "label").agg(score.alias("score"))
-            residual = F.col("label") - sigmoid(F.col("score"))
-            residuals = table.drop("label").join(scored.select("doc_id", residual.alias("residual")), "doc_id")
-        steps = residuals.groupBy("model_id", "feature").agg(F.sum(F.col("residual") * F.col("n")).alias("gradient"))
+    try:
+        base = fresh_path(spark, "weights")
+        # Written, so that a literal model name stays a column to join on.
+        sizes = write_and_read(instances.groupBy("model_id").agg(F.count("*").alias("instances")), f"{base}/sizes")
         scale = delta / F.col("instances") if average else F.lit(delta)
-        update = steps.join(sizes, "model_id").select("model_id", "feature", (scale * F.col("gradient")).alias("weight"))
-        if weights is not None:
-            update = weights.unionByName(update).groupBy("model_id", "feature").agg(F.sum("weight").alias("weight"))
-        weights = write_and_read(update, f"{base}/epoch{epoch + 1:04d}")
-    counts.release()
-    if weights is None:
-        raise ValueError("at least one epoch is needed")
-    return weights
-
-
-def train_online(
-    instances: DataFrame,
-    delta: float = DELTA,
-    shuffle: bool = False,
-    seed: int = 17,
-    shards: int | None = None,
-) -> DataFrame:
-    """Train by one update per instance, in shards whose weights are averaged.
-
-    Updating after every instance is sequential, so the instances of a model are dealt to shards, each
-    shard makes its own pass, and the model is the mean of the shards (parallel stochastic gradient
-    descent with averaging). A worker streams through its shard and holds only the weights of the
-    features in it. By default there is one shard per ``INSTANCES_PER_SHARD`` instances; one shard in
-    all is a single sequential pass. Instances come in order of ``doc_id``, or in a seeded random order
-    with ``shuffle``.
-    """
-    if shards is None:
-        shards = max(1, -(-instances.count() // INSTANCES_PER_SHARD))
-    order = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    dealt = instances.select(
-        "model_id",
-        F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id")), F.lit(shards)).cast("int").alias("shard"),
-        (order if shuffle else F.col("doc_id")).alias("position"),
-        "label",
-        "features",
-    )
-    placed = dealt.repartition("model_id", "shard").sortWithinPartitions("model_id", "shard", "position")
-    feature = instances.schema["features"].dataType.elementType.simpleString()
-    model = instances.schema["model_id"].dataType.simpleString()
-    trained = placed.select("model_id", "shard", "label", "features").mapInPandas(
-        _sequential_pass(delta), f"model_id {model}, shard int, feature {feature}, weight double"
+        scales = sizes.select("model_id", scale.alias("scale"))
+        key = ("model_id", "feature")
+        documents = write_and_read(counts.table.groupBy(*key).agg(F.count("*").alias("documents")), f"{base}/documents")
+        hot = skew.hot_keys(documents, key, "documents", rows_per_split)
+        weights = _stepped(counts.table.withColumn("residual", F.col("label") - 0.5), scales)
+        # All weights are zero at first, so every probability is one half.
+        weights = write_and_read(weights, f"{base}/epoch0001")
+        for epoch in range(1, epochs):
+            known = skew.join_spread(counts.table, weights, key, "doc_id", hot, rows_per_split)
+            score = F.sum(F.col("n") * F.col("weight"))
+            residual = F.col("label") - sigmoid(F.col("score"))
+            scored = known.groupBy("doc_id", "label").agg(score.alias("score")).select("doc_id", residual.alias("residual"))
+            step = _stepped(counts.table.drop("label").join(scored, "doc_id"), scales)
+            update = weights.unionByName(step).groupBy(*key).agg(F.sum("weight").alias("weight"))
+            weights = write_and_read(update, f"{base}/epoch{epoch + 1:04d}")
+        return weights
+    finally:
+        counts.release()
+
+
+def _stepped(residuals: DataFrame, scales: DataFrame) -> DataFrame:
+    """``(model_id, feature, weight)``: what one step adds to each weight."""
+    steps = residuals.groupBy("model_id", "feature").agg(F.sum(F.col("residual") * F.col("n")).alias("gradient"))
+    return steps.join(scales, "model_id").select("model_id", "feature", (F.col("scale") * F.col("gradient")).alias("weight"))
+
+
+def _document_features(instances: DataFrame) -> DataFrame:
+    """``(doc_id, feature, n)``; occurrences are counted before anything is joined."""
+    occurrences = instances.select("doc_id", F.explode("features").alias("feature"))
+    return occurrences.groupBy("doc_id", "feature").agg(F.count("*").alias("n"))
+
+
+def model_scores(instances: DataFrame, models: DataFrame, rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
+    """``(doc_id, model_id, score)`` of every instance by every model that knows one of its features."""
+    features = _document_features(instances)
+    hot = skew.hot_keys(features.groupBy("feature").agg(F.count("*").alias("documents")), "feature", "documents", rows_per_split)
+    # A feature's weights travel together, one for each model.
+    weights = models.groupBy("feature").agg(F.collect_list(F.struct("model_id", "weight")).alias("weights"))
+    known = skew.join_spread(features, weights, "feature", "doc_id", hot, rows_per_split)
+    weighed = known.select("doc_id", "n", F.explode("weights").alias("w"))
+    return weighed.groupBy("doc_id", F.col("w.model_id").alias("model_id")).agg(
+        F.sum(F.col("w.weight") * F.col("n")).alias("score")
     )
-    filled = dealt.groupBy("model_id").agg(F.count_distinct("shard").alias("shards"))
-    summed = trained.groupBy("model_id", "feature").agg(F.sum("weight").alias("total"))
-    return summed.join(filled, "model_id").select("model_id", "feature", (F.col("total") / F.col("shards")).alias("weight"))
-
-
-def _sequential_pass(delta: float):
-    """One pass over sorted shards: the weights of a shard are emitted when the next one begins."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from math import exp
 
-        def emit(shard, weights):
-            names = list(weights)
-            return pd.DataFrame(
-                {"model_id": shard[0], "shard": shard[1], "feature": names, "weight": [weights[f] for f in names]}
-            )
 
-        current, weights = None, {}
-        for batch in batches:
-            for model_id, shard, label, features in batch.itertuples(index=False, name=None):
-                if (model_id, shard) != current:
-                    if weights:
-                        yield emit(current, weights)
-                    current, weights = (model_id, shard), {}
-                score = sum(weights.get(f, 0.0) for f in features)
-                probability = 1.0 / (1.0 + exp(-score)) if score > -700 else 0.0
-                for f in features:
-                    weights[f] = weights.get(f, 0.0) + (label - probability) * delta
-        if weights:
-            yield emit(current, weights)
+def _predicted(instances: DataFrame, scores: DataFrame, missing: float) -> DataFrame:
+    """Every instance with its score; one without a row in ``scores`` has the score ``missing``."""
+    found = instances.select("doc_id", "label").join(scores, "doc_id", "left")
+    return found.withColumn("score", F.coalesce("score", F.lit(missing))).withColumn("predicted", label_of(F.col("score")))
 
-    return run
 
+def apply_model(instances: DataFrame, model: DataFrame, rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
+    """``(doc_id, label, score, predicted)`` of every instance by a single model ``(feature, weight)``.
 
-def model_scores(instances: DataFrame, models: DataFrame) -> DataFrame:
-    """``(doc_id, label, model_id, score)`` of every instance by every model that knows one of its features.
-
-    An instance that no model knows has one row with a null ``model_id``.
+    The label may be null: it is passed on, not used.
     """
-    occurrences = instances.select("doc_id", "label", F.explode_outer("features").alias("feature"))
-    return (
-        occurrences.join(models.select("model_id", "feature", "weight"), "feature", "left")
-        .groupBy("doc_id", "label", "model_id")
-        .agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("score"))
-    )
-
-
-def apply_model(instances: DataFrame, model: DataFrame) -> DataFrame:
-    """``(doc_id, label, score, predicted)`` by a single model ``(feature, weight)``."""
-    occurrences = instances.select("doc_id", "label", F.explode_outer("features").alias("feature"))
-    scored = (
-        occurrences.join(model.select("feature", "weight"), "feature", "left")
-        .groupBy("doc_id", "label")
-        .agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("score"))
-    )
-    return scored.withColumn("predicted", label_of(F.col("score")))
+    single = model.select(F.lit(0).alias("model_id"), "feature", "weight")
+    return _predicted(instances, model_scores(instances, single, rows_per_split).select("doc_id", "score"), 0.0)
 
 
-def apply_ensemble(instances: DataFrame, models: DataFrame, method: str = "average") -> DataFrame:
-    """``(doc_id, label, score, predicted)`` by all models together.
+def apply_ensemble(
+    instances: DataFrame, models: DataFrame, method: str = "average", rows_per_split: int = skew.ROWS_PER_SPLIT
+) -> DataFrame:
+    """``(doc_id, label, score, predicted)`` of every instance by all models together.
 
     ``vote`` adds 1 for each model with a score above 0 and subtracts 1 for each other one;
     ``average`` is the mean of the scores. A model that knows none of an instance's features scores 0.
     """
     if method not in ENSEMBLE_METHODS:
         raise ValueError(f"method must be one of {ENSEMBLE_METHODS}")
-    count = models.agg(F.count_distinct("model_id")).scalar()
-    per_model = model_scores(instances, models).groupBy("doc_id", "label")
+    count = models.agg(F.count_distinct("model_id")).first()[0]
+    per_model = model_scores(instances, models, rows_per_split).groupBy("doc_id")
     if method == "vote":
         in_favour = F.count(F.when(F.col("score") > 0, 1))
-        combined = per_model.agg((2 * in_favour - count).cast("double").alias("score"))
-    else:
-        combined = per_model.agg((F.sum("score") / count).alias("score"))
-    return combined.withColumn("predicted", label_of(F.col("score")))
+        return _predicted(instances, per_model.agg((2 * in_favour - count).cast("double").alias("score")), float(-count))
+    return _predicted(instances, per_model.agg((F.sum("score") / count).alias("score")), 0.0)

@@ -12,13 +12,16 @@ from millrace.sources.features import is_positive, text_instances
 from millrace.sources.tables import read_table
 
 
-def labelled_documents(spark: SparkSession, directory: str) -> DataFrame:
-    """``(doc_id, model_id, label, features)``: documents of low quality are positive, one model per language."""
+def labelled_documents(spark: SparkSession, directory: str, how: str = "inner") -> DataFrame:
+    """``(doc_id, model_id, label, features)``: documents of low quality are positive, one model per language.
+
+    ``how="left"`` keeps documents without a label, which is then null.
+    """
     labels = read_table(spark, directory, "labels").select(
         "doc_id", F.when(F.col("quality") == 0, POSITIVE).otherwise(NEGATIVE).alias("label")
     )
     texts = documents(spark, directory).withColumnRenamed("lang", "model_id")
-    return text_instances(texts.join(labels, "doc_id"), "model_id", "label")
+    return text_instances(texts.join(labels, "doc_id", how), "model_id", "label")
 
 
 def training_set(spark: SparkSession, directory: str, per_language: bool = False) -> DataFrame:
@@ -31,17 +34,10 @@ def train_classifier(spark: SparkSession, directory: str, per_language: bool = F
     return learning.train_batch(training_set(spark, directory, per_language), **options)
 
 
-def train_classifier_online(spark: SparkSession, directory: str, per_language: bool = False, **options) -> DataFrame:
-    return learning.train_online(training_set(spark, directory, per_language), **options)
-
-
 def apply_classifier(spark: SparkSession, directory: str, model: DataFrame) -> DataFrame:
-    return learning.apply_model(labelled_documents(spark, directory), model)
+    """The score of every document, labelled or not."""
+    return learning.apply_model(labelled_documents(spark, directory, "left"), model)
 
 
 def apply_ensemble(spark: SparkSession, directory: str, models: DataFrame, method: str = "average") -> DataFrame:
-    return learning.apply_ensemble(labelled_documents(spark, directory), models, method)
-
-
-def model_scores(spark: SparkSession, directory: str, models: DataFrame) -> DataFrame:
-    return learning.model_scores(labelled_documents(spark, directory), models)
+    return learning.apply_ensemble(labelled_documents(spark, directory, "left"), models, method)

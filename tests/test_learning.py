@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from millrace.operators import learning
+from millrace.operators import learning, skew
 from millrace.session import in_buckets, write_bucketed
 from millrace.sinks.files import write_model, write_text_model
 from millrace.sources.features import is_positive, parse_instances, parse_model, read_model, read_text_models
@@ -44,34 +44,31 @@ def test_parsed_instances(labelled):
     assert got["d1"] == ("spam", [1, 2, 2, 3]) and got["d5"] == ("other", [7])
 
 
-def test_one_shard_is_one_sequential_pass(training):
-    same(weights_of(learning.train_online(training, shards=1)), brute.online(plain()))
-
-
-def test_shards_are_averaged(spark, training):
-    shards = 3
-    placed = training.withColumn("shard", F.pmod(F.xxhash64(F.lit(18), F.col("doc_id")), F.lit(shards))).orderBy("doc_id").collect()
-    passes = {}
-    for r in placed:
-        passes.setdefault(r.shard, []).append((r.label, r.features))
-    want = {}
-    for instances in passes.values():
-        for f, w in brute.online(instances).items():
-            want[f] = want.get(f, 0.0) + w / len(passes)
-    same(weights_of(learning.train_online(training, shards=shards)), want)
+def test_models_are_trained_apart(training):
+    groups = training.withColumn("model_id", F.when(F.col("doc_id").isin("d1", "d2"), "x").otherwise("y"))
+    together = learning.train_batch(groups, 3, 0.5, rows_per_split=1)
+    for name in "xy":
+        alone = learning.train_batch(groups.where(F.col("model_id") == name), 3, 0.5)
+        same(weights_of(together.where(F.col("model_id") == name)), weights_of(alone))
 
 
-def test_shuffled_order_is_repeatable(training):
-    first = weights_of(learning.train_online(training, shuffle=True, seed=5))
-    assert first == weights_of(learning.train_online(training, shuffle=True, seed=5))
-    assert first.keys() == weights_of(learning.train_online(training)).keys()
+@pytest.mark.parametrize("rows_per_split", [skew.ROWS_PER_SPLIT, 1])
+def test_nothing_is_joined_without_a_key(spark, training, models, rows_per_split):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        jobs = [learning.apply_model(training, models.where("model_id = 'x'"), rows_per_split)]
+        jobs += [learning.apply_ensemble(training, models, method, rows_per_split) for method in learning.ENSEMBLE_METHODS]
+        for job in jobs:
+            plan = job._jdf.queryExecution().executedPlan().toString()
+            assert "NestedLoop" not in plan and "Cartesian" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_models_are_trained_apart(training):
-    groups = training.withColumn("model_id", F.when(F.col("doc_id").isin("d1", "d2"), "x").otherwise("y"))
-    trained = learning.train_online(groups, shards=1)
-    same(weights_of(trained.where("model_id = 'x'")), brute.online(plain()[:2]))
-    same(weights_of(trained.where("model_id = 'y'")), brute.online(plain()[2:]))
+def test_unlabelled_instances_are_scored(labelled, models):
+    unlabelled = labelled.withColumn("label", F.when(F.col("doc_id") != "d3", F.col("label")))
+    got = {r.doc_id: (r.label, r.score) for r in learning.apply_model(unlabelled, models.where("model_id = 'x'")).collect()}
+    assert got["d3"] == (None, 2.0) and len(got) == 5
 
 
 @pytest.mark.parametrize("average", [True, False])
