@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 POSITIVE, NEGATIVE = "spam", "ham"
 
 
+def significant(value: Column, digits: int) -> Column:
+    """A double rounded to so many significant digits; zero, null and infinities stay."""
+    size = F.floor(F.log10(F.abs(value)))
+    scale = F.pow(F.lit(10.0), F.lit(digits - 1) - size)
+    finite = F.abs(value) < float("inf")
+    return F.when((value != 0) & finite, F.round(value * scale) / scale).otherwise(value)
+
+
 def sigmoid(score: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-score))
 

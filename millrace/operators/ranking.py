@@ -14,15 +14,15 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.scores import significant
 from millrace.operators.aggregates import log_or_zero, log_sum_exp
-from millrace.operators.skew import split_count
+from millrace.operators.skew import hot_keys, with_splits
 from millrace.session import Bucketed, fresh_path, write_and_read, write_bucketed
 
 ALPHA = 0.15
 
-# A node with more edges than this has them dealt to several tasks, the largest MAX_HUBS nodes at most.
+# A node with links to more targets than this has them dealt to several tasks.
 EDGES_PER_SPLIT = 1_000_000
-MAX_HUBS = 100_000
 
 
 class Prepared(NamedTuple):
@@ -72,9 +72,8 @@ def missing_targets(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def message_statistics(nodes: DataFrame, edges: DataFrame, sources: Sequence[int]) -> DataFrame:
     """One row of what a step sends.
 
-    ``messages`` counts one per edge and one per source for every node without out-edges;
-    ``received`` what remains after adding up the messages to the same node, ``saved`` the difference;
-    ``missing`` the receivers that are no nodes.
+    ``messages`` counts one per edge and one per source for every node without out-edges, ``missing`` the
+    targets of edges that are no nodes.
     """
     wanted = sorted(set(sources))
     per_node = nodes.join(degrees(edges), "id", "left")
@@ -83,20 +82,11 @@ def message_statistics(nodes: DataFrame, edges: DataFrame, sources: Sequence[int
         F.coalesce(F.sum("degree"), F.lit(0)).alias("edges"),
         F.count(F.when(F.col("degree").isNull(), 1)).alias("dangling"),
     )
-    targets = edges.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("n"))
-    known = nodes.select("id", F.lit(1).alias("known"))
-    receivers = targets.join(known, "id", "left").agg(
-        F.count("*").alias("targets"),
-        F.count(F.when(F.col("known").isNull(), 1)).alias("missing"),
-        F.count(F.when(F.col("id").isin(wanted), 1)).alias("reached_sources"),
-    )
-    dangling = F.col("dangling")
-    extra = F.when(dangling > 0, F.lit(len(wanted)) - receivers.select("reached_sources").scalar()).otherwise(0)
+    missing = missing_targets(nodes, edges).agg(F.count("*").alias("missing")).scalar()
     return (
-        sent.withColumn("messages", F.col("edges") + dangling * len(wanted))
-        .withColumn("received", receivers.select("targets").scalar() + extra)
-        .withColumn("missing", receivers.select("missing").scalar())
-        .select("nodes", "edges", "messages", "received", (F.col("messages") - F.col("received")).alias("saved"), "missing")
+        sent.withColumn("messages", F.col("edges") + F.col("dangling") * len(wanted))
+        .withColumn("missing", missing)
+        .select("nodes", "edges", "messages", "missing")
     )
 
 
@@ -114,28 +104,32 @@ def is_source(node: Column, sources: Sequence[int]) -> Column:
 def prepare(nodes: DataFrame, edges: DataFrame, edges_per_split: int = EDGES_PER_SPLIT) -> Prepared:
     """Compute the fixed tables once and cut their lineage, so that no step recomputes the graph.
 
-    Parallel edges become one link. A step moves ranks but never links.
+    Parallel edges become one link. The links are built and written once, and the degrees are sums over them.
+    A step moves ranks but never links.
     """
-    degree = F.coalesce("degree", F.lit(0))
-    node_table = write_bucketed(
-        nodes.join(degrees(edges), "id", "left").select(
-            "id", degree.alias("degree"), split_count(degree, edges_per_split).alias("splits")
-        ),
-        "nodes",
-        "id",
+    spark = nodes.sparkSession
+    base = fresh_path(spark, "graph")
+    linked = write_and_read(edges.groupBy("src", "dst").agg(F.count("*").alias("n")), f"{base}/linked")
+    degree = linked.groupBy(F.col("src").alias("id")).agg(F.sum("n").alias("degree"), F.count("*").alias("targets"))
+    table = write_and_read(
+        nodes.join(degree, "id", "left").select("id", F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("targets", F.lit(0)).alias("targets")),
+        f"{base}/nodes",
     )
-    table = node_table.table
     check_unique(table)
-    # Few nodes have more edges than one split holds, and the list of them is bounded.
-    hubs = table.where("splits > 1").orderBy(F.desc("degree"), "id").limit(MAX_HUBS)
-    split = F.when(F.col("splits") > 1, F.pmod(F.xxhash64("dst"), F.col("splits"))).otherwise(0).cast("int")
-    dealt = (
-        edges.groupBy("src", "dst")
-        .agg(F.count("*").alias("n"))
-        .join(F.broadcast(hubs.select(F.col("id").alias("src"), "splits")), "src", "left")
-        .select("src", split.alias("split"), "dst", "n")
+    hot = hot_keys(table, "id", "targets", edges_per_split)
+    splits = with_splits(table, "id", hot, edges_per_split).withColumnRenamed("_splits", "splits")
+    dealt = with_splits(linked, "src", hot, edges_per_split).select(
+        "src",
+        F.when(F.col("_splits") > 1, F.pmod(F.xxhash64("dst"), F.col("_splits"))).otherwise(0).cast("int").alias("split"),
+        "dst",
+        "n",
     )
-    return Prepared(node_table, write_bucketed(dealt, "links", "src", "split"))
+    node_table = write_bucketed(splits.select("id", "degree", "splits"), "nodes", "id")
+    try:
+        return Prepared(node_table, write_bucketed(dealt, "links", "src", "split"))
+    except Exception:
+        node_table.release()
+        raise
 
 
 def _per_split(nodes: DataFrame) -> DataFrame:
@@ -235,28 +229,17 @@ def arriving_log_mass(graph: Prepared, ranks: DataFrame) -> DataFrame:
 
 
 def top_nodes(ranks: DataFrame, n: int = 100, digits: int | None = None) -> DataFrame:
-    """``(id, rank)`` of the ``n`` highest ranks, ties in order of id; ``digits`` rounds before comparing."""
-    rank = F.col("rank") if digits is None else F.round("rank", digits)
+    """``(id, rank)`` of the ``n`` highest ranks, ties in order of id; ranks equal to so many significant ``digits`` tie."""
+    rank = F.col("rank") if digits is None else significant(F.col("rank"), digits)
     return ranks.select("id", rank.alias("rank")).orderBy(F.desc("rank"), "id").limit(n)
 
 
 def log_ranks(ranks: DataFrame) -> DataFrame:
-    """``(id, log_rank)`` of the nodes that have any rank."""
-    return ranks.where("rank > 0").select("id", F.log("rank").alias("log_rank"))
+    """``(id, log_rank)``; null for nodes without rank."""
+    return ranks.select("id", F.when(F.col("rank") > 0, F.log("rank")).alias("log_rank"))
 
 
 def format_ranks(ranks: DataFrame) -> DataFrame:
     """``(rank, id)`` with the rank as text of five decimals."""
     # Fixed value: the printed form.
     return ranks.select(F.format_string("%.5f", "rank").alias("rank"), "id")
-
-
-def lay_out(df: DataFrame, key: str, partitions: int, by: str = "hash") -> DataFrame:
-    """Partition by the hash or by the range of a key, sorted within each partition."""
-    if by == "hash":
-        placed = df.repartition(partitions, key)
-    elif by == "range":
-        placed = df.repartitionByRange(partitions, key)
-    else:
-        raise ValueError(f"unknown layout {by!r}; expected 'hash' or 'range'")
-    return placed.sortWithinPartitions(key)

@@ -81,13 +81,6 @@ def missing_targets(spark: SparkSession, directory: str) -> DataFrame:
     return ranking.missing_targets(nodes.where(F.col("id") % len(KINDS) != KINDS.index("supplier")), edges)
 
 
-def graph_partition(spark: SparkSession, directory: str, partitions: int, by: str = "hash") -> DataFrame:
-    """The node table with the number of the partition each node is laid out in."""
-    nodes, edges = order_graph(spark, directory)
-    table = nodes.join(ranking.degrees(edges), "id", "left").select("id", F.coalesce("degree", F.lit(0)).alias("degree"))
-    return ranking.lay_out(table, "id", partitions, by).withColumn("partition", F.spark_partition_id())
-
-
 def personalized_ranks(
     spark: SparkSession, directory: str, sources: Sequence[int], iterations: int, alpha: float = ranking.ALPHA
 ) -> DataFrame:
