@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.regions import Region
+from millrace.session import fresh_path
 from millrace.sources.tables import read_table
 from millrace.streaming import replay, windows
 
@@ -56,5 +57,30 @@ def trends(
     return windows.until_last_arrival(found)
 
 
+def batched_events(spark: SparkSession, directory: str, batches: int, delay: str) -> DataFrame:
+    """The events as a stream of ``batches`` files in order of time, one file a batch, with a watermark.
+
+    The files hold equal spans of time. They are written one after another, because a stream takes files in the
+    order in which they were written.
+    """
+    table = read_table(spark, directory, "events")
+    first, last = table.agg(F.min("ts"), F.max("ts")).first()
+    path = fresh_path(spark, "event-files")
+    part = F.floor(F.lit(batches) * (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp")))
+                   / (F.unix_micros(F.lit(last).cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp")) + 1))
+    for batch in range(batches):
+        table.where(part == batch).coalesce(1).write.mode("append").parquet(path)
+    stream = replay.table_stream(spark, path, table.schema, files_per_batch=1)
+    return windows.with_event_time(stream, "ts", delay)
+
+
+def event_count_in_batches(
+    spark: SparkSession, directory: str, length: str = "60 minutes", batches: int = 6, delay: str = "2 hours"
+) -> DataFrame:
+    """``(window_end, key, n)`` of all events, from a stream of several batches that carries its open windows on."""
+    keyed = windows.with_constant_key(batched_events(spark, directory, batches, delay))
+    return _result(windows.window_counts(keyed, length), True)
+
+
 def _result(windowed: DataFrame, streaming: bool) -> DataFrame:
     return replay.replay(windowed, "window_end", "key") if streaming else windowed

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.scores import significant
 from millrace.operators import boolean, index, ranking
 from millrace.plans import arrivals, classify, graph, relational, retrieval, text
 from millrace.session import fresh_path
@@ -21,14 +22,11 @@ WORD = "the"
 PMI_THRESHOLD = 10
 SOURCES = graph.customers(range(1, 8))
 STEPS = 4
-# Ranks of a single source are finite decimals and often lie on the border between two roundings; shares
-# of a seventh are not, and neither are logarithms.
-RANK_DIGITS = 11
+# Sums of doubles depend on the order of addition in their last bits. They are compared in significant
+# digits, so that small values count as much as large ones: scores, whose terms cancel, in fewer.
+DIGITS = 8
+SCORE_DIGITS = 7
 LOG_DIGITS = 9
-# Weights are a few thousandths at most. Scores add up thousands of them: two orders of addition were
-# found to differ by 1e-14, so they are compared well above that.
-WEIGHT_DIGITS = 12
-SCORE_DIGITS = 9
 EPOCHS = 2
 TREND_LENGTH = "60 minutes"
 TREND_MIN = 3
@@ -47,10 +45,15 @@ REPORT_TABLES = ("lineitem", "orders", "customer", "nation", "part", "supplier")
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    """Round sums and quotients of doubles, whose last bits depend on the order of addition."""
+    """Round amounts and logarithms to decimals."""
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def shortened(df: DataFrame, column: str, digits: int = DIGITS) -> DataFrame:
+    """Round ranks, weights and scores to significant digits."""
+    return df.withColumn(column, significant(F.col(column), digits))
+
+
 # Reports ------------------------------------------------------------------------------------------
 
 _tbl_copies: dict[tuple[str, str], str] = {}
@@ -172,20 +175,19 @@ def _ranks(s: SparkSession, d: str) -> DataFrame:
 
 def graph_jobs() -> dict[str, Job]:
     return {
-        "graph_build": lambda s, d: rounded(graph.graph_build(s, d, SOURCES), RANK_DIGITS, "rank"),
+        "graph_build": lambda s, d: shortened(graph.graph_build(s, d, SOURCES), "rank"),
         "graph_statistics": graph.graph_statistics,
         "message_statistics": lambda s, d: graph.message_statistics(s, d, SOURCES),
         "missing_targets": graph.missing_targets,
-        "graph_partition": lambda s, d: graph.graph_partition(s, d, 8),
-        "graph_partition_range": lambda s, d: graph.graph_partition(s, d, 8, "range"),
-        "personalized_pagerank": lambda s, d: rounded(_ranks(s, d), RANK_DIGITS, "rank"),
+        "personalized_pagerank": lambda s, d: shortened(_ranks(s, d), "rank"),
         "single_source_pagerank": lambda s, d: rounded(
             ranking.log_ranks(graph.personalized_ranks(s, d, SOURCES[:1], STEPS)), LOG_DIGITS, "log_rank"
         ),
-        "top_ranked_nodes": lambda s, d: ranking.top_nodes(_ranks(s, d), 100, RANK_DIGITS),
-        "printed_ranks": lambda s, d: ranking.format_ranks(ranking.top_nodes(_ranks(s, d), 20, RANK_DIGITS)),
-        "log_mass": lambda s, d: rounded(graph.log_mass(s, d, SOURCES, 1), LOG_DIGITS, "log_mass").where(
-            F.col("log_mass") > float("-inf")
+        "top_ranked_nodes": lambda s, d: ranking.top_nodes(_ranks(s, d), 100, DIGITS),
+        "printed_ranks": lambda s, d: ranking.format_ranks(ranking.top_nodes(_ranks(s, d), 20, DIGITS)),
+        # Minus infinity, where nothing arrives, as null: SQL has no logarithm of zero.
+        "log_mass": lambda s, d: rounded(graph.log_mass(s, d, SOURCES, 1), LOG_DIGITS, "log_mass").withColumn(
+            "log_mass", F.when(F.col("log_mass") > float("-inf"), F.col("log_mass"))
         ),
     }
 
@@ -198,17 +200,15 @@ def _models(s: SparkSession, d: str) -> DataFrame:
 
 
 def _ensemble(method: str) -> Job:
-    return lambda s, d: rounded(classify.apply_ensemble(s, d, _models(s, d), method), SCORE_DIGITS, "score")
+    return lambda s, d: shortened(classify.apply_ensemble(s, d, _models(s, d), method), "score", SCORE_DIGITS)
 
 
 def classification_jobs() -> dict[str, Job]:
     return {
-        "train_classifier": lambda s, d: rounded(classify.train_classifier(s, d, epochs=EPOCHS), WEIGHT_DIGITS, "weight"),
-        "train_models": lambda s, d: rounded(_models(s, d), WEIGHT_DIGITS, "weight"),
-        "train_classifier_online": lambda s, d: classify.train_classifier_online(s, d),
-        "train_classifier_online_shuffled": lambda s, d: classify.train_classifier_online(s, d, shuffle=True),
-        "apply_classifier": lambda s, d: rounded(
-            classify.apply_classifier(s, d, classify.train_classifier(s, d, epochs=EPOCHS)), SCORE_DIGITS, "score"
+        "train_classifier": lambda s, d: shortened(classify.train_classifier(s, d, epochs=EPOCHS), "weight"),
+        "train_models": lambda s, d: shortened(_models(s, d), "weight"),
+        "apply_classifier": lambda s, d: shortened(
+            classify.apply_classifier(s, d, classify.train_classifier(s, d, epochs=EPOCHS)), "score", SCORE_DIGITS
         ),
         "apply_ensemble_average": _ensemble("average"),
         "apply_ensemble_vote": _ensemble("vote"),
@@ -245,6 +245,9 @@ def arrival_jobs() -> dict[str, Job]:
     return {
         **_arrival_jobs("", streaming=True),
         **_arrival_jobs("_batch", streaming=False),
+        "event_count_hourly_batches": lambda s, d: _plain_end(arrivals.event_count_in_batches(s, d)),
+        "event_count_ten_minutes_batches": lambda s, d: _plain_end(arrivals.event_count_in_batches(s, d, "10 minutes")),
+        "region_count_ten_minutes_stream": lambda s, d: _plain_end(arrivals.region_count(s, d, "10 minutes", streaming=True)),
         "region_count_ten_minutes": lambda s, d: _plain_end(arrivals.region_count(s, d, "10 minutes")),
         "region_count_dense": lambda s, d: _plain_end(windows.dense(arrivals.region_count(s, d), "60 minutes")),
     }

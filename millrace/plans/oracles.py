@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from millrace.functions.regions import Region
+from millrace.operators.counts import SEGMENTS
 from millrace.plans import arrivals, catalog
 from millrace.plans.graph import KINDS
 
@@ -18,9 +19,14 @@ def _words(text: str) -> str:
     )
 
 
-LINES = "lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)"
+# A final line break opens no further line; every other line counts, blank ones too.
+CUT = (
+    "cut AS (SELECT doc_id, CASE WHEN l[-1] = '' THEN l[:-2] ELSE l END AS l FROM "
+    "(SELECT doc_id, regexp_split_to_array(text, '\\r\\n|\\r|\\n') AS l FROM documents))"
+)
+LINES = f"{CUT}, lines AS (SELECT doc_id, unnest(l) AS line FROM cut)"
 LINE_TOKENS = f"{LINES}, tokens AS (SELECT doc_id, {_words('line')} AS tk FROM lines)"
-LINE_WORDS = f"{LINE_TOKENS}, led AS (SELECT len(tk) AS n_raw, list_distinct(tk[1:40]) AS ws FROM tokens)"
+LINE_WORDS = f"{LINE_TOKENS}, led AS (SELECT len(tk) AS n_raw, list_distinct(tk) AS ws FROM tokens)"
 DOC_WORDS = f"occurrences AS (SELECT doc_id, unnest({_words('text')}) AS term FROM documents)"
 POSTINGS = f"{DOC_WORDS}, postings AS (SELECT term, doc_id, count(*) AS tf FROM occurrences GROUP BY ALL)"
 BIGRAMS = (
@@ -30,6 +36,10 @@ BIGRAMS = (
 )
 
 
+def _segment(entry: str) -> str:
+    return f"(('0x' || substr(md5({entry}), 1, 8))::BIGINT % {SEGMENTS})::INTEGER"
+
+
 def _pmi(where: str) -> str:
     return (
         f"WITH {LINE_WORDS}, uni AS (SELECT w, count(*) AS n FROM (SELECT unnest(ws) AS w FROM led {where}) GROUP BY w), "
@@ -44,7 +54,7 @@ def _pmi(where: str) -> str:
 def text_oracles() -> dict[str, str]:
     pmi = _pmi("")
     return {
-        "line_tokens": "WITH cut AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), "
+        "line_tokens": f"WITH {CUT}, "
         "lines AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS line_no, unnest(l) AS line FROM cut) "
         f"SELECT doc_id, line_no::INTEGER AS line_no, len({_words('line')})::INTEGER AS n_tokens FROM lines",
         "word_count": f"WITH {DOC_WORDS} SELECT term AS word, count(*) AS n FROM occurrences GROUP BY term",
@@ -55,11 +65,11 @@ def text_oracles() -> dict[str, str]:
         "bigram_relfreq_pairs": f"WITH {BIGRAMS} SELECT b.\"left\", b.\"right\", n::DOUBLE / total AS value "
         'FROM bigrams b JOIN totals t ON b."left" = t."left" '
         "UNION ALL SELECT \"left\", '*', total::DOUBLE FROM totals",
-        "bigram_relfreq_stripes": f"WITH {BIGRAMS} SELECT b.\"left\", 0 AS segment, b.\"right\", n::DOUBLE / total AS value "
+        "bigram_relfreq_stripes": f"WITH {BIGRAMS} SELECT b.\"left\", {_segment('b.\"right\"')} AS segment, b.\"right\", n::DOUBLE / total AS value "
         'FROM bigrams b JOIN totals t ON b."left" = t."left"',
         "pmi_pairs": pmi,
         "pmi_pairs_multi": _pmi("WHERE n_raw > 1"),
-        "pmi_stripes": f"SELECT x, 0 AS segment, y, pmi, n FROM ({pmi})",
+        "pmi_stripes": f"SELECT x, {_segment('y')} AS segment, y, pmi, n FROM ({pmi})",
     }
 
 
@@ -69,9 +79,10 @@ def text_oracles() -> dict[str, str]:
 def _index(width: int) -> str:
     return (
         f"{POSTINGS}, freq AS (SELECT term, count(*) AS df FROM postings GROUP BY term), "
-        f"placed AS (SELECT p.*, df, CASE WHEN df > {width} THEN doc_id // {width} ELSE 0 END AS segment, "
+        "numbers AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS number FROM (SELECT DISTINCT doc_id FROM postings)), "
+        f"placed AS (SELECT p.*, df, CASE WHEN df > {width} THEN number // {width} ELSE 0 END AS segment, "
         "doc_id - coalesce(lag(doc_id) OVER (PARTITION BY p.term ORDER BY doc_id), 0) AS gap "
-        "FROM postings p JOIN freq f ON p.term = f.term)"
+        "FROM postings p JOIN freq f ON p.term = f.term JOIN numbers USING (doc_id))"
     )
 
 
@@ -118,6 +129,12 @@ def retrieval_oracles() -> dict[str, str]:
     }
 
 
+def _significant(value: str, digits: int = catalog.DIGITS) -> str:
+    """Rounded to significant digits."""
+    scale = f"pow(10.0::DOUBLE, {digits - 1} - floor(log10(abs({value}))))"
+    return f"CASE WHEN {value} = 0 THEN {value} ELSE round({value} * {scale}) / {scale} END"
+
+
 # Graph --------------------------------------------------------------------------------------------
 
 
@@ -159,31 +176,27 @@ def _ranks(sources: list[int], steps: int) -> str:
 
 
 def graph_oracles() -> dict[str, str]:
-    sources, steps, digits = catalog.SOURCES, catalog.STEPS, catalog.RANK_DIGITS
+    sources, steps = catalog.SOURCES, catalog.STEPS
     k = len(sources)
     many = _ranks(sources, steps)
-    top = f"SELECT id, round(rank, {digits}) AS rank FROM r{steps} ORDER BY rank DESC, id LIMIT"
+    top = f"SELECT id, {_significant('r.rank')} AS rank FROM r{steps} r ORDER BY rank DESC, id LIMIT"
     return {
         "graph_build": f"WITH {GRAPH} SELECT id, deg AS degree, "
-        f"round(CASE WHEN {_sources(sources)} THEN 1.0::DOUBLE / {k} ELSE 0 END, {digits}) AS rank FROM nodes",
+        f"{_significant(f'(CASE WHEN {_sources(sources)} THEN 1.0::DOUBLE / {k} ELSE 0 END)')} AS rank FROM nodes",
         "graph_statistics": f"WITH {GRAPH} SELECT count(*) AS nodes, sum(deg)::BIGINT AS edges, "
         "count(*) FILTER (deg > 0) AS active_nodes FROM nodes",
-        "message_statistics": f"WITH {GRAPH}, dangling AS (SELECT count(*) AS n FROM nodes WHERE deg = 0), "
-        "receivers AS (SELECT dst FROM edges UNION "
-        f"SELECT id FROM nodes WHERE {_sources(sources)} AND (SELECT n FROM dangling) > 0), "
-        f"t AS (SELECT (SELECT count(*) FROM edges) + {k} * (SELECT n FROM dangling) AS messages, "
-        "(SELECT count(*) FROM receivers) AS received) "
-        "SELECT (SELECT count(*) FROM nodes) AS nodes, (SELECT count(*) FROM edges) AS edges, messages, received, "
-        "messages - received AS saved, (SELECT count(*) FROM receivers WHERE dst NOT IN (SELECT id FROM nodes)) AS missing FROM t",
+        "message_statistics": f"WITH {GRAPH} SELECT (SELECT count(*) FROM nodes) AS nodes, (SELECT count(*) FROM edges) AS edges, "
+        f"(SELECT count(*) FROM edges) + {k} * (SELECT count(*) FROM nodes WHERE deg = 0) AS messages, "
+        "(SELECT count(DISTINCT dst) FROM edges WHERE dst NOT IN (SELECT id FROM nodes)) AS missing",
         "missing_targets": f"WITH {GRAPH} SELECT dst, count(*) AS messages FROM edges "
         f"WHERE dst NOT IN (SELECT id FROM nodes WHERE id % {len(KINDS)} <> {SUPPLIER}) GROUP BY dst",
-        "personalized_pagerank": f"{many} SELECT id, round(rank, {digits}) AS rank FROM r{steps}",
+        "personalized_pagerank": f"{many} SELECT id, {_significant('rank')} AS rank FROM r{steps}",
         "single_source_pagerank": f"{_ranks(sources[:1], steps)} "
-        f"SELECT id, round(ln(rank), {catalog.LOG_DIGITS}) AS log_rank FROM r{steps} WHERE rank > 0",
+        f"SELECT id, CASE WHEN rank > 0 THEN round(ln(rank), {catalog.LOG_DIGITS}) END AS log_rank FROM r{steps}",
         "top_ranked_nodes": f"{many} {top} 100",
         "printed_ranks": f"{many} SELECT printf('%.5f', rank) AS rank, id FROM ({top} 20)",
-        "log_mass": f"{_ranks(sources, 1)} SELECT dst AS id, round(ln(sum(rank / deg)), {catalog.LOG_DIGITS}) AS log_mass "
-        "FROM edges JOIN r1 ON src = id WHERE rank > 0 GROUP BY dst",
+        "log_mass": f"{_ranks(sources, 1)}, arrived AS (SELECT dst, sum(rank / deg) AS mass FROM edges JOIN r1 ON src = id GROUP BY dst) "
+        f"SELECT dst AS id, CASE WHEN mass > 0 THEN round(ln(mass), {catalog.LOG_DIGITS}) END AS log_mass FROM arrived",
     }
 
 
@@ -215,20 +228,25 @@ def _training(model: str, epochs: int) -> str:
 def classification_oracles() -> dict[str, str]:
     epochs = catalog.EPOCHS
     one, several = _training("'all'", epochs), _training("lang", epochs)
-    weights = f"SELECT model_id, feature, round(weight, {catalog.WEIGHT_DIGITS}) AS weight FROM w{epochs}"
+    weights = f"SELECT model_id, feature, {_significant('weight')} AS weight FROM w{epochs}"
+    everyone = (
+        "everyone AS (SELECT doc_id, CASE WHEN quality = 0 THEN 'spam' WHEN quality IS NOT NULL THEN 'ham' END AS label, "
+        f"{_words('text')} AS fs FROM documents LEFT JOIN labels USING (doc_id)), "
+        "met AS (SELECT doc_id, unnest(fs) AS feature FROM everyone)"
+    )
     # Occurrences by feature first: each document meets every model.
     scores = (
-        f"{several}, models AS (SELECT DISTINCT model_id FROM w{epochs}), "
-        "per AS (SELECT i.doc_id, i.label, m.model_id, coalesce(s, 0) AS s FROM instances i CROSS JOIN models m LEFT JOIN "
-        f"(SELECT doc_id, w.model_id, sum(weight) AS s FROM occ JOIN w{epochs} w USING (feature) GROUP BY ALL) x "
+        f"{several}, {everyone}, models AS (SELECT DISTINCT model_id FROM w{epochs}), "
+        "per AS (SELECT i.doc_id, i.label, m.model_id, coalesce(s, 0) AS s FROM everyone i CROSS JOIN models m LEFT JOIN "
+        f"(SELECT doc_id, w.model_id, sum(weight) AS s FROM met JOIN w{epochs} w USING (feature) GROUP BY ALL) x "
         "ON x.doc_id = i.doc_id AND x.model_id = m.model_id), "
     )
-    labelled = f"SELECT doc_id, label, round(score, {catalog.SCORE_DIGITS}) AS score, CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS predicted FROM t"
+    labelled = f"SELECT doc_id, label, {_significant('score', catalog.SCORE_DIGITS)} AS score, CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS predicted FROM t"
     return {
         "train_classifier": f"{one} {weights}",
         "train_models": f"{several} {weights}",
-        "apply_classifier": f"{one}, t AS (SELECT i.doc_id, i.label, coalesce(s, 0) AS score FROM instances i LEFT JOIN "
-        f"(SELECT doc_id, sum(weight) AS s FROM occ JOIN w{epochs} USING (feature) GROUP BY doc_id) x ON x.doc_id = i.doc_id) {labelled}",
+        "apply_classifier": f"{one}, {everyone}, t AS (SELECT i.doc_id, i.label, coalesce(s, 0) AS score FROM everyone i LEFT JOIN "
+        f"(SELECT doc_id, sum(weight) AS s FROM met JOIN w{epochs} USING (feature) GROUP BY doc_id) x ON x.doc_id = i.doc_id) {labelled}",
         "apply_ensemble_average": f"{scores} t AS (SELECT doc_id, label, avg(s) AS score FROM per GROUP BY ALL) {labelled}",
         "apply_ensemble_vote": f"{scores} t AS (SELECT doc_id, label, "
         f"sum(CASE WHEN s > 0 THEN 1 ELSE -1 END)::DOUBLE AS score FROM per GROUP BY ALL) {labelled}",
@@ -280,6 +298,9 @@ def arrival_oracles() -> dict[str, str]:
     return {
         **per_job,
         **{f"{name}_batch": sql for name, sql in per_job.items()},
+        "event_count_hourly_batches": per_job["event_count_hourly"],
+        "event_count_ten_minutes_batches": f"WITH {_windowed('events', 10, chr(39) + 'all' + chr(39))} SELECT * FROM counts",
+        "region_count_ten_minutes_stream": f"WITH {_regional()}, {_windowed('regional', 10)} SELECT * FROM counts",
         "region_count_ten_minutes": f"WITH {_regional()}, {_windowed('regional', 10)} SELECT * FROM counts",
         "region_count_dense": f"{counted}, firsts AS (SELECT key, min(window_end) AS f FROM counts GROUP BY key), "
         "grid AS (SELECT key, unnest(generate_series(f, (SELECT max(window_end) FROM counts), INTERVAL 60 MINUTE)) AS window_end FROM firsts) "

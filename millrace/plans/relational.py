@@ -82,9 +82,8 @@ def q4_shipped_by_nation(spark: SparkSession, directory: str, date: str, fmt: st
     nation = read_table(spark, directory, "nation", fmt).select("n_nationkey", "n_name")
     per_customer = items.join(orders, "o_orderkey").groupBy("c_custkey").agg(F.sum("n").alias("n"))
     per_nation = per_customer.join(customer, "c_custkey").groupBy("n_nationkey").agg(F.sum("n").alias("n"))
-    # The nations are a fixed list of a few dozen rows.
     return (
-        per_nation.join(F.broadcast(nation), "n_nationkey")
+        per_nation.join(nation, "n_nationkey")
         .select("n_nationkey", "n_name", F.col("n").alias("items"))
         .orderBy("n_nationkey")
     )
@@ -93,7 +92,10 @@ def q4_shipped_by_nation(spark: SparkSession, directory: str, date: str, fmt: st
 def q5_monthly_by_nation(
     spark: SparkSession, directory: str, nations: Sequence[int] = (3, 24), fmt: str = "parquet"
 ) -> DataFrame:
-    """Number of line items shipped per month to customers of the given nations."""
+    """Number of line items shipped per month to customers of the given nations.
+
+    Items are counted per order and month before the join with the orders.
+    """
     wanted = list(nations)
     customer = (
         read_table(spark, directory, "customer", fmt)
@@ -103,10 +105,11 @@ def q5_monthly_by_nation(
     nation = read_table(spark, directory, "nation", fmt).where(F.col("n_nationkey").isin(wanted)).select("n_nationkey", "n_name")
     orders = read_table(spark, directory, "orders", fmt).select("o_orderkey", "o_custkey")
     items = read_table(spark, directory, "lineitem", fmt).select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate")
-    shipped = items.join(orders.join(customer, "o_custkey").select("o_orderkey", "n_nationkey"), "o_orderkey")
-    monthly = shipped.groupBy("n_nationkey", month_of(F.col("l_shipdate")).alias("month")).agg(F.count("*").alias("items"))
+    counted = items.groupBy("o_orderkey", month_of(F.col("l_shipdate")).alias("month")).agg(F.count("*").alias("n"))
+    shipped = counted.join(orders.join(customer, "o_custkey").select("o_orderkey", "n_nationkey"), "o_orderkey")
+    monthly = shipped.groupBy("n_nationkey", "month").agg(F.sum("n").alias("items"))
     return (
-        monthly.join(F.broadcast(nation), "n_nationkey")
+        monthly.join(nation, "n_nationkey")
         .select("n_nationkey", "n_name", "month", "items")
         .orderBy("n_nationkey", "month")
     )

@@ -72,7 +72,8 @@ def run_batches(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        if len(outputs) > 1:
+            batch.persist()
         try:
             for path, made_of in outputs.items():
                 made_of(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")

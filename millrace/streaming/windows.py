@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.regions import OFFICE_REGIONS, Region, by_type, region_of, region_title, taxi_position
+from millrace.session import fresh_path, write_and_read
 
 # An arrival is trending from 10 arrivals on, twice as many as in the window before.
 MIN_ARRIVALS = 10
@@ -98,7 +99,8 @@ def trend(events: DataFrame, length: str = "10 minutes", key: str = "key") -> Da
 
 
 def until_last_arrival(trends: DataFrame) -> DataFrame:
-    """Without the windows that end after the last one with an arrival."""
+    """Without the windows that end after the last one with an arrival. The counts are written first, to be read twice."""
+    trends = write_and_read(trends, fresh_path(trends.sparkSession, "trends"))
     last = trends.where("cur > 0").agg(F.max("window_end")).scalar()
     return trends.where(F.col("window_end") <= last)
 
@@ -131,8 +133,9 @@ def dense(counts: DataFrame, length: str) -> DataFrame:
     """Tumbling counts with a row of 0 for every later window of a key once it was seen.
 
     The windows are generated per key from its first one on, so there is no product of windows and
-    keys to join: ``counts`` are added to generated zeros.
+    keys to join: ``counts``, written first to be read three times, are added to generated zeros.
     """
+    counts = write_and_read(counts, fresh_path(counts.sparkSession, "window-counts"))
     last = counts.agg(F.max("window_end")).scalar()
     step = F.make_dt_interval(secs=F.lit(_seconds(length)))
     first = counts.groupBy("key").agg(F.min("window_end").alias("first"))

@@ -7,6 +7,8 @@ import check
 
 SQL = entry.oracle_sql()
 JOBS = entry.queries()
+# Optional parts whose results SQL cannot state; their own tests compare them with plain versions.
+WITHOUT_SQL = {name for name in JOBS if name == "pipeline" or name.startswith("op")}
 
 
 @pytest.fixture(scope="module")
@@ -16,12 +18,7 @@ def connection(small):
 
 def test_sql_belongs_to_queries():
     assert set(SQL) <= set(JOBS)
-    assert {name for name in JOBS if name not in SQL} == {
-        "graph_partition",
-        "graph_partition_range",
-        "train_classifier_online",
-        "train_classifier_online_shuffled",
-    }
+    assert {name for name in JOBS if name not in SQL} <= WITHOUT_SQL
 
 
 @pytest.mark.parametrize("name", sorted(JOBS))
