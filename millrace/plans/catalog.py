@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scores import significant
 from millrace.operators import boolean, index, ranking
-from millrace.plans import arrivals, classify, graph, relational, retrieval, text
+from millrace.plans import arrivals, classify, exchange, graph, relational, retrieval, text
 from millrace.session import fresh_path
 from millrace.sinks.files import write_tbl
 from millrace.sources.tables import read_table
@@ -253,6 +253,18 @@ def arrival_jobs() -> dict[str, Job]:
     }
 
 
+def exchange_jobs() -> dict[str, Job]:
+    return {
+        "trips_per_region": exchange.trips_per_region,
+        "order_instances": exchange.order_instances,
+        "order_adjacency": exchange.order_adjacency,
+        "text_model": lambda s, d: shortened(exchange.text_model(s, d, EPOCHS), "weight"),
+        "model_table": lambda s, d: shortened(exchange.model_table(s, d, EPOCHS), "weight"),
+        "sorted_text": exchange.sorted_text,
+        "resumed_pagerank": lambda s, d: shortened(exchange.resumed_ranks(s, d, SOURCES, STEPS // 2, STEPS), "rank"),
+    }
+
+
 def all_jobs() -> dict[str, Job]:
     return {
         **report_jobs(),
@@ -261,4 +273,5 @@ def all_jobs() -> dict[str, Job]:
         **graph_jobs(),
         **classification_jobs(),
         **arrival_jobs(),
+        **exchange_jobs(),
     }

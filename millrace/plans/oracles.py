@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.functions.regions import Region
+from millrace.functions.regions import OFFICE_REGIONS, Region
 from millrace.operators.counts import SEGMENTS
-from millrace.plans import arrivals, catalog
+from millrace.plans import arrivals, catalog, exchange
 from millrace.plans.graph import KINDS
 
 CUSTOMER, ORDER, PART, SUPPLIER = range(len(KINDS))
@@ -346,6 +346,30 @@ def report_oracles() -> dict[str, str]:
     }
 
 
+# Text records and files ---------------------------------------------------------------------------
+
+
+def exchange_oracles() -> dict[str, str]:
+    x = f"(({exchange.WEST} + event_id % 1000 * {exchange.STEP_X}) / {exchange.SCALE}::DOUBLE)"
+    y = f"(({exchange.SOUTH} + event_id * {exchange.SPREAD} % 1000 * {exchange.STEP_Y}) / {exchange.SCALE}::DOUBLE)"
+    cases = " ".join(
+        f"WHEN x > {r.min_x} AND x < {r.max_x} AND y > {r.min_y} AND y < {r.max_y} THEN '{r.name}'" for r in OFFICE_REGIONS
+    )
+    graph, models = graph_oracles(), classification_oracles()
+    blocks = f"FROM lineitem GROUP BY l_orderkey, l_linenumber // {exchange.BLOCK_LINES}"
+    return {
+        "trips_per_region": f"WITH points AS (SELECT {x} AS x, {y} AS y FROM events WHERE event_type IN ('click', 'view')) "
+        f"SELECT key, count(*) AS n FROM (SELECT CASE {cases} END AS key FROM points) WHERE key IS NOT NULL GROUP BY key",
+        "order_instances": "SELECT l_orderkey::VARCHAR AS doc_id, CASE WHEN l_orderkey % 3 = 0 THEN 'spam' ELSE 'ham' END AS label, "
+        f"count(*)::INTEGER AS n_features, sum(l_partkey)::BIGINT AS feature_sum {blocks}",
+        "order_adjacency": "SELECT l_orderkey AS src, count(*) AS edges, sum(l_partkey)::BIGINT AS targets FROM lineitem GROUP BY l_orderkey",
+        "text_model": f"SELECT feature, weight FROM ({models['train_classifier']})",
+        "model_table": models["train_models"],
+        "sorted_text": text_oracles()["word_count"],
+        "resumed_pagerank": graph["personalized_pagerank"],
+    }
+
+
 def all_oracles() -> dict[str, str]:
     return {
         **report_oracles(),
@@ -354,4 +378,5 @@ def all_oracles() -> dict[str, str]:
         **graph_oracles(),
         **classification_oracles(),
         **arrival_oracles(),
+        **exchange_oracles(),
     }
