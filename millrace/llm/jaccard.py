@@ -112,12 +112,30 @@ def signatures(shingles: np.ndarray, bands: Bands) -> Iterator[tuple[int, np.nda
 # Stages ---------------------------------------------------------------------------------------------
 
 RECORD = np.dtype([("sig", "<u8"), ("doc", "<u2"), ("band", "u1")])
+PACKED = 9
 FACT = np.dtype([("uid", "<i8"), ("k1", "<i8"), ("k2", "<i8"), ("n", "<i8"), ("doc", "<i8"), ("known", "<i8")])
 ASKED = "kind int, bucket int, block long, blob binary"
 FOUND = "kind int, k1 long, k2 long, n long, doc long, uids array<long>"
 FACTS, GROUPS, HOT = 0, 1, 2
 
 
+def pack_records(records: np.ndarray) -> bytes:
+    """Records without the lowest 16 bits of the signature: the few that then meet by chance are told apart later."""
+    kept = (records["sig"] >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]
+    return kept.tobytes() + records["doc"].tobytes() + records["band"].tobytes()
+
+
+def unpack_records(blob: bytes) -> np.ndarray:
+    n = len(blob) // PACKED
+    sig = np.zeros((n, 8), dtype=np.uint8)
+    sig[:, :6] = np.frombuffer(blob, np.uint8, 6 * n).reshape(-1, 6)
+    records = np.empty(n, dtype=RECORD)
+    records["sig"] = sig.view("<u8").ravel()
+    records["doc"] = np.frombuffer(blob, "<u2", n, 6 * n)
+    records["band"] = np.frombuffer(blob, "u1", n, 8 * n)
+    return records
+
+
 def first_uid(block: int) -> int:
     """Row number of the first document of a block: 20 bits of task, 21 of block, 22 of row."""
     task, seq = block >> 32, block & 0xFFFFFFFF
@@ -165,7 +183,7 @@ def _ask(buckets: int):
                 if parts:
                     records = np.concatenate(parts)
                     records = records[np.argsort(records["sig"], kind="stable")]
-                    out += [(GROUPS, b, block, records[x:y].tobytes()) for b, x, y in B.cuts(records["sig"], buckets)]
+                    out += [(GROUPS, b, block, pack_records(records[x:y])) for b, x, y in B.cuts(records["sig"], buckets)]
                 types = (pa.int32(), pa.int32(), pa.int64(), pa.binary())
                 columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, names=["kind", "bucket", "block", "blob"])
@@ -184,7 +202,7 @@ def _meet(table):
         if kind == FACTS:
             facts.append(np.frombuffer(blob, dtype=FACT))
         else:
-            part = np.frombuffer(blob, dtype=RECORD)
+            part = unpack_records(blob)
             parts.append(part)
             uids.append(part["doc"].astype(np.int64) + first_uid(block))
     out = []
@@ -295,6 +313,14 @@ def _places(hot: DataFrame) -> DataFrame:
     return hot.withColumn("spared", F.row_number().over(hottest) <= _spares(F.col("band")))
 
 
+def _sharing_enough(holders: DataFrame, facts: DataFrame) -> DataFrame:
+    """Holders that share more signatures, with whomever, than any pair of their size has to spare."""
+    totals = holders.groupBy("rep").agg(F.sum("weight").alias("total"))
+    known = totals.join(facts, F.col("rep") == F.col("uid"))
+    enough = known.where(F.col("total") + F.col("spared") > _spares(_band_of(F.col("n")))).select(F.col("rep").alias("_rep"))
+    return holders.join(enough, F.col("rep") == F.col("_rep")).drop("_rep")
+
+
 def _neighbours(holders: DataFrame) -> DataFrame:
     """Pairs of holders of a group, at most one per holder and group, with how much of its groups a pair shares.
 
@@ -435,8 +461,10 @@ def jaccard_join(docs: DataFrame) -> Joined:
     )
     joined = held.join(copies, F.col("uid") == F.col("copy"), "left")
     distinct = joined.groupBy("g", F.coalesce("rep", "uid").alias("rep")).agg(F.max("weight").alias("weight"))
+    facts_of = members.where("uid = rep").join(spared.withColumnRenamed("uid", "_u"), F.col("uid") == F.col("_u"), "left")
+    facts_of = stored(facts_of.select("uid", "n", F.coalesce("spared", F.lit(0)).alias("spared")), "jaccard-facts")
     nothing = docs.sparkSession.createDataFrame([], "a long, b long")
-    holders = stored(_rooted(distinct, nothing), "jaccard-holders")
+    holders = stored(_rooted(_sharing_enough(stored(distinct, "jaccard-shared"), facts_of), nothing), "jaccard-holders")
     requests = holders.select("rep").distinct().groupBy(_block_of(F.col("rep")).alias("block")).agg(F.collect_list("rep").alias("uids"))
     sets = stored(blocks.table.join(requests, "block").mapInArrow(_wanted_sets, "uid long, shingles array<long>"), "jaccard-sets")
 
@@ -446,8 +474,6 @@ def jaccard_join(docs: DataFrame) -> Joined:
     links = links.union(tiled)
     open_ = stored(_rooted(open_.where(F.col("crowd_size") < CROWD), links), "jaccard-rest")
 
-    facts_of = members.where("uid = rep").join(spared.withColumnRenamed("uid", "_u"), F.col("uid") == F.col("_u"), "left")
-    facts_of = facts_of.select("uid", "n", F.coalesce("spared", F.lit(0)).alias("spared"))
     sized = open_.join(facts_of, F.col("rep") == F.col("uid")).drop("uid")
     other = sized.select(
         F.col("g").alias("_g"), F.col("rep").alias("b"), F.col("root").alias("_root"), F.col("n").alias("_n"), F.col("spared").alias("_spared")
