@@ -26,6 +26,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return write_and_read(df, fresh_path(df.sparkSession, label))
 
 
+class Scratch:
+    """Tables that a call writes for itself, deleted when nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def path(self, label: str) -> str:
+        self.paths.append(fresh_path(self.spark, label))
+        return self.paths[-1]
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        return write_and_read(df, self.path(label))
+
+    def delete(self) -> None:
+        """Delete all tables written so far. What was computed from them has to be written elsewhere by then."""
+        for path in self.paths:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+        self.paths.clear()
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stored
+from millrace.llm.common import Scratch
 
 MAX_ROUNDS = 60
 
@@ -34,18 +34,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``(id, root)`` for every node of ``edges(a, b)``; the root is the smallest node of its component.
 
-    Every round is written to the shared folder. Loops and repeated edges change nothing; nodes without an edge to
-    another node are not listed.
+    Every round is written to the shared folder, and the one before deleted. Loops and repeated edges change
+    nothing; nodes without an edge to another node are not listed.
     """
-    now = stored(
+    scratch = Scratch(edges.sparkSession)
+    now = scratch.stored(
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
     )
     mark = _mark(now)
     for _ in range(MAX_ROUNDS):
         if not mark[0]:
             break
-        now = stored(_small_star(_large_star(now)), "edges")
+        older, scratch = scratch, Scratch(edges.sparkSession)
+        now = scratch.stored(_small_star(_large_star(now)), "edges")
         before, mark = mark, _mark(now)
+        older.delete()
         if before == mark:
             break
     else:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.llm import blocks as B
-from millrace.llm.common import grams, hash_words, mix, stored, text_words
+from millrace.llm.common import Scratch, grams, hash_words, mix, stored, text_words
 from millrace.llm.components import components
 
 SHINGLE = 5
@@ -436,25 +436,26 @@ def jaccard_join(docs: DataFrame) -> Joined:
     rows = docs.withColumns({"doc_id": docs["doc_id"].cast("long"), "text": docs["text"].cast("string")})
     blocks = B.write_blocks(rows, "jaccard-blocks")
     buckets = B.bucket_count(blocks.table)
+    scratch = Scratch(docs.sparkSession)
     asked = blocks.table.mapInArrow(_ask(buckets), ASKED)
     met = asked.groupBy("bucket").applyInArrow(_meet, FOUND)
-    path = B.fresh_path(docs.sparkSession, "jaccard-met")
+    path = scratch.path("jaccard-met")
     met.write.partitionBy("kind").parquet(path)
     found = docs.sparkSession.read.schema(FOUND).parquet(path)
     facts = found.where(F.col("kind") == FACTS).select(F.col("uids")[0].alias("uid"), "k1", "k2", "n", "doc")
-    classes = stored(
+    classes = scratch.stored(
         facts.where("n > 0").groupBy("k1", "k2").agg(F.min("uid").alias("rep")).withColumnRenamed("k1", "c1").withColumnRenamed("k2", "c2"),
         "jaccard-classes",
     )
     same = (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2"))
-    members = stored(facts.join(classes, same, "left").select("uid", "doc", "n", "rep"), "jaccard-members")
+    members = scratch.stored(facts.join(classes, same, "left").select("uid", "doc", "n", "rep"), "jaccard-members")
     copies = members.where("uid <> rep").select(F.col("uid").alias("copy"), "rep")
 
     hot = found.where(F.col("kind") == HOT).select(
         F.col("k1").alias("sig"), F.col("k2").alias("band"), F.col("n").alias("holders"), F.col("uids")[0].alias("uid")
     )
     small = found.where(F.col("kind") == GROUPS).groupBy("uids").agg(F.sum("n").alias("weight"))
-    hot = stored(_places(hot), "jaccard-hot")
+    hot = scratch.stored(_places(hot), "jaccard-hot")
     spared = hot.where("spared").groupBy("uid").agg(F.count("*").alias("spared"))
     held = small.select(F.xxhash64(F.lit(1), "uids").alias("g"), "weight", F.explode("uids").alias("uid")).union(
         hot.where("not spared").select(F.xxhash64(F.lit(2), "sig").alias("g"), F.lit(1).cast("long").alias("weight"), "uid")
@@ -462,17 +463,17 @@ def jaccard_join(docs: DataFrame) -> Joined:
     joined = held.join(copies, F.col("uid") == F.col("copy"), "left")
     distinct = joined.groupBy("g", F.coalesce("rep", "uid").alias("rep")).agg(F.max("weight").alias("weight"))
     facts_of = members.where("uid = rep").join(spared.withColumnRenamed("uid", "_u"), F.col("uid") == F.col("_u"), "left")
-    facts_of = stored(facts_of.select("uid", "n", F.coalesce("spared", F.lit(0)).alias("spared")), "jaccard-facts")
+    facts_of = scratch.stored(facts_of.select("uid", "n", F.coalesce("spared", F.lit(0)).alias("spared")), "jaccard-facts")
     nothing = docs.sparkSession.createDataFrame([], "a long, b long")
-    holders = stored(_rooted(_sharing_enough(stored(distinct, "jaccard-shared"), facts_of), nothing), "jaccard-holders")
+    holders = scratch.stored(_rooted(_sharing_enough(scratch.stored(distinct, "jaccard-shared"), facts_of), nothing), "jaccard-holders")
     requests = holders.select("rep").distinct().groupBy(_block_of(F.col("rep")).alias("block")).agg(F.collect_list("rep").alias("uids"))
-    sets = stored(blocks.table.join(requests, "block").mapInArrow(_wanted_sets, "uid long, shingles array<long>"), "jaccard-sets")
+    sets = scratch.stored(blocks.table.join(requests, "block").mapInArrow(_wanted_sets, "uid long, shingles array<long>"), "jaccard-sets")
 
-    links = stored(_verified(_best(_neighbours(holders)), sets), "jaccard-links")
-    open_ = stored(_crowds(_rooted(holders, links)), "jaccard-open")
-    tiled = stored(_compare_crowds(open_.where(F.col("crowd_size") >= CROWD), sets), "jaccard-tiled")
+    links = scratch.stored(_verified(_best(_neighbours(holders)), sets), "jaccard-links")
+    open_ = scratch.stored(_crowds(_rooted(holders, links)), "jaccard-open")
+    tiled = scratch.stored(_compare_crowds(open_.where(F.col("crowd_size") >= CROWD), sets), "jaccard-tiled")
     links = links.union(tiled)
-    open_ = stored(_rooted(open_.where(F.col("crowd_size") < CROWD), links), "jaccard-rest")
+    open_ = scratch.stored(_rooted(open_.where(F.col("crowd_size") < CROWD), links), "jaccard-rest")
 
     sized = open_.join(facts_of, F.col("rep") == F.col("uid")).drop("uid")
     other = sized.select(
@@ -489,12 +490,13 @@ def jaccard_join(docs: DataFrame) -> Joined:
         .where(F.col("shared") > _spares(_band_of(F.col("n"))))
         .select("a", "b")
     )
-    more = stored(_verified(crossing, sets), "jaccard-more")
+    more = scratch.stored(_verified(crossing, sets), "jaccard-more")
     final = components(links.union(more))
     linked = members.join(final, F.col("rep") == F.col("id"), "left").select(
         "uid", F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "uid").alias("root")
     )
     linked = stored(linked, "jaccard-linked")
+    scratch.delete()
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid")
     names = linked.groupBy("root").agg(F.min(order).alias("least")).withColumnRenamed("root", "_root")
     rows = linked.join(names, F.col("root") == F.col("_root")).select(
