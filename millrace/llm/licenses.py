@@ -118,7 +118,8 @@ def license_scan(docs: DataFrame, templates: DataFrame, n_bands: int = BANDS, co
         .withColumn("_map", map_)
         .select("_row", "doc_id", native.let(native.alnum_words(F.col("text").cast("string")), scanned).alias("_windows"))
     )
-    window = rows.select("_row", "doc_id", F.explode("_windows").alias("w")).select(
+    # The outer form, because the plain one would add a filter below that computes the windows once more.
+    window = rows.select("_row", "doc_id", F.explode_outer("_windows").alias("w")).where("w IS NOT NULL").select(
         "_row", "doc_id", F.col("w.step").alias("step"), F.col("w.start").alias("word_start"),
         F.array_distinct(shingles(F.col("w.words"))).alias("held"),
     )

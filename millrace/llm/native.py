@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import ascii_lower
 
-ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SMALLEST_MAP, LARGEST_MAP = 1 << 16, 1 << 24  # bits; the largest takes 2 MB
 MAX_BROADCAST_BYTES = 64 << 20
 
@@ -21,13 +21,13 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def alnum_words(text: Column) -> Column:
     """Words of letters, digits and characters beyond ASCII, A-Z lower-cased; none for null."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(f"({ALNUM_WORD})"), F.lit(1))
+    return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN_WORDS), lambda w: w != "")
 
 
 def gram_hashes(words: Column, n: int) -> Column:
-    """Hashes of all runs of ``n`` words; none if there are fewer."""
-    at = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.xxhash64(F.lit(n), F.slice(words, i, n)))
+    """Hashes of all runs of ``n`` words, equal to ``xxhash64`` of ``n`` and the run as an array; none if there are fewer."""
+    at = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda i: F.xxhash64(F.lit(n), *[F.get(words, i + k if k else i) for k in range(n)]))
 
 
 def window_minima(hashes: Column, width: int) -> Column:
