@@ -17,11 +17,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batches_of, stored, with_rank
+from millrace.llm.common import batches_of, stored, tidy, with_rank
 
 END_ID = 1
 CACHE_CHUNKS = 1_500_000
-PER_CALL = 256
+PER_CALL, CALLS = 256, 32
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 UNUSUAL_BREAK = re.compile("[\x1c-\x1f]")
 
@@ -133,14 +133,17 @@ class Encoder:
             known[c] = np.asarray(self._encode(c), dtype="<u4").tobytes()
         folded = {c: c.lower() for c in whole.difference(special) if c.isascii()}
         plain = list(whole.difference(special, folded).union(folded.values()).difference(known))
-        for at in range(0, len(plain), PER_CALL):
-            part = plain[at : at + PER_CALL]
-            ids = np.asarray(self._encode(f" {self.MARK} ".join(part)), dtype="<u4")
-            ends = np.flatnonzero(ids == self.mark_id)
-            data, begin = ids.tobytes(), 0
-            for c, end in zip(part, [*ends.tolist(), len(ids)], strict=True):
-                known[c] = data[4 * begin : 4 * end]
-                begin = end + 1
+        parts = [plain[at : at + PER_CALL] for at in range(0, len(plain), PER_CALL)]
+        for at in range(0, len(parts), CALLS):
+            texts = [f" {self.MARK} ".join(part) for part in parts[at : at + CALLS]]
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            for part, encoding in zip(parts[at : at + CALLS], found, strict=True):
+                ids = np.asarray(encoding.ids, dtype="<u4")
+                ends = np.flatnonzero(ids == self.mark_id)
+                data, begin = ids.tobytes(), 0
+                for c, end in zip(part, [*ends.tolist(), len(ids)], strict=True):
+                    known[c] = data[4 * begin : 4 * end]
+                    begin = end + 1
         for c, low in folded.items():
             known[c] = known[low]
         for c in ended:
@@ -180,7 +183,7 @@ def _pieces(path: str, size: int):
 def token_pieces(docs: DataFrame, tokenizer: str, size: int = 4096) -> DataFrame:
     """Pieces of at most ``size`` ids of every document; each document ends with id 1."""
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return rows.mapInArrow(_pieces(tokenizer, size), PIECES)
+    return rows.mapInArrow(tidy(_pieces(tokenizer, size)), PIECES)
 
 
 def _place(plan: list[tuple[int, int, int, int, int]]):
@@ -219,4 +222,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = 4096) -> DataFra
     pieces = stored(token_pieces(docs, tokenizer, size), "pieces")
     counts = pieces.groupBy("length").count().collect()  # one row per length: ``size`` at most
     ranked = with_rank(pieces, "length", ["doc_id", "piece", "start", "ids_crc32"], "rank")
-    return ranked.mapInArrow(_place(plan_bins([tuple(r) for r in counts], size)), PIECES + ", sequence_id long, offset long")
+    return ranked.mapInArrow(tidy(_place(plan_bins([tuple(r) for r in counts], size))), PIECES + ", sequence_id long, offset long")
