@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batches_of
+from millrace.llm.common import batches_of, tidy
 from millrace.session import Bucketed, fresh_path, shuffle_partitions
 
 BLOCK_BYTES = 4 << 20
@@ -53,7 +53,7 @@ def write_blocks(docs: DataFrame, label: str) -> Bucketed:
     path = fresh_path(spark, label)
     name = path.rsplit("/", 1)[1].replace("-", "_")
     (
-        docs.mapInArrow(_pack, BLOCKS)
+        docs.mapInArrow(tidy(_pack), BLOCKS)
         .write.format("parquet")
         .option("path", path)
         .option("compression", "none")

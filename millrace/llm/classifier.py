@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batches_of, hash_words, mix
+from millrace.llm.common import batches_of, hash_words, mix, tidy, tidy_group
 from millrace.session import shuffle_partitions
 
 SLICE = 1 << 20
@@ -114,9 +114,9 @@ def word_vectors(docs: DataFrame, shape: Shape) -> np.ndarray:
     parts = shuffle_partitions(docs.sparkSession)
     sums = (
         docs.select(docs["text"].cast("string").alias("text"))
-        .mapInArrow(_contexts(shape), "slot long, sums array<long>")
+        .mapInArrow(tidy(_contexts(shape)), "slot long, sums array<long>")
         .groupBy(F.pmod("slot", F.lit(parts)).alias("part"))
-        .applyInArrow(_add, "slot long, sums array<long>")
+        .applyInArrow(tidy_group(_add), "slot long, sums array<long>")
         .toPandas()
     )
     contexts = np.zeros((shape.table, shape.width))
@@ -285,7 +285,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, shape: Shape | None = Non
     # Repeated rows of one document would let its label in more often than the sample's bound.
     known = (
         labelled.select("doc_id", "text", "label")
-        .mapInArrow(_features(vectors, columns), "doc_id long, label double, x array<double>")
+        .mapInArrow(tidy(_features(vectors, columns)), "doc_id long, label double, x array<double>")
         .groupBy("doc_id", "label")
         .agg(F.min("x").alias("x"))
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
@@ -296,5 +296,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, shape: Shape | None = Non
     rest = [c for c in docs.columns if c not in ("held_out", "score")]
     rows = docs.select(*rest).withColumn("text", docs["text"].cast("string"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", score double"
-    scored = rows.mapInArrow(_scores(vectors, net), schema).withColumn("held_out", held_out(F.col("doc_id")))
+    scored = rows.mapInArrow(tidy(_scores(vectors, net)), schema).withColumn("held_out", held_out(F.col("doc_id")))
     return scored if keep_text else scored.drop("text")

@@ -5,7 +5,7 @@ Word hashes are 64-bit and made with numpy over whole byte buffers, so no Python
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +26,40 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return write_and_read(df, fresh_path(df.sparkSession, label))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers stay for later tasks, and so would what they once held."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over Arrow batches that gives its memory back at the end of the task."""
+
+    def tidied(rows: Iterator) -> Iterator:
+        yield from run(rows)
+        give_back()
+
+    return tidied
+
+
+def tidy_group(run: Callable) -> Callable:
+    """The same for a function of a group."""
+
+    def tidied(table):
+        try:
+            return run(table)
+        finally:
+            give_back()
+
+    return tidied
+
+
 class Scratch:
     """Tables that a call writes for itself, deleted when nothing reads them any more."""
 

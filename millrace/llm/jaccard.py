@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.llm import blocks as B
-from millrace.llm.common import Scratch, grams, hash_words, mix, stored, text_words
+from millrace.llm.common import Scratch, grams, hash_words, mix, stored, text_words, tidy, tidy_group
 from millrace.llm.components import components
 
 SHINGLE = 5
@@ -397,7 +397,7 @@ def _compare_crowds(crowds: DataFrame, sets: DataFrame) -> DataFrame:
     return (
         dealt.join(shingles, F.col("rep") == F.col("_uid"))
         .groupBy("crowd", F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"))
-        .applyInArrow(_compare_all, "a long, b long")
+        .applyInArrow(tidy_group(_compare_all), "a long, b long")
     )
 
 
@@ -437,8 +437,8 @@ def jaccard_join(docs: DataFrame) -> Joined:
     blocks = B.write_blocks(rows, "jaccard-blocks")
     buckets = B.bucket_count(blocks.table)
     scratch = Scratch(docs.sparkSession)
-    asked = blocks.table.mapInArrow(_ask(buckets), ASKED)
-    met = asked.groupBy("bucket").applyInArrow(_meet, FOUND)
+    asked = blocks.table.mapInArrow(tidy(_ask(buckets)), ASKED)
+    met = asked.groupBy("bucket").applyInArrow(tidy_group(_meet), FOUND)
     path = scratch.path("jaccard-met")
     met.write.partitionBy("kind").parquet(path)
     found = docs.sparkSession.read.schema(FOUND).parquet(path)
@@ -467,7 +467,7 @@ def jaccard_join(docs: DataFrame) -> Joined:
     nothing = docs.sparkSession.createDataFrame([], "a long, b long")
     holders = scratch.stored(_rooted(_sharing_enough(scratch.stored(distinct, "jaccard-shared"), facts_of), nothing), "jaccard-holders")
     requests = holders.select("rep").distinct().groupBy(_block_of(F.col("rep")).alias("block")).agg(F.collect_list("rep").alias("uids"))
-    sets = scratch.stored(blocks.table.join(requests, "block").mapInArrow(_wanted_sets, "uid long, shingles array<long>"), "jaccard-sets")
+    sets = scratch.stored(blocks.table.join(requests, "block").mapInArrow(tidy(_wanted_sets), "uid long, shingles array<long>"), "jaccard-sets")
 
     links = scratch.stored(_verified(_best(_neighbours(holders)), sets), "jaccard-links")
     open_ = scratch.stored(_crowds(_rooted(holders, links)), "jaccard-open")
@@ -533,4 +533,4 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     joined = jaccard_join(docs)
     kept = joined.rows.where("first").groupBy(_block_of(F.col("uid")).alias("block")).agg(F.collect_list("uid").alias("uids"))
     schema = docs.withColumns({"doc_id": docs["doc_id"].cast("long"), "text": docs["text"].cast("string")}).schema
-    return joined.blocks.table.join(kept, "block").mapInArrow(_take, schema)
+    return joined.blocks.table.join(kept, "block").mapInArrow(tidy(_take), schema)

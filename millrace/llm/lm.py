@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from millrace.llm import blocks as B
-from millrace.llm.common import grams, hash_words, stored, text_words
+from millrace.llm.common import grams, hash_words, stored, text_words, tidy, tidy_group
 
 ORDER = 3
 BACKOFF = 0.4
@@ -203,11 +203,11 @@ def score_documents(docs: DataFrame, order: int = ORDER, backoff: float = BACKOF
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     blocks = B.write_blocks(rows, "lm-blocks").table
     buckets = B.bucket_count(blocks)
-    total = blocks.mapInArrow(_count_words, "n long").groupBy().sum("n").first()[0] or 0
+    total = blocks.mapInArrow(tidy(_count_words), "n long").groupBy().sum("n").first()[0] or 0
     known = blocks
     for n in range(1, order + 1):
-        summed = known.mapInArrow(_ask(n, buckets), ROWS).groupBy("bucket").applyInArrow(_sum, ROWS)
+        summed = known.mapInArrow(tidy(_ask(n, buckets)), ROWS).groupBy("bucket").applyInArrow(tidy_group(_sum), ROWS)
         answers = stored(B.gathered(summed), f"lm-order{n}").withColumnRenamed("answers", f"order{n}")
         known = known.join(answers, "block", "left")
     schema = "doc_id long, n_words long, log_score double, " + ", ".join(f"{n} long" for n in _found_names(order))
-    return known.mapInArrow(_score(order, buckets, total, backoff), schema)
+    return known.mapInArrow(tidy(_score(order, buckets, total, backoff)), schema)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import batches_of, grams, hash_words, text_words
+from millrace.llm.common import batches_of, grams, hash_words, text_words, tidy
 
 WINDOW = 8
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -129,4 +129,4 @@ def quality_rules(docs: DataFrame, rules: Rules | None = None, with_text: bool =
     without a word are kept as they are and count for nothing. A word of any length is one word.
     """
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return rows.mapInArrow(_run(rules or Rules(), with_text), COLUMNS + (", cleaned string" if with_text else ""))
+    return rows.mapInArrow(tidy(_run(rules or Rules(), with_text)), COLUMNS + (", cleaned string" if with_text else ""))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from millrace.llm import blocks as B
-from millrace.llm.common import grams, hash_words, mix, stored, text_words
+from millrace.llm.common import grams, hash_words, mix, stored, text_words, tidy, tidy_group
 
 WINDOW = 13
 GRAM = 4
@@ -289,10 +289,10 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     rows = docs.drop(*ADDED).withColumns({"doc_id": docs["doc_id"].cast("long"), "text": docs["text"].cast("string")})
     blocks = B.write_blocks(rows, "substring-blocks").table
     buckets = B.bucket_count(blocks)
-    keys = blocks.mapInArrow(_ask_keys(buckets, window, gram), ROWS).groupBy("bucket").applyInArrow(_count_keys, ROWS)
+    keys = blocks.mapInArrow(tidy(_ask_keys(buckets, window, gram)), ROWS).groupBy("bucket").applyInArrow(tidy_group(_count_keys), ROWS)
     keys = stored(B.gathered(keys).withColumnRenamed("answers", "keys"), "substring-keys")
     known = blocks.join(keys, "block", "left")
-    runs = known.mapInArrow(_ask_runs(buckets, window, gram), ROWS).groupBy("bucket").applyInArrow(_least_ids(window), ROWS)
+    runs = known.mapInArrow(tidy(_ask_runs(buckets, window, gram)), ROWS).groupBy("bucket").applyInArrow(tidy_group(_least_ids(window)), ROWS)
     runs = stored(B.gathered(runs), "substring-runs")
     schema = StructType([*rows.schema.fields, *[StructField(n, StringType() if n == "kept" else LongType()) for n in ADDED]])
-    return known.join(runs, "block", "left").mapInArrow(_finish(buckets, window, gram), schema)
+    return known.join(runs, "block", "left").mapInArrow(tidy(_finish(buckets, window, gram)), schema)
