@@ -98,7 +98,8 @@ class Encoder:
     """Token ids of texts, cached by the blank-separated chunks that the tokenizer never joins.
 
     A full stop or comma after a letter is a token of its own, and case does not count, so only the chunk before it has
-    to be known, in lower case. New
+    to be known, in lower case. Case does count in added tokens, which are looked for in the text as it is: a chunk
+    that would hold one in lower case is encoded as it stands. New
     chunks are encoded many at once, with a control character between them that has an id of its own.
     """
 
@@ -109,6 +110,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         (self.mark_id,) = self._encode(self.MARK)
+        added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.known: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
@@ -131,7 +134,8 @@ class Encoder:
         special = [c for c in whole if self.MARK in c or not c]
         for c in special:
             known[c] = np.asarray(self._encode(c), dtype="<u4").tobytes()
-        folded = {c: c.lower() for c in whole.difference(special) if c.isascii()}
+        cased = self.added.search
+        folded = {c: low for c in whole.difference(special) if c.isascii() and not cased(low := c.lower())}
         plain = list(whole.difference(special, folded).union(folded.values()).difference(known))
         parts = [plain[at : at + PER_CALL] for at in range(0, len(plain), PER_CALL)]
         for at in range(0, len(parts), CALLS):

@@ -69,6 +69,20 @@ def test_chunks_are_encoded_as_in_their_text():
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_markers_count_in_their_own_case_only():
+    from tokenizers import Tokenizer
+
+    path = queries.vocabulary()
+    tokenizer, encoder, rng = Tokenizer.from_file(path), packing.Encoder(path), random.Random(2)
+    markers = [f(m) for m in ("<|endoftext|>", "<|startoftext|>") for f in (str.lower, str.upper, str.title)] + ["<|EndOfText|>", "<|endofTEXT|"]
+    pieces = [*markers, "a", "B", "É", ".", ",", "<|", "|>", " ", "\n", "\x01"]
+    # Both orders of learning the spellings, and many in one call.
+    texts = [*markers, *markers[::-1], *("".join(rng.choices(pieces, k=rng.randrange(8))) for _ in range(2000))]
+    got = [encoder.ids([t])[0] for t in texts[:16]] + encoder.ids(texts[16:])
+    for text, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("size", [64, 4096])
 def test_packed_documents(odd, no_docs, size):
     from tokenizers import Tokenizer
