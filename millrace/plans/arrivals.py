@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,29 +59,30 @@ def trends(
     return windows.until_last_arrival(found)
 
 
-def batched_events(spark: SparkSession, directory: str, batches: int, delay: str) -> DataFrame:
-    """The events as a stream of ``batches`` files in order of time, one file a batch, with a watermark.
+def batched_events(spark: SparkSession, directory: str, batches: int, delay: str) -> Iterator[DataFrame]:
+    """The events as a stream over files that grow by a batch at a time, with a watermark.
 
-    The files hold equal spans of time. They are written one after another, because a stream takes files in the
-    order in which they were written.
+    The batches are equal spans of time in their order. Each comes when the one before has been processed, in as many
+    files as the scan of the events has tasks with rows of it.
     """
     table = read_table(spark, directory, "events")
-    first, last = table.agg(F.min("ts"), F.max("ts")).first()
+    time = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = table.agg(F.min(time), F.max(time)).first()
     path = fresh_path(spark, "event-files")
-    part = F.floor(F.lit(batches) * (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp")))
-                   / (F.unix_micros(F.lit(last).cast("timestamp")) - F.unix_micros(F.lit(first).cast("timestamp")) + 1))
+    part = F.floor(F.lit(batches) * (time - F.lit(first)) / (F.lit(last) - F.lit(first) + 1))
     for batch in range(batches):
-        table.where(part == batch).coalesce(1).write.mode("append").parquet(path)
-    stream = replay.table_stream(spark, path, table.schema, files_per_batch=1)
-    return windows.with_event_time(stream, "ts", delay)
+        table.where(part == batch).write.mode("append").parquet(path)
+        stream = replay.table_stream(spark, path, table.schema, files_per_batch=replay.ALL_FILES)
+        yield windows.with_event_time(stream, "ts", delay)
 
 
 def event_count_in_batches(
     spark: SparkSession, directory: str, length: str = "60 minutes", batches: int = 6, delay: str = "2 hours"
 ) -> DataFrame:
     """``(window_end, key, n)`` of all events, from a stream of several batches that carries its open windows on."""
-    keyed = windows.with_constant_key(batched_events(spark, directory, batches, delay))
-    return _result(windows.window_counts(keyed, length), True)
+    arriving = batched_events(spark, directory, batches, delay)
+    counts = (windows.window_counts(windows.with_constant_key(e), length) for e in arriving)
+    return replay.replay_in_turn(spark, counts, "window_end", "key")
 
 
 def _result(windowed: DataFrame, streaming: bool) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from millrace.session import fresh_path
 
 # Fixed value: names of the files of a replayed collection, one per minute, numbered in time order.
 PART_FILES = "part-*"
+ALL_FILES = (1 << 31) - 1  # a batch takes whatever files there are
 
 
 def table_stream(
@@ -105,7 +106,15 @@ def latest(spark: SparkSession, sink: str, *keys: str) -> DataFrame:
 
 def replay(result: DataFrame, *keys: str) -> DataFrame:
     """Run a bounded stream to its end and return its last state, windows still open included."""
-    spark = result.sparkSession
+    return replay_in_turn(result.sparkSession, [result], *keys)
+
+
+def replay_in_turn(spark: SparkSession, results: Iterable[DataFrame], *keys: str) -> DataFrame:
+    """Run one bounded stream to the end of what there is, again for each of ``results``, and return its last state.
+
+    The results are the same query; its input may grow before the next is taken, and its state and watermark go on.
+    """
     base = fresh_path(spark, "stream")
-    run_updating(result, f"{base}/sink", f"{base}/checkpoint")
+    for result in results:
+        run_updating(result, f"{base}/sink", f"{base}/checkpoint")
     return latest(spark, f"{base}/sink", *keys)

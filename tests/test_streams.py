@@ -148,3 +148,20 @@ def test_titles_of_other_keys(spark):
     trend = spark.createDataFrame([(START, "x", 10, 5)], "window_end timestamp, key string, cur bigint, prev bigint")
     boxes = (Region("y", "Y", 0, 1, 0, 1),)
     assert windows.alerts(trend, regions=boxes).first().message.startswith("Number of arrivals to x has doubled from 5 to 10")
+
+
+def test_batches_of_many_files_lose_no_event(spark, small, rows, tmp_path, monkeypatch):
+    scattered = spark.read.parquet(f"{small}/events.parquet").repartition(3, "event_id")
+    scattered.write.parquet(f"{tmp_path}/events.parquet")
+    made, table_stream = [], replay.table_stream
+    monkeypatch.setattr(replay, "table_stream", lambda s, path, *a, **k: made.append(path) or table_stream(s, path, *a, **k))
+    spark.conf.set("spark.sql.files.openCostInBytes", "64m")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+    try:
+        got = arrivals.event_count_in_batches(spark, str(tmp_path), batches=4, delay="0 seconds")
+        assert rows(got) == rows(arrivals.event_count(spark, small))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    files = spark.read.parquet(made[0]).inputFiles()
+    assert len(files) == 4 * 3
