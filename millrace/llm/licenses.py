@@ -21,6 +21,107 @@ CONTAINMENT = 0.75
 BANDS = 64
 MIN_STEP = 4
 
+# Bodies of the short licenses and the standard headers of the long ones.
+AS_IS = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+REDISTRIBUTION = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution. "
+)
+
+
+def _gnu(name: str, version: str) -> str:
+    return (
+        f"This program is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as "
+        f"published by the Free Software Foundation, either version {version} of the License, or (at your option) any later "
+        "version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        f"{name} for more details."
+    )
+
+
+BODIES = (
+    (
+        "Apache-2.0",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance "
+        "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless "
+        "required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+        "\"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the "
+        "specific language governing permissions and limitations under the License.",
+    ),
+    ("BSD-2-Clause", REDISTRIBUTION + AS_IS),
+    (
+        "BSD-3-Clause",
+        REDISTRIBUTION + "3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission. " + AS_IS,
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS "
+        "PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, "
+        "OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION "
+        "OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+        "SOFTWARE.",
+    ),
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        "documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation "
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
+        "permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright "
+        "notice and this permission notice shall be included in all copies or substantial portions of the Software. THE "
+        "SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+        "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+        "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    ("GPL-2.0", _gnu("General Public License", "2")),
+    ("GPL-3.0", _gnu("General Public License", "3")),
+    ("LGPL-3.0", _gnu("Lesser General Public License", "3")),
+    ("AGPL-3.0", _gnu("Affero General Public License", "3")),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
+    # Passages by which the texts of the long licenses are known.
+    (
+        "Apache-2.0",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, "
+        "non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, "
+        "publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or "
+        "Object form.",
+    ),
+    (
+        "GPL-2.0",
+        "By contrast, the GNU General Public License is intended to guarantee your freedom to share and change free "
+        "software--to make sure the software is free for all its users.",
+    ),
+    ("GPL-3.0", "The GNU General Public License is a free, copyleft license for software and other kinds of works."),
+    (
+        "LGPL-3.0",
+        "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU "
+        "General Public License, supplemented by the additional permissions listed below.",
+    ),
+    (
+        "AGPL-3.0",
+        "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, "
+        "specifically designed to ensure cooperation with the community in the case of network server software.",
+    ),
+)
+
 # Notices by license.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -36,6 +137,7 @@ TEMPLATES = (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files, to deal in the Software without restriction.",
     ),
+    *BODIES,
 )
 
 
@@ -79,14 +181,16 @@ def license_scan(docs: DataFrame, templates: DataFrame, n_bands: int = BANDS, co
     rows and null ids are judged like any other row; other columns are not read.
     """
     known = stored(prepared(templates), "templates")
-    parts = known.select(F.explode("shingles").alias("shingle")).select(
-        F.xxhash64(F.lit(SHINGLE), F.split("shingle", " ")).alias("hash")
+    parts = known.select("step", F.explode("shingles").alias("shingle")).select(
+        "step", F.xxhash64(F.lit(SHINGLE), F.split("shingle", " ")).alias("hash")
     )
     facts = known.agg(
         F.collect_set("step").alias("steps"), F.sum(F.octet_length(F.array_join("shingles", " ")) + 200).alias("size")
     ).first()
     steps = sorted(facts["steps"]) or [MIN_STEP]
-    map_, bits = native.bitmap(parts.distinct(), "hash")
+    map_, bits = native.bitmap(parts.select("hash").distinct(), "hash")
+    # Windows of a step are only made around the shingles of templates of that step.
+    by_step = {s: native.bitmap(parts.where(F.col("step") == s).select("hash").distinct(), "hash") for s in steps}
 
     def places(h: Column) -> Column:
         at = F.when(F.size(h) > 0, F.sequence(F.lit(0), F.size(h) - 1)).otherwise(F.array().cast("array<int>"))
@@ -105,17 +209,20 @@ def license_scan(docs: DataFrame, templates: DataFrame, n_bands: int = BANDS, co
             ),
         )
 
-    def windows(words: Column, marked: Column) -> Column:
-        lists = [F.flatten(F.transform(marked, _for_step(windows_of, words, step))) for step in steps]
+    def places_of(step: int, h: Column, marked: Column) -> Column:
+        return F.filter(marked, lambda i: native.marked(F.col(f"_map_{step}"), by_step[step][1], F.element_at(h, i + 1)))
+
+    def windows(words: Column, h: Column, marked: Column) -> Column:
+        lists = [F.flatten(F.transform(places_of(s, h, marked), _for_step(windows_of, words, s))) for s in steps]
         return F.array_distinct(F.concat(*lists))
 
     def scanned(words: Column) -> Column:
-        return native.let(native.let(_shingle_hashes(words), places), lambda marked: windows(words, marked))
+        return native.let(_shingle_hashes(words), lambda h: native.let(places(h), lambda marked: windows(words, h, marked)))
 
     rows = (
         docs.select("doc_id", "text")
         .withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("_map", map_)
+        .withColumns({"_map": map_, **{f"_map_{s}": m for s, (m, _) in by_step.items()}})
         .select("_row", "doc_id", native.let(native.alnum_words(F.col("text").cast("string")), scanned).alias("_windows"))
     )
     # The outer form, because the plain one would add a filter below that computes the windows once more.

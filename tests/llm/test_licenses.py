@@ -3,7 +3,7 @@
 import plain
 import pytest
 
-from millrace.llm import licenses, urls
+from millrace.llm import licenses, queries, urls
 
 RULES = [
     ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.Example.com", "/en/"), ("block", "net", "/es/"),
@@ -88,3 +88,21 @@ def test_licenses_in_texts(spark, odd):
     assert got == want and len(got) > 20
     assert licenses.license_scan(docs, table.limit(0)).count() == 0
     assert licenses.license_scan(docs.limit(0), table).count() == 0
+
+
+def test_bodies_and_headers_are_found(spark, monkeypatch):
+    """The registered query knows bodies, here cut out of longer texts and in part reworded."""
+    isc = (
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies. The software is provided "
+        '"as is" and the author disclaims all warranties with regard to this software including all implied warranties of '
+        "merchantability and fitness. In no event shall the author be liable for any special, direct, indirect, or "
+        "consequential damages or any damages whatsoever resulting from loss of use, data or profits, whether in an action of "
+        "contract, negligence or other tortious action, arising out of or in connection with the use or performance of this software."
+    )
+    texts = {i: f"word {i} " * 40 + body + " more words" * 30 for i, (_, body) in enumerate(licenses.BODIES)}
+    docs = spark.createDataFrame([*texts.items(), (100, "x y " * 50 + isc), (101, "nothing of that kind " * 30)], "doc_id long, text string")
+    monkeypatch.setattr(queries.common, "documents", lambda *_: docs)
+    found = {(r.doc_id, r.license) for r in queries.op1_license_scan(spark, "").collect()}
+    assert {(i, name) for i, (name, _) in enumerate(licenses.BODIES)} <= found
+    assert (100, "ISC") in found and not any(doc == 101 for doc, _ in found)
