@@ -5,6 +5,7 @@ from __future__ import annotations
 from millrace.llm import licenses, quality_rules
 
 SPACED, ALNUM = r"'[^\x20\x09-\x0D]+'", r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
 
 
 def _lower(text: str) -> str:
@@ -168,6 +169,64 @@ SELECT doc_id, len(w)::BIGINT AS n_words, round(coalesce(s, 0), 6) AS log_score,
 """
 
 
+def merkle_manifest() -> str:
+    def framed(value: str) -> str:
+        return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(framed(x) for x in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)) + ")"
+
+    def tree(name: str, leaves: str) -> str:
+        return f"""{name} AS (SELECT tree, 0 AS lvl, pos, h, count(*) OVER (PARTITION BY tree) AS width FROM {leaves}
+  UNION ALL SELECT tree, lvl + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)), (any_value(width) + 15) // 16
+  FROM {name} WHERE width > 1 GROUP BY tree, lvl, pos // 16),
+{name}_runs AS (SELECT tree, lvl, pos // 16 AS up, list(h ORDER BY pos) AS hs FROM {name} WHERE width > 1 GROUP BY ALL)"""
+
+    def folding(name: str, nodes: str, begin: str) -> str:
+        before, after = "array_to_string(hs[1 : f.pos % 16], '')", "array_to_string(hs[f.pos % 16 + 2 : 16], '')"
+        return f"""{name} AS ({begin}
+  UNION ALL SELECT r, f.tree, f.lvl + 1, f.pos // 16, sha256({before} || cur || {after}), proof || {before} || {after}
+  FROM {name} f JOIN {nodes}_runs n ON n.tree = f.tree AND n.lvl = f.lvl AND n.up = f.pos // 16),
+{name}_end AS (SELECT r, arg_max(tree, lvl) AS tree, arg_max(cur, lvl) AS cur, arg_max(proof, lvl) AS proof FROM {name} GROUP BY r)"""
+
+    step = "lambda v, i: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    code = "list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)"
+    eight = "range(8)::BIGINT[]"
+    crc = f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {code}), lambda c, b: list_reduce(list_prepend(xor(c, b), {eight}), {step})))"
+    return f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, source, {leaf('text')} AS leaf,
+  CASE WHEN {crc} % 5 = 0 THEN {leaf(_lower('text'))} END AS tampered FROM documents),
+l AS (SELECT *, leaf AS h, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+{tree('low', 'l')},
+s AS (SELECT -1 AS tree, tree AS pos, h FROM low WHERE width = 1),
+{tree('high', 's')},
+{folding('near', 'low', "SELECT r, tree, 0 AS lvl, pos, coalesce(tampered, leaf) AS cur, '' AS proof FROM l")},
+{folding('far', 'high', "SELECT r, -1 AS tree, 0 AS lvl, tree AS pos, cur, proof FROM near_end")}
+SELECT doc_id, leaf, s.h AS subroot, top.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = top.h AS verified
+FROM l JOIN far_end USING (r) JOIN s ON s.pos = l.tree, (SELECT h FROM high WHERE width = 1) top
+"""
+
+
+def ranked_search() -> str:
+    terms = f"regexp_extract_all(coalesce({_lower('text')}, ''), {TERMS})"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {terms} AS w FROM documents),
+size AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS words FROM d WHERE len(w) > 0),
+q AS (SELECT row_number() OVER () AS item, item_id, {terms} AS w FROM benchmark),
+asked AS (SELECT item, item_id, term, count(*) AS times FROM (SELECT item, item_id, unnest(w) AS term FROM q) GROUP BY ALL),
+held AS (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM d),
+counted AS (SELECT r, doc_id, n, term, count(*) AS tf FROM held WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weighed AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM counted, size GROUP BY term),
+parts AS (SELECT item, item_id, r, doc_id, times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))) AS part
+  FROM counted JOIN weighed USING (term) JOIN asked USING (term), size),
+scores AS (SELECT item, item_id, r, doc_id, sum(part)::BIGINT AS score FROM parts GROUP BY ALL),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": license_scan(),
@@ -177,4 +236,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_substring_dedup": substring_dedup(),
         "op8_quality_rules": quality(),
         "op9_lm_scoring": lm_scoring(),
+        "op11_merkle_manifest": merkle_manifest(),
+        "op12_ranked_search": ranked_search(),
     }

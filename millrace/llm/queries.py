@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import classifier, common, decontamination, jaccard, licenses, lm, packing, quality_rules, sharding, substrings, urls
+from millrace.llm import (
+    chat,
+    classifier,
+    common,
+    decontamination,
+    jaccard,
+    licenses,
+    lm,
+    merkle,
+    packing,
+    quality_rules,
+    search,
+    sharding,
+    substrings,
+    urls,
+)
 
 # The rules that every URL is judged by.
 URL_RULES = (
@@ -20,6 +35,8 @@ URL_RULES = (
 SEQUENCE = 4096
 SHARDS = 8
 GOOD_SCORE = 0.3
+# Fixed value: a conversation of control strings alone.
+CONTROL_TURNS = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -88,6 +105,28 @@ def op10_quality_classifier(spark: SparkSession, directory: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= GOOD_SCORE).cast("int").alias("predicted"))
 
 
+def op11_merkle_manifest(spark: SparkSession, directory: str) -> DataFrame:
+    docs = common.documents(spark, directory)
+    lowered = {name: common.ascii_lower(docs["text"]) if name == "text" else docs[name] for name in merkle.FIELDS}
+    chosen = F.pmod(F.crc32(docs["doc_id"].cast("string").cast("binary")), F.lit(5)) == 0
+    tampered = F.when(chosen, merkle.leaf_digest(lowered))
+    proven = merkle.manifest(docs, {"tampered": tampered})
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_ranked_search(spark: SparkSession, directory: str) -> DataFrame:
+    return search.ranked_search(common.documents(spark, directory), spark.read.parquet(f"{directory}/benchmark.parquet"))
+
+
+def op13_chat_formatting(spark: SparkSession, directory: str) -> DataFrame:
+    turns = spark.read.parquet(f"{directory}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame(CONTROL_TURNS, "conv_id long, turn long, role string, text string")
+    return chat.read_back(chat.chat_windows(turns.unionByName(control), vocabulary()))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -100,4 +139,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_lm_scoring": op9_lm_scoring,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_ranked_search": op12_ranked_search,
+        "op13_chat_formatting": op13_chat_formatting,
     }
