@@ -75,8 +75,10 @@ class Trees(NamedTuple):
     roots: DataFrame  # (id, tree, digest)
 
 
-def _numbered(leaves: DataFrame, scratch: Scratch) -> DataFrame:
-    """Add ``tree``, the number of the source from 0 in order, ``at``, that of the leaf in it, and ``width``, its leaves."""
+def _numbered(leaves: DataFrame, scratch: Scratch) -> tuple[DataFrame, int, int]:
+    """Leaves with their numbers, the number of sources, and the leaves of the largest.
+
+    Adds ``tree``, the number of the source from 0 in order, ``at``, that of the leaf in it, and ``width``, its leaves."""
     order = [F.col(c).asc_nulls_first() for c in ("source", "doc_id", "leaf", "_row")]
     sorted_ = leaves.repartitionByRange(shuffle_partitions(leaves.sparkSession), *order).sortWithinPartitions(*order)
     placed = scratch.stored(sorted_.drop("_row").withColumn("_place", F.monotonically_increasing_id()), "leaves")
@@ -105,22 +107,30 @@ def _numbered(leaves: DataFrame, scratch: Scratch) -> DataFrame:
         F.col("_part").alias("_p"), F.col("source").alias("_s"), "_first", "_shift", "width", "tree"
     )
     met = (F.col("_part") == F.col("_p")) & F.col("source").eqNullSafe(F.col("_s"))
-    return placed.join(known, met).withColumn("at", F.col("_place") - F.col("_first") + F.col("_shift"))
+    facts = spans.agg(F.count(F.when(F.col("_shift") == 0, 1)).alias("sources"), F.max("width").alias("widest")).first()
+    numbered = placed.join(known, met).withColumn("at", F.col("_place") - F.col("_first") + F.col("_shift"))
+    return numbered, facts["sources"], facts["widest"] or 0
+
+
+def _height(width: int, fanout: int) -> int:
+    """Levels above ``width`` nodes."""
+    height = 0
+    while width > 1:
+        width, height = -(-width // fanout), height + 1
+    return height
 
 
-def _climb(nodes: DataFrame, fanout: int, level: int, scratch: Scratch) -> Trees:
+def _climb(nodes: DataFrame, fanout: int, level: int, height: int, scratch: Scratch) -> Trees:
     """Build trees over ``(id, tree, at, digest, width)``, whose first inner level is ``level``.
 
-    ``width`` is the number of nodes of the tree at this level.
+    ``width`` is the number of nodes of the tree at this level, and no tree is higher than ``height``.
     """
     nodes = scratch.stored(nodes, "nodes")
     below = [nodes.where("false").select("id", F.col("id").alias("up"), F.lit("").alias("path"), "digest")]
     roots = []
-    while True:
+    for level in range(level, level + height):
         roots.append(nodes.where("width = 1").select("id", "tree", "digest"))
         wide = nodes.where("width > 1")
-        if wide.isEmpty():
-            return Trees(_union(below), _union(roots))
         # At most ``fanout`` rows to a group.
         runs = wide.groupBy("tree", "width", F.expr(f"at div {fanout}").alias("up_at")).agg(
             F.array_sort(F.collect_list(F.struct("at", "id", "digest"))).alias("children")
@@ -137,7 +147,7 @@ def _climb(nodes: DataFrame, fanout: int, level: int, scratch: Scratch) -> Trees
             parent.alias("id"), "tree", F.col("up_at").alias("at"), digest(F.array_join(digests, "")).alias("digest"),
             F.ceil(F.col("width") / fanout).cast("long").alias("width"),
         )
-        level += 1
+    return Trees(_union(below), _union([*roots, nodes.where("width = 1").select("id", "tree", "digest")]))
 
 
 def _union(tables: list[DataFrame]) -> DataFrame:
@@ -147,19 +157,20 @@ def _union(tables: list[DataFrame]) -> DataFrame:
     return all_
 
 
-def _jump(nodes: DataFrame, root, fanout: int, scratch: Scratch) -> DataFrame:
-    """``(id, path, subroot)``: the path of every inner node to the root, and the root of its source on it."""
+def _jump(nodes: DataFrame, root, fanout: int, depth: int, scratch: Scratch) -> DataFrame:
+    """``(id, path, subroot)``: the path of every inner node to the root, and the root of its source on it.
+
+    No node is further than ``depth`` from the root.
+    """
     spark = nodes.sparkSession
     if root is None:
         return nodes.select("id", "path", "subroot")
     at_root = F.col("up") == _node(F.lit(root["tree"]), F.lit(root["level"]), F.lit(root["at"]))
     most = COPIES * shuffle_partitions(spark)
     distance = 1
-    while True:
+    while distance < depth:
         nodes = scratch.stored(nodes, "pointers")
         waiting = nodes.where(~at_root)
-        if waiting.isEmpty():
-            return nodes.select("id", "path", "subroot")
         copies = min(fanout ** (distance - 1), most)
         # Nodes of a source that others point to over this distance lie above it.
         ahead = nodes.where((F.col("id.tree") == TOP) | (F.col("id.level") > distance)).select(
@@ -172,6 +183,7 @@ def _jump(nodes: DataFrame, root, fanout: int, scratch: Scratch) -> DataFrame:
         )
         nodes = nodes.where(at_root).unionByName(moved)
         distance *= 2
+    return nodes.select("id", "path", "subroot")
 
 
 def manifest(docs: DataFrame, carried: Mapping[str, Column] | None = None, fields: tuple[str, ...] = FIELDS, fanout: int = FANOUT) -> DataFrame:
@@ -191,7 +203,7 @@ def manifest(docs: DataFrame, carried: Mapping[str, Column] | None = None, field
         F.monotonically_increasing_id().alias("_row"), F.struct(F.lit(1).alias("_"), *[c.alias(n) for n, c in carried.items()]).alias("_more"),
     )
     scratch = Scratch(docs.sparkSession)
-    numbered = _numbered(scratch.stored(leaves, "digests"), scratch)
+    numbered, n_sources, widest = _numbered(scratch.stored(leaves, "digests"), scratch)
     runs = numbered.groupBy("tree", "width", F.expr(f"at div {fanout}").alias("at")).agg(
         F.first("source").alias("source"), F.array_sort(F.collect_list(F.struct("at", "leaf", "doc_id", "_more"))).alias("leaves")
     )
@@ -204,14 +216,15 @@ def manifest(docs: DataFrame, carried: Mapping[str, Column] | None = None, field
         F.when(alone, F.element_at(digests, 1)).otherwise(digest(F.array_join(digests, ""))).alias("digest"),
         F.ceil(F.col("width") / fanout).cast("long").alias("width"),
     )
-    sources = _climb(first_level, fanout, 2, scratch)
+    height, height_above = _height(-(-widest // fanout), fanout), _height(n_sources, fanout)
+    sources = _climb(first_level, fanout, 2, height, scratch)
     subroots = scratch.stored(sources.roots, "subroots")
     top = _climb(
         subroots.select(
             "id", F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("at"), "digest",
-            F.lit(subroots.count()).cast("long").alias("width"),
+            F.lit(n_sources).cast("long").alias("width"),
         ),
-        fanout, 1, scratch,
+        fanout, 1, height_above, scratch,
     )
     root = top.roots.select("id.*", "digest").first()
     # The path of a node crosses the root of its source where that one's own pointer is part of it.
@@ -222,7 +235,7 @@ def manifest(docs: DataFrame, carried: Mapping[str, Column] | None = None, field
         top.nodes.select("id", "up", "path", crossing),
         top.roots.select("id", F.col("id").alias("up"), F.lit("").alias("path"), none),
     ]
-    paths = stored(_jump(_union(pointers), root, fanout, scratch), "paths").select(
+    paths = stored(_jump(_union(pointers), root, fanout, height + height_above, scratch), "paths").select(
         F.col("id").alias("_id"), F.col("path").alias("_path"), "subroot"
     )
     scratch.delete()
