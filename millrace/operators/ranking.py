@@ -9,9 +9,10 @@ rank vector. Rank sent to an id that is no node is lost.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import pairwise
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.scores import significant
@@ -90,11 +91,16 @@ def message_statistics(nodes: DataFrame, edges: DataFrame, sources: Sequence[int
     )
 
 
+def duplicate_nodes(nodes: DataFrame) -> DataFrame:
+    """``(id, definitions)`` of the ids that occur more than once."""
+    return nodes.groupBy("id").agg(F.count("*").alias("definitions")).where(F.col("definitions") > 1)
+
+
 def check_unique(nodes: DataFrame) -> None:
-    """Raise if an id occurs more than once."""
-    twice = nodes.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") > 1).take(1)
+    """Raise if an id occurs more than once; ``duplicate_nodes`` reports all that do."""
+    twice = duplicate_nodes(nodes).take(1)
     if twice:
-        raise ValueError(f"node {twice[0]['id']} is defined {twice[0]['n']} times")
+        raise ValueError(f"node {twice[0]['id']} is defined {twice[0]['definitions']} times")
 
 
 def is_source(node: Column, sources: Sequence[int]) -> Column:
@@ -181,25 +187,67 @@ def iterate(
     alpha: float = ALPHA,
     base: str | None = None,
     start: int = 0,
+    metrics: dict[str, Column] | None = None,
+    observed: list[dict] | None = None,
 ) -> DataFrame:
     """The node table with the ranks after ``iterations`` steps.
 
     Every step writes its ranks below ``base`` (by default a new path in the shared folder), which
-    cuts the lineage; a later call with ``start`` goes on from the snapshot of that number.
+    cuts the lineage; a later call with ``start`` goes on from the snapshot of that number. ``metrics`` are aggregates
+    over the node table, taken while it is written and put into ``observed``, one entry per written table.
     """
     if not sources:
         raise ValueError("at least one source is needed")
     spark = graph.nodes.sparkSession
     base = base or fresh_path(spark, "ranks")
-    if start == 0:
-        ranks = write_and_read(initial_ranks(graph, sources), snapshot_path(base, 0))
-    else:
-        ranks = read_snapshot(spark, base, start)
+
+    def written(ranks: DataFrame, iteration: int) -> DataFrame:
+        if not metrics:
+            return write_and_read(ranks, snapshot_path(base, iteration))
+        seen = Observation()
+        table = ranks.observe(seen, *[column.alias(name) for name, column in metrics.items()])
+        ranks = write_and_read(table, snapshot_path(base, iteration))
+        observed.append(seen.get)
+        return ranks
+
+    ranks = written(initial_ranks(graph, sources), 0) if start == 0 else read_snapshot(spark, base, start)
     for iteration in range(start, iterations):
-        ranks = write_and_read(step(graph, ranks, sources, alpha), snapshot_path(base, iteration + 1))
+        ranks = written(step(graph, ranks, sources, alpha), iteration + 1)
     return ranks
 
 
+def step_statistics(
+    nodes: DataFrame, edges: DataFrame, sources: Sequence[int], iterations: int, alpha: float = ALPHA
+) -> DataFrame:
+    """``(step, nodes, ranked, messages, lost_mass)`` of every step, observed on what the steps write anyway.
+
+    ``ranked`` nodes have rank before the step. They send a ``messages`` count of one along each edge, or one to each source
+    if they have none. ``lost_mass`` is the rank that the step sent to ids that are no nodes.
+    """
+    spark = nodes.sparkSession
+    count = len(set(sources))
+    has_rank = F.col("rank") > 0
+    sent = F.when(F.col("degree") > 0, F.col("degree")).otherwise(count)
+    metrics = {
+        "nodes": F.count("*"),
+        "ranked": F.count_if(has_rank),
+        "messages": F.coalesce(F.sum(F.when(has_rank, sent)), F.lit(0)),
+        "mass": F.coalesce(F.sum("rank"), F.lit(0.0)),
+        "restarts": F.count_if(is_source(F.col("id"), sources)),
+    }
+    graph, seen = prepare(nodes, edges), []
+    try:
+        iterate(graph, sources, iterations, alpha, metrics=metrics, observed=seen)
+    finally:
+        graph.release()
+    rows = []
+    for number, (before, after) in enumerate(pairwise(seen), 1):
+        # A step gives every source that is a node its part of alpha, and the rest is what has arrived.
+        arrived = (after["mass"] - alpha * after["restarts"] / count) / (1 - alpha)
+        rows.append((number, before["nodes"], before["ranked"], before["messages"], before["mass"] - arrived))
+    return spark.createDataFrame(rows, "step int, nodes long, ranked long, messages long, lost_mass double")
+
+
 def personalized_ranks(
     nodes: DataFrame,
     edges: DataFrame,

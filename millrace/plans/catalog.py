@@ -31,6 +31,7 @@ EPOCHS = 2
 TREND_LENGTH = "60 minutes"
 TREND_MIN = 3
 TREND_FACTOR = 2
+MINUTES_PER_BATCH = 360
 QUERIES = (
     "the",
     "from this AND",
@@ -60,7 +61,10 @@ _tbl_copies: dict[tuple[str, str], str] = {}
 
 
 def tbl_copy(spark: SparkSession, directory: str) -> str:
-    """A directory with the report tables as delimited text, written once per session."""
+    """A directory with the report tables as delimited text, written once per session.
+
+    The tables come as Parquet only, so this stands for text that is there already; it is no part of a report.
+    """
     key = (spark.sparkContext.applicationId, directory)
     if key not in _tbl_copies:
         target = fresh_path(spark, "tbl")
@@ -125,6 +129,7 @@ def text_jobs() -> dict[str, Job]:
     return {
         "line_tokens": text.line_tokens,
         "word_count": text.word_count,
+        "word_count_in_sql": text.word_count_in_sql,
         "line_frequency": text.line_frequency,
         "successor_count": lambda s, d: text.successor_count(s, d, WORD),
         "bigram_counts": text.bigram_counts,
@@ -179,6 +184,7 @@ def graph_jobs() -> dict[str, Job]:
         "graph_statistics": graph.graph_statistics,
         "message_statistics": lambda s, d: graph.message_statistics(s, d, SOURCES),
         "missing_targets": graph.missing_targets,
+        "step_statistics": lambda s, d: rounded(graph.step_statistics(s, d, SOURCES, STEPS), LOG_DIGITS, "lost_mass"),
         "personalized_pagerank": lambda s, d: shortened(_ranks(s, d), "rank"),
         "single_source_pagerank": lambda s, d: rounded(
             ranking.log_ranks(graph.personalized_ranks(s, d, SOURCES[:1], STEPS)), LOG_DIGITS, "log_rank"
@@ -247,6 +253,9 @@ def arrival_jobs() -> dict[str, Job]:
         **_arrival_jobs("_batch", streaming=False),
         "event_count_hourly_batches": lambda s, d: _plain_end(arrivals.event_count_in_batches(s, d)),
         "event_count_ten_minutes_batches": lambda s, d: _plain_end(arrivals.event_count_in_batches(s, d, "10 minutes")),
+        "trending_arrivals_kept": lambda s, d: windows.trend_rows(arrivals.kept_trends(s, d, TREND_LENGTH)),
+        "trends_and_alerts_stream": lambda s, d: arrivals.trends_and_alerts(s, d, TREND_MIN, TREND_FACTOR, TREND_LENGTH),
+        "event_count_hourly_closed": lambda s, d: _plain_end(arrivals.closed_windows(s, d)),
         "region_count_ten_minutes_stream": lambda s, d: _plain_end(arrivals.region_count(s, d, "10 minutes", streaming=True)),
         "region_count_ten_minutes": lambda s, d: _plain_end(arrivals.region_count(s, d, "10 minutes")),
         "region_count_dense": lambda s, d: _plain_end(windows.dense(arrivals.region_count(s, d), "60 minutes")),
@@ -256,8 +265,11 @@ def arrival_jobs() -> dict[str, Job]:
 def exchange_jobs() -> dict[str, Job]:
     return {
         "trips_per_region": exchange.trips_per_region,
+        "trips_by_minute": lambda s, d: _plain_end(exchange.trips_by_minute(s, d, "10 minutes", MINUTES_PER_BATCH, "10 minutes")),
         "order_instances": exchange.order_instances,
         "order_adjacency": exchange.order_adjacency,
+        "duplicate_orders": exchange.duplicate_orders,
+        "text_ensemble_vote": lambda s, d: shortened(exchange.text_ensemble(s, d, EPOCHS), "score", SCORE_DIGITS),
         "text_model": lambda s, d: shortened(exchange.text_model(s, d, EPOCHS), "weight"),
         "model_table": lambda s, d: shortened(exchange.model_table(s, d, EPOCHS), "weight"),
         "sorted_text": exchange.sorted_text,

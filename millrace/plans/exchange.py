@@ -12,20 +12,21 @@ from millrace.operators import ranking
 from millrace.plans import classify, text
 from millrace.plans.graph import order_graph
 from millrace.session import fresh_path
-from millrace.sinks.files import write_model, write_sorted, write_text, write_text_model
-from millrace.sources.features import parse_instances, parse_model, read_model
+from millrace.sinks.files import write_minutes, write_model, write_sorted, write_text, write_text_model, write_text_models
+from millrace.sources.features import parse_instances, parse_model, read_model, read_text_models
 from millrace.sources.graphs import adjacency_to_graph, parse_adjacency
 from millrace.sources.tables import read_table
 from millrace.sources.text import read_lines
-from millrace.streaming import windows
+from millrace.streaming import replay, windows
 
 BLOCK_LINES = 4
+DAY = "2015-12-01 00:00:00"
 # The events have no places. Clicks become yellow trips and views green ones, at points over the two blocks.
 WEST, SOUTH, STEP_X, STEP_Y, SPREAD, SCALE = -740_150_000, 407_130_000, 60, 90, 7919, 1e7
 
 
-def trip_lines(spark: SparkSession, directory: str) -> DataFrame:
-    """``(line_id, line)``: the events as comma-separated trips, written as text and read back."""
+def trips(spark: SparkSession, directory: str) -> DataFrame:
+    """``(ts, line)``: the events as comma-separated trips."""
     events = read_table(spark, directory, "events")
     x = F.format_string("%.7f", (F.lit(WEST) + F.col("event_id") % 1000 * STEP_X) / SCALE)
     y = F.format_string("%.7f", (F.lit(SOUTH) + F.col("event_id") * SPREAD % 1000 * STEP_Y) / SCALE)
@@ -34,11 +35,29 @@ def trip_lines(spark: SparkSession, directory: str) -> DataFrame:
     green = F.concat_ws(",", F.lit("green"), *[none] * 7, x, y, none)
     other = F.concat_ws(",", F.lit("black"), *[none] * 7, x, y, x, y)
     kind = F.col("event_type")
+    return events.select("ts", F.when(kind == "click", yellow).when(kind == "view", green).otherwise(other).alias("line"))
+
+
+def trip_lines(spark: SparkSession, directory: str) -> DataFrame:
+    """``(line_id, line)``: the trips, written as text and read back."""
     path = fresh_path(spark, "trips")
-    write_text(events.select(F.when(kind == "click", yellow).when(kind == "view", green).otherwise(other).alias("line")), path)
+    write_text(trips(spark, directory).select("line"), path)
     return read_lines(spark, path)
 
 
+def trips_by_minute(spark: SparkSession, directory: str, length: str, files_per_batch: int, delay: str) -> DataFrame:
+    """``(window_end, key, n)``: trips that end inside each block, from a stream over a text file per minute of the day.
+
+    The trips of all days are laid over one day, ``DAY``, whose minutes are in the names of the files.
+    """
+    minute = F.hour("ts") * 60 + F.minute("ts")
+    path = fresh_path(spark, "minutes")
+    write_minutes(trips(spark, directory).select("line", minute.alias("minute")), path, "line", "minute")
+    lines = replay.minute_lines(spark, path, DAY, files_per_batch)
+    arrivals = windows.taxi_arrivals(windows.with_event_time(lines, delay=delay))
+    return replay.replay(windows.window_counts(arrivals, length), "window_end", "key")
+
+
 def trips_per_region(spark: SparkSession, directory: str) -> DataFrame:
     """``(key, n)``: trips that end inside each block, read from their text."""
     return windows.taxi_arrivals(trip_lines(spark, directory)).groupBy("key").agg(F.count("*").alias("n"))
@@ -61,10 +80,21 @@ def order_instances(spark: SparkSession, directory: str) -> DataFrame:
     return parsed.select("doc_id", "label", F.size("features").alias("n_features"), total.alias("feature_sum"))
 
 
+def _order_graph(spark: SparkSession, directory: str) -> tuple[DataFrame, DataFrame]:
+    """Order blocks as adjacency lines, parsed into a graph; an order of several blocks is defined several times."""
+    lines = _order_blocks(spark, directory).select(F.concat_ws("\t", F.col("l_orderkey"), "parts").alias("line"))
+    return adjacency_to_graph(parse_adjacency(lines))
+
+
+def duplicate_orders(spark: SparkSession, directory: str) -> DataFrame:
+    """``(id, definitions)`` of the orders that have more than one adjacency record."""
+    nodes, _ = _order_graph(spark, directory)
+    return ranking.duplicate_nodes(nodes)
+
+
 def order_adjacency(spark: SparkSession, directory: str) -> DataFrame:
     """``(src, edges, targets)``: order blocks as adjacency lines, parsed into a graph."""
-    lines = _order_blocks(spark, directory).select(F.concat_ws("\t", F.col("l_orderkey"), "parts").alias("line"))
-    _, edges = adjacency_to_graph(parse_adjacency(lines))
+    _, edges = _order_graph(spark, directory)
     return edges.groupBy("src").agg(F.count("*").alias("edges"), F.sum("dst").alias("targets"))
 
 
@@ -75,6 +105,13 @@ def text_model(spark: SparkSession, directory: str, epochs: int) -> DataFrame:
     return parse_model(read_lines(spark, path))
 
 
+def text_ensemble(spark: SparkSession, directory: str, epochs: int, method: str = "vote") -> DataFrame:
+    """``(doc_id, label, score, predicted)`` of all documents by the models of all languages, each read from its own text file."""
+    path = fresh_path(spark, "text-models")
+    write_text_models(classify.train_classifier(spark, directory, per_language=True, epochs=epochs), path)
+    return classify.apply_ensemble(spark, directory, read_text_models(spark, path), method)
+
+
 def model_table(spark: SparkSession, directory: str, epochs: int) -> DataFrame:
     """``(model_id, feature, weight)`` of the models of all languages, written as a table and read back."""
     path = fresh_path(spark, "model-table")

@@ -81,6 +81,13 @@ def missing_targets(spark: SparkSession, directory: str) -> DataFrame:
     return ranking.missing_targets(nodes.where(F.col("id") % len(KINDS) != KINDS.index("supplier")), edges)
 
 
+def step_statistics(spark: SparkSession, directory: str, sources: Sequence[int], iterations: int) -> DataFrame:
+    """Statistics of every step when the suppliers are left out of the node table, so that rank sent to them is lost."""
+    nodes, edges = order_graph(spark, directory)
+    known = nodes.where(F.col("id") % len(KINDS) != KINDS.index("supplier"))
+    return ranking.step_statistics(known, edges, sources, iterations)
+
+
 def personalized_ranks(
     spark: SparkSession, directory: str, sources: Sequence[int], iterations: int, alpha: float = ranking.ALPHA
 ) -> DataFrame:

@@ -41,9 +41,14 @@ def _segment(entry: str) -> str:
 
 
 def _pmi(where: str) -> str:
+    # A pair is on no more lines than its rarer word, so words on fewer lines than a pair needs are dropped first.
     return (
         f"WITH {LINE_WORDS}, uni AS (SELECT w, count(*) AS n FROM (SELECT unnest(ws) AS w FROM led {where}) GROUP BY w), "
-        "firsts AS (SELECT unnest(ws) AS x, ws FROM led), "
+        "numbered AS (SELECT row_number() OVER () AS no, ws FROM led), "
+        "met AS (SELECT no, unnest(ws) AS w FROM numbered), "
+        f"often AS (SELECT w FROM met GROUP BY w HAVING count(*) >= {catalog.PMI_THRESHOLD}), "
+        "kept AS (SELECT no, list(w) AS ws FROM met JOIN often USING (w) GROUP BY no), "
+        "firsts AS (SELECT unnest(ws) AS x, ws FROM kept), "
         "pairs AS (SELECT x, y, count(*) AS n FROM (SELECT x, unnest(ws) AS y FROM firsts) WHERE x <> y GROUP BY ALL "
         f"HAVING count(*) >= {catalog.PMI_THRESHOLD}) "
         "SELECT x, y, round(log10(p.n::DOUBLE * (SELECT count(*) FROM lines) / (a.n::DOUBLE * b.n)), 9) AS pmi, p.n AS n "
@@ -58,6 +63,7 @@ def text_oracles() -> dict[str, str]:
         "lines AS (SELECT doc_id, generate_subscripts(l, 1) - 1 AS line_no, unnest(l) AS line FROM cut) "
         f"SELECT doc_id, line_no::INTEGER AS line_no, len({_words('line')})::INTEGER AS n_tokens FROM lines",
         "word_count": f"WITH {DOC_WORDS} SELECT term AS word, count(*) AS n FROM occurrences GROUP BY term",
+        "word_count_in_sql": f"WITH {DOC_WORDS} SELECT term AS word, count(*) AS n FROM occurrences GROUP BY term",
         "line_frequency": f"WITH {LINE_WORDS} SELECT word, count(*) AS n FROM (SELECT unnest(ws) AS word FROM led) GROUP BY word",
         "successor_count": f"WITH {BIGRAMS} SELECT \"right\" AS successor, n FROM bigrams WHERE \"left\" = '{catalog.WORD}' AND n > 1",
         "bigram_counts": f"WITH {BIGRAMS} SELECT * FROM bigrams",
@@ -175,6 +181,20 @@ def _ranks(sources: list[int], steps: int) -> str:
     return ", ".join(ctes)
 
 
+def _step_statistics(sources: list[int], steps: int) -> str:
+    """Per step, with the suppliers left out of the nodes: what nodes with rank send, and how much of it to no node."""
+    k = len(sources)
+    ctes = _ranks(sources, steps).replace("nodes AS (SELECT", f"nodes AS (SELECT * FROM (SELECT", 1)
+    ctes = ctes.replace("ON id = src)", f"ON id = src) WHERE id % {len(KINDS)} <> {SUPPLIER})", 1)
+    rows = " UNION ALL ".join(
+        f"SELECT {i + 1} AS step, count(*) AS nodes, count(*) FILTER (rank > 0) AS ranked, "
+        f"coalesce(sum(CASE WHEN deg > 0 THEN deg ELSE {k} END) FILTER (rank > 0), 0)::BIGINT AS messages, "
+        f"round((SELECT coalesce(sum(mass), 0) FROM m{i} WHERE dst NOT IN (SELECT id FROM nodes)), {catalog.LOG_DIGITS}) AS lost_mass FROM r{i}"
+        for i in range(steps)
+    )
+    return f"{ctes} {rows}"
+
+
 def graph_oracles() -> dict[str, str]:
     sources, steps = catalog.SOURCES, catalog.STEPS
     k = len(sources)
@@ -190,6 +210,7 @@ def graph_oracles() -> dict[str, str]:
         "(SELECT count(DISTINCT dst) FROM edges WHERE dst NOT IN (SELECT id FROM nodes)) AS missing",
         "missing_targets": f"WITH {GRAPH} SELECT dst, count(*) AS messages FROM edges "
         f"WHERE dst NOT IN (SELECT id FROM nodes WHERE id % {len(KINDS)} <> {SUPPLIER}) GROUP BY dst",
+        "step_statistics": _step_statistics(sources, steps),
         "personalized_pagerank": f"{many} SELECT id, {_significant('rank')} AS rank FROM r{steps}",
         "single_source_pagerank": f"{_ranks(sources[:1], steps)} "
         f"SELECT id, CASE WHEN rank > 0 THEN round(ln(rank), {catalog.LOG_DIGITS}) END AS log_rank FROM r{steps}",
@@ -295,9 +316,28 @@ def arrival_oracles() -> dict[str, str]:
         f"|| ' to ' || cur || ' at ' || ts || '!' AS message FROM trends "
         f"WHERE cur >= {catalog.TREND_MIN} AND cur >= {catalog.TREND_FACTOR} * prev",
     }
+    # Streams with a watermark of two hours leave out the windows that end later.
+    closed, closed_in_region = (f"<= (SELECT max(ts) - INTERVAL 2 HOUR FROM {source})" for source in ("events", "regional"))
+    kept = (
+        f"{counted}, firsts AS (SELECT key, min(window_end) AS f FROM counts GROUP BY key), "
+        "grid AS (SELECT key, unnest(generate_series(f, (SELECT max(window_end) FROM counts), INTERVAL 60 MINUTE)) AS window_end FROM firsts), "
+        "filled AS (SELECT window_end, key, coalesce(n, 0) AS cur FROM grid LEFT JOIN counts USING (window_end, key)) "
+        "SELECT key, cur, epoch_ms(window_end) AS ts, coalesce(lag(cur) OVER (PARTITION BY key ORDER BY window_end), 0) AS prev "
+        f"FROM filled WHERE window_end {closed_in_region}"
+    )
+    over = "to_timestamp(ts / 1000)::TIMESTAMP"
+    # Trends that were not cut at the last arrival: the watermark cuts them before it.
+    both = (
+        f"WITH {_regional()}, every AS ({per_job['trending_arrivals']}), raised AS ({per_job['trending_alerts']}) "
+        f"SELECT 'trend' AS kind, key, cur, ts, prev, NULL::VARCHAR AS message FROM every WHERE {over} {closed_in_region} "
+        f"UNION ALL SELECT 'alert', key, cur, ts, prev, message FROM raised WHERE {over} {closed_in_region}"
+    )
     return {
         **per_job,
         **{f"{name}_batch": sql for name, sql in per_job.items()},
+        "trending_arrivals_kept": kept,
+        "trends_and_alerts_stream": both,
+        "event_count_hourly_closed": f"WITH {_windowed('events', 60, chr(39) + 'all' + chr(39))} SELECT * FROM counts WHERE window_end {closed}",
         "event_count_hourly_batches": per_job["event_count_hourly"],
         "event_count_ten_minutes_batches": f"WITH {_windowed('events', 10, chr(39) + 'all' + chr(39))} SELECT * FROM counts",
         "region_count_ten_minutes_stream": f"WITH {_regional()}, {_windowed('regional', 10)} SELECT * FROM counts",
@@ -360,6 +400,14 @@ def exchange_oracles() -> dict[str, str]:
     return {
         "trips_per_region": f"WITH points AS (SELECT {x} AS x, {y} AS y FROM events WHERE event_type IN ('click', 'view')) "
         f"SELECT key, count(*) AS n FROM (SELECT CASE {cases} END AS key FROM points) WHERE key IS NOT NULL GROUP BY key",
+        "trips_by_minute": f"WITH points AS (SELECT {x} AS x, {y} AS y, 60 * hour(ts) + minute(ts) AS m FROM events "
+        "WHERE event_type IN ('click', 'view')), "
+        f"placed AS (SELECT m, CASE {cases} END AS key FROM points) "
+        f"SELECT TIMESTAMP '{exchange.DAY}' + to_minutes((m // 10 + 1) * 10) AS window_end, key, count(*) AS n "
+        "FROM placed WHERE key IS NOT NULL GROUP BY ALL",
+        "duplicate_orders": f"SELECT l_orderkey AS id, count(DISTINCT l_linenumber // {exchange.BLOCK_LINES}) AS definitions "
+        "FROM lineitem GROUP BY l_orderkey HAVING definitions > 1",
+        "text_ensemble_vote": models["apply_ensemble_vote"],
         "order_instances": "SELECT l_orderkey::VARCHAR AS doc_id, CASE WHEN l_orderkey % 3 = 0 THEN 'spam' ELSE 'ham' END AS label, "
         f"count(*)::INTEGER AS n_features, sum(l_partkey)::BIGINT AS feature_sum {blocks}",
         "order_adjacency": "SELECT l_orderkey AS src, count(*) AS edges, sum(l_partkey)::BIGINT AS targets FROM lineitem GROUP BY l_orderkey",

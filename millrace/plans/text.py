@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.sql import TOKENIZE, register_functions
 from millrace.functions.tokens import tokenize
 from millrace.operators import counts, pmi
 from millrace.sources.tables import read_table, spread_small
@@ -30,6 +31,16 @@ def word_count(spark: SparkSession, directory: str) -> DataFrame:
     return counts.word_count(documents(spark, directory))
 
 
+def word_count_in_sql(spark: SparkSession, directory: str) -> DataFrame:
+    """``(word, n)`` by SQL text that calls the word function."""
+    register_functions(spark)
+    return spark.sql(
+        f"SELECT word, count(*) AS n FROM (SELECT {TOKENIZE}(text) AS words FROM {{texts}}) "
+        "LATERAL VIEW explode(words) AS word GROUP BY word",
+        texts=documents(spark, directory),
+    )
+
+
 def line_frequency(spark: SparkSession, directory: str, limit: int | None = None) -> DataFrame:
     return counts.line_frequency(document_lines(spark, directory), limit)
 

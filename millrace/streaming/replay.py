@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,10 @@ from millrace.session import fresh_path
 PART_FILES = "part-*"
 ALL_FILES = (1 << 31) - 1  # a batch takes whatever files there are
 
+STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+#: The store that keyed state with timers needs.
+KEYED_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def table_stream(
     spark: SparkSession, directory: str, schema: T.StructType, files: str = "*.parquet", files_per_batch: int = 1000
@@ -33,7 +38,8 @@ def minute_lines(
     """``(ts, line)`` of text files that hold one minute each.
 
     The last number in a file's name says which minute after ``start`` it is. Taking the time from the
-    name and not from a clock makes a replay give the same windows at any speed.
+    name and not from a clock makes a replay give the same windows at any speed. A stream takes files in the
+    order of their times, which ``write_minutes`` sets to that of the minutes.
     """
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch) if streaming else spark.read
     lines = reader.option("pathGlobFilter", PART_FILES).text(directory)
@@ -42,20 +48,31 @@ def minute_lines(
     return lines.select(ts.alias("ts"), F.col("value").alias("line"))
 
 
-def run_appending(result: DataFrame, sink: str, checkpoint: str) -> None:
-    """Process what there is and append every finished window to a Parquet sink.
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started here keep their state in the store that keyed state needs."""
+    before = spark.conf.get(STORE_KEY, None)
+    spark.conf.set(STORE_KEY, KEYED_STORE)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STORE_KEY)
+        else:
+            spark.conf.set(STORE_KEY, before)
+
+
+def run_appending(result: DataFrame, sink: str, checkpoint: str, *by: str) -> None:
+    """Process what there is and append every finished window to a Parquet sink, a directory per value of ``by``.
 
     A window is finished when the watermark has passed its end, so the windows still open at the end
-    of the data are not written.
+    of the data are not written. The log of the sink names the files of finished batches, so a batch that is
+    written again after a failure counts once.
     """
-    query = (
-        result.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = result.writeStream.format("parquet").outputMode("append").option("path", sink)
+    if by:
+        writer = writer.partitionBy(*by)
+    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
@@ -118,3 +135,11 @@ def replay_in_turn(spark: SparkSession, results: Iterable[DataFrame], *keys: str
     for result in results:
         run_updating(result, f"{base}/sink", f"{base}/checkpoint")
     return latest(spark, f"{base}/sink", *keys)
+
+
+def append_in_turn(spark: SparkSession, results: Iterable[DataFrame], schema: str, *by: str) -> DataFrame:
+    """The same for finished windows only, appended to a sink with a directory per value of ``by``."""
+    base = fresh_path(spark, "stream")
+    for result in results:
+        run_appending(result, f"{base}/sink", f"{base}/checkpoint", *by)
+    return spark.read.schema(schema).parquet(f"{base}/sink")

@@ -73,7 +73,7 @@ def window_counts(events: DataFrame, length: str = "60 minutes", key: str = "key
     )
 
 
-def _seconds(length: str) -> int:
+def seconds_of(length: str) -> int:
     """Length of a window given as a number of minutes, hours or days."""
     number, unit = length.split()
     return int(number) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
@@ -86,7 +86,7 @@ def trend(events: DataFrame, length: str = "10 minutes", key: str = "key") -> Da
     aggregation is kept. A key absent from the window before has ``prev`` 0. Rows where both counts
     would be 0 are not produced; ``dense`` adds them.
     """
-    seconds = _seconds(length)
+    seconds = seconds_of(length)
     both = F.window("event_time", f"{2 * seconds} seconds", f"{seconds} seconds")
     spread = events.select(both.alias("w"), F.col(key).alias("key"), "event_time")
     is_current = F.col("event_time") >= F.col("w.end") - F.make_dt_interval(secs=F.lit(seconds))
@@ -137,7 +137,7 @@ def dense(counts: DataFrame, length: str) -> DataFrame:
     """
     counts = write_and_read(counts, fresh_path(counts.sparkSession, "window-counts"))
     last = counts.agg(F.max("window_end")).scalar()
-    step = F.make_dt_interval(secs=F.lit(_seconds(length)))
+    step = F.make_dt_interval(secs=F.lit(seconds_of(length)))
     first = counts.groupBy("key").agg(F.min("window_end").alias("first"))
     zeros = first.select(
         F.explode(F.sequence("first", last, step)).alias("window_end"), "key", F.lit(0).cast("long").alias("n")

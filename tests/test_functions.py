@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import brute
 from millrace.functions import dates, regions, scores
+from millrace.functions.sql import register_functions
 from millrace.functions.tokens import bigram_array, leading_distinct, tokenize
 from millrace.sources.text import explode_lines
 
@@ -38,8 +39,10 @@ def test_generated_tokens_equal_plain_python(spark):
 
 def test_cut_comes_before_distinct(spark):
     line = " ".join(["same"] * 39 + ["last", "beyond"])
-    df = spark.createDataFrame([(line,)], "s string").select(leading_distinct(tokenize(F.col("s"))).alias("t"))
+    words = tokenize(F.col("s"))
+    df = spark.createDataFrame([(line,)], "s string").select(leading_distinct(words, 40).alias("t"), leading_distinct(words).alias("all"))
     assert df.first().t == ["same", "last"]
+    assert df.first().all == ["same", "last", "beyond"]
 
 
 def test_bigrams_of_short_lines(spark):
@@ -110,3 +113,15 @@ def test_scores(spark):
     got = df.select(scores.label_of(F.col("s")).alias("l"), scores.sigmoid(F.col("s")).alias("p")).collect()
     assert [r.l for r in got] == ["ham", "spam", "ham", "spam"]
     assert [round(r.p, 6) for r in got] == [0.5, 0.5, 0.0, 1.0]
+
+
+def test_functions_of_sql_text_equal_the_columns(spark):
+    register_functions(spark)
+    register_functions(spark)
+    df = spark.createDataFrame([("It's  a\tTEST-case, 'x1y'.\n",), ("",), (None,)], "s string")
+    got = spark.sql("SELECT tokenize_words(s) AS w, count_words(s) AS n FROM {df}", df=df).collect()
+    want = df.select(tokenize(F.col("s")).alias("w")).collect()
+    assert [r.w for r in got] == [r.w for r in want] == [["it's", "a", "test-case", "x1y"], [], None]
+    assert [r.n for r in got][:2] == [4, 0]
+    plan = spark.sql("SELECT tokenize_words(s) FROM {df}", df=df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
