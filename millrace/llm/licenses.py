@@ -4,12 +4,14 @@ A template of T words is looked for in windows of 2S words that begin every S wo
 two of at least T - 1, so that it lies whole in some window. A window holding three quarters of a template's shingles
 and nothing else in common with it has a Jaccard similarity of at least 0.15 with the template (0.2 and more from
 eight words on), so the default of 64 one-row bands meets in at least one with probability 0.9999; a whole template
-usually lies in several windows. Two MinHash values can only be equal if the windows share a shingle, so only
-windows with at least one template shingle are hashed.
+usually lies in several windows. A window that holds fewer template shingles than three quarters of the shortest
+template it is made for cannot verify, so only windows with that many are hashed.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -184,10 +186,12 @@ def license_scan(docs: DataFrame, templates: DataFrame, n_bands: int = BANDS, co
     parts = known.select("step", F.explode("shingles").alias("shingle")).select(
         "step", F.xxhash64(F.lit(SHINGLE), F.split("shingle", " ")).alias("hash")
     )
-    facts = known.agg(
-        F.collect_set("step").alias("steps"), F.sum(F.octet_length(F.array_join("shingles", " ")) + 200).alias("size")
-    ).first()
-    steps = sorted(facts["steps"]) or [MIN_STEP]
+    # One row per step: fewer than there are powers of two.
+    facts = known.groupBy("step").agg(
+        F.min(F.size("shingles")).alias("least"), F.sum(F.octet_length(F.array_join("shingles", " ")) + 200).alias("size")
+    ).collect()
+    needed = {row["step"]: max(1, math.ceil(containment * row["least"] - 1e-9)) for row in facts} or {MIN_STEP: 1}
+    steps = sorted(needed)
     map_, bits = native.bitmap(parts.select("hash").distinct(), "hash")
     # Windows of a step are only made around the shingles of templates of that step.
     by_step = {s: native.bitmap(parts.where(F.col("step") == s).select("hash").distinct(), "hash") for s in steps}
@@ -196,16 +200,22 @@ def license_scan(docs: DataFrame, templates: DataFrame, n_bands: int = BANDS, co
         at = F.when(F.size(h) > 0, F.sequence(F.lit(0), F.size(h) - 1)).otherwise(F.array().cast("array<int>"))
         return F.filter(at, lambda i: native.marked(F.col("_map"), bits, F.element_at(h, i + 1)))
 
+    def starts_of(at: Column, step: int) -> Column:
+        """Numbers of the windows of ``2 * step`` words that hold as many marked shingles as a template needs, whole."""
+        fits = F.filter(at, lambda i: i + SHINGLE <= (F.floor(i / step) + 2) * step)
+        early = F.filter(at, lambda i: (i >= step) & (i + SHINGLE <= (F.floor(i / step) + 1) * step))
+        numbers = F.concat(
+            F.transform(fits, lambda i: F.floor(i / step).cast("int")), F.transform(early, lambda i: F.floor(i / step).cast("int") - 1)
+        )
+        # In order, a number that is there often enough is found again that many places further on.
+        ahead = needed[step] - 1
+        return native.let(F.array_sort(numbers), lambda g: F.array_distinct(F.filter(g, lambda x, i: F.get(g, i + ahead) == x)))
+
     def windows_of(words: Column, at: Column, step: int) -> Column:
-        """Windows of ``2 * step`` words that hold a marked shingle whole."""
-        one = F.floor(at / step).cast("int")
-        both = F.filter(F.array(one - 1, one), lambda g: (g >= 0) & (at + SHINGLE <= (g + 2) * step))
         return F.transform(
-            both,
+            starts_of(at, step),
             lambda g: F.struct(
-                F.lit(step).alias("step"),
-                (g * step).alias("start"),
-                F.slice(words, g * step + 1, 2 * step).alias("words"),
+                F.lit(step).alias("step"), (g * step).alias("start"), F.slice(words, g * step + 1, 2 * step).alias("words")
             ),
         )
 
@@ -213,8 +223,7 @@ def license_scan(docs: DataFrame, templates: DataFrame, n_bands: int = BANDS, co
         return F.filter(marked, lambda i: native.marked(F.col(f"_map_{step}"), by_step[step][1], F.element_at(h, i + 1)))
 
     def windows(words: Column, h: Column, marked: Column) -> Column:
-        lists = [F.flatten(F.transform(places_of(s, h, marked), _for_step(windows_of, words, s))) for s in steps]
-        return F.array_distinct(F.concat(*lists))
+        return F.concat(*[windows_of(words, places_of(s, h, marked), s) for s in steps])
 
     def scanned(words: Column) -> Column:
         return native.let(_shingle_hashes(words), lambda h: native.let(places(h), lambda marked: windows(words, h, marked)))
@@ -235,7 +244,7 @@ def license_scan(docs: DataFrame, templates: DataFrame, n_bands: int = BANDS, co
         "license", "template", "shingles",
         F.col("step").alias("_step"), F.col("t.band").alias("_band"), F.col("t.value").alias("_value"),
     )
-    index = native.broadcast_if_small(index, n_bands * (facts["size"] or 0))
+    index = native.broadcast_if_small(index, n_bands * sum(row["size"] for row in facts))
     meets = (F.col("step") == F.col("_step")) & (F.col("b.band") == F.col("_band")) & (F.col("b.value") == F.col("_value"))
     found = F.size(F.array_intersect("held", "shingles"))
     verified = (
@@ -261,10 +270,6 @@ def license_scan(docs: DataFrame, templates: DataFrame, n_bands: int = BANDS, co
     )
 
 
-def _for_step(windows_of, words: Column, step: int):
-    return lambda at: windows_of(words, at, step)
-
-
 def _shingle_hashes(words: Column) -> Column:
     """Hashes of all shingles; that of the whole, if there are fewer words."""
     short = F.when(F.size(words) > 0, F.array(F.xxhash64(F.lit(SHINGLE), words))).otherwise(F.array().cast("array<long>"))
