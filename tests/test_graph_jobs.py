@@ -127,3 +127,37 @@ def test_log_mass_equals_plain_mass(spark, parts):
 def test_ids_of_kinds_do_not_meet(spark, small):
     nodes, _ = graph.order_graph(spark, small)
     assert nodes.count() == nodes.distinct().count()
+
+
+def test_duplicate_nodes_are_reported(spark, rows):
+    nodes = spark.createDataFrame([(1,), (2,), (2,), (3,), (3,), (3,)], "id long")
+    assert rows(ranking.duplicate_nodes(nodes)) == [(2, 2), (3, 3)]
+    assert rows(ranking.duplicate_nodes(nodes.distinct())) == []
+
+
+def test_statistics_of_steps(spark):
+    # 1 -> 2, 2 -> 3 twice and to 9, which is no node; 3 leads nowhere. Sources are 1 and 4, and 4 leads nowhere.
+    nodes = spark.createDataFrame([(1,), (2,), (3,), (4,)], "id long")
+    edges = spark.createDataFrame([(1, 2), (2, 3), (2, 3), (2, 9)], "src long, dst long")
+    got = ranking.step_statistics(nodes, edges, [1, 4], 3, 0.2).collect()
+    assert [tuple(r)[:4] for r in got] == [(1, 4, 2, 3), (2, 4, 3, 6), (3, 4, 4, 8)]
+    ranks = {1: 0.5, 2: 0.0, 3: 0.0, 4: 0.5}
+    for row in got:
+        lost = ranks[2] / 3
+        assert row.lost_mass == pytest.approx(lost, abs=1e-12)
+        dangling = ranks[3] + ranks[4]
+        arrived = {1: 0.0, 2: ranks[1], 3: 2 * ranks[2] / 3, 4: 0.0}
+        ranks = {k: 0.8 * (arrived[k] + (dangling / 2 if k in (1, 4) else 0)) + (0.1 if k in (1, 4) else 0) for k in ranks}
+
+
+def test_metrics_cost_no_further_pass(spark):
+    nodes = spark.createDataFrame([(1,), (2,)], "id long")
+    edges = spark.createDataFrame([(1, 2)], "src long, dst long")
+    graph, seen = ranking.prepare(nodes, edges), []
+    try:
+        ranks = ranking.iterate(graph, [1], 2, metrics={"n": F.count("*")}, observed=seen)
+        assert seen == [{"n": 2}] * 3
+        plain = ranking.iterate(graph, [1], 2)
+        assert sorted(map(tuple, ranks.collect())) == sorted(map(tuple, plain.collect()))
+    finally:
+        graph.release()

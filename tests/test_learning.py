@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import brute
 from millrace.operators import learning, skew
 from millrace.session import in_buckets, write_bucketed
-from millrace.sinks.files import write_model, write_text_model
+from millrace.sinks.files import write_model, write_text_model, write_text_models
 from millrace.sources.features import is_positive, parse_instances, parse_model, read_model, read_text_models
 
 LINES = ["d1 spam 1 2 2 3", "d2 ham 2 4", "d3 spam 1 1 5", "d4 ham 4 4 6 1", "d5 other 7"]
@@ -152,3 +152,13 @@ def test_each_part_file_is_a_model(spark, tmp_path, rows):
         ("part-00001", "1", -2.0),
         ("part-00002", "7", 3.0),
     ]
+
+
+def test_models_written_as_a_file_each(spark, tmp_path, rows):
+    weights = [(m, f"w{i}({m}", i / 8 - 1) for m, n in (("b", 40), ("a", 3), ("c", 1)) for i in range(n)]
+    models = spark.createDataFrame(weights, "model_id string, feature string, weight double").repartition(5)
+    path = str(tmp_path / "models")
+    write_text_models(models, path)
+    assert sorted(p.name[:10] for p in (tmp_path / "models").glob("part-*")) == ["part-00000", "part-00001", "part-00002"]
+    named = {"a": "part-00000", "b": "part-00001", "c": "part-00002"}
+    assert rows(read_text_models(spark, path)) == sorted((named[m], f, w) for m, f, w in weights)

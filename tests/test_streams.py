@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.regions import OFFICE_REGIONS, Region
 from millrace.plans import arrivals
-from millrace.streaming import replay, windows
+from millrace.sinks import files
+from millrace.streaming import replay, state, windows
 
 START = dt.datetime(2015, 12, 1)
 GOLDMAN, CITIGROUP, NOWHERE = (-74.0140, 40.7145), (-74.0110, 40.7210), (-73.0, 40.0)
@@ -165,3 +166,93 @@ def test_batches_of_many_files_lose_no_event(spark, small, rows, tmp_path, monke
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     files = spark.read.parquet(made[0]).inputFiles()
     assert len(files) == 4 * 3
+
+
+# Keyed state ----------------------------------------------------------------------------------------
+
+
+def arriving_in_turn(spark, where, turns):
+    """A stream over files that grow by a turn at a time; a turn is a list of ``(minute, key)``."""
+    for nth, turn in enumerate(turns):
+        rows = [(at(minute), key) for minute, key in turn]
+        spark.createDataFrame(rows, "ts timestamp_ntz, key string").coalesce(1).write.mode("append").parquet(where)
+        stream = replay.table_stream(spark, where, spark.read.parquet(where).schema, files_per_batch=replay.ALL_FILES)
+        yield windows.with_event_time(stream).withWatermark("event_time", "0 seconds")
+
+
+def kept(spark, where, turns, length="10 minutes"):
+    found = (state.kept_trend(e, length) for e in arriving_in_turn(spark, where, turns))
+    with replay.keyed_state(spark):
+        rows = replay.append_in_turn(spark, found, state.TREND_SCHEMA).collect()
+    got = {(r.key, (r.window_end - START).seconds // 60): (r.cur, r.prev) for r in rows}
+    assert len(got) == len(rows)
+    return got
+
+
+def test_a_silent_key_has_rows_of_zero_as_the_watermark_passes(spark, tmp_path):
+    # Key "a" is silent from minute 10 to 39, "b" comes late, and nothing is said of windows that are open at the end.
+    turns = [[(1, "a"), (2, "a"), (12, "c")], [(25, "c"), (31, "c")], [(44, "a"), (45, "b"), (52, "c")]]
+    got = kept(spark, str(tmp_path / "events"), turns)
+    assert got == {
+        ("a", 10): (2, 0), ("a", 20): (0, 2), ("a", 30): (0, 0), ("a", 40): (0, 0), ("a", 50): (1, 0),
+        ("b", 50): (1, 0),
+        ("c", 20): (1, 0), ("c", 30): (1, 1), ("c", 40): (1, 1), ("c", 50): (0, 1),
+    }
+
+
+def test_one_batch_gives_what_many_give(spark, tmp_path):
+    turns = [[(m, "ab"[m % 2]) for m in range(0, 30, 3)], [(m, "a") for m in (31, 47)], [(80, "b")]]
+    many = kept(spark, str(tmp_path / "many"), turns)
+    assert kept(spark, str(tmp_path / "one"), [[e for turn in turns for e in turn]]) == many
+    assert many["a", 80] == (0, 0) and many["b", 80] == (0, 0)
+
+
+def test_a_null_key_is_a_key(spark, tmp_path):
+    got = kept(spark, str(tmp_path / "events"), [[(1, None), (22, None)]])
+    assert got == {(None, 10): (1, 0), (None, 20): (0, 1)}
+
+
+def test_keyed_state_leaves_the_session_as_it_was(spark):
+    before = spark.conf.get(replay.STORE_KEY)
+    with pytest.raises(RuntimeError), replay.keyed_state(spark):
+        assert spark.conf.get(replay.STORE_KEY) == replay.KEYED_STORE
+        raise RuntimeError
+    assert spark.conf.get(replay.STORE_KEY) == before
+
+
+# Sinks ----------------------------------------------------------------------------------------------
+
+
+def test_a_directory_per_closed_window(spark, tmp_path):
+    turns = [[(1, "a"), (12, "a")], [(13, "b"), (25, "a")], [(47, "a")]]
+    counts = (
+        windows.window_counts(e, "10 minutes").select("key", "n", F.unix_millis("window_end").alias("end_ms"))
+        for e in arriving_in_turn(spark, str(tmp_path / "events"), turns)
+    )
+    sink, checkpoint = str(tmp_path / "sink"), str(tmp_path / "checkpoint")
+    seen = []
+    for result in counts:
+        replay.run_appending(result, sink, checkpoint, "end_ms")
+        seen.append(sorted(p.name for p in (tmp_path / "sink").glob("end_ms=*")))
+    ends = [f"end_ms={int((at(m) - dt.datetime(1970, 1, 1)).total_seconds() * 1000)}" for m in (10, 20, 30)]
+    assert seen == [ends[:1], ends[:2], ends]
+    read = spark.read.schema("key string, n long, end_ms long").parquet(sink)
+    assert sorted((r.key, r.n, f"end_ms={r.end_ms}") for r in read.collect()) == [
+        ("a", 1, ends[0]), ("a", 1, ends[1]), ("a", 1, ends[2]), ("b", 1, ends[1]),
+    ]
+
+
+def test_minute_files_are_taken_in_their_order(spark, tmp_path):
+    where = str(tmp_path / "minutes")
+    spread = [(trip("yellow", GOLDMAN), minute) for minute in (59, 3, 3, 0, 31, 44, 59, 3)] + [(trip("green", CITIGROUP), 1439), (None, 7)]
+    files.write_minutes(spark.createDataFrame(spread, "text string, m long").repartition(4), where, "text", "m")
+    names = sorted(p.name for p in (tmp_path / "minutes").iterdir() if not p.name.startswith("."))
+    assert names == [f"part-0-{m:05d}" for m in (0, 3, 7, 31, 44, 59, 1439)]
+    times = [(tmp_path / "minutes" / n).stat().st_mtime for n in names]
+    assert times == sorted(times)
+    # With no delay at all, a file that came before its turn would be dropped.
+    lines = replay.minute_lines(spark, where, "2015-12-01 00:00:00", files_per_batch=1)
+    timed = windows.with_event_time(lines, delay="0 seconds")
+    counted = replay.replay(windows.window_counts(windows.taxi_arrivals(timed), "10 minutes"), "window_end", "key").collect()
+    got = {(r.key, int((r.window_end - START).total_seconds()) // 60): r.n for r in counted}
+    assert got == {("goldman", 10): 4, ("goldman", 40): 1, ("goldman", 50): 1, ("goldman", 60): 2, ("citigroup", 1440): 1}
