@@ -12,18 +12,19 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batches_of, stored, tidy, with_rank
+from millrace.llm.common import batches_of, hash_words, lower_bytes, stored, text_words, tidy, with_rank
 
 END_ID = 1
-CACHE_CHUNKS = 1_500_000
+CACHE_BYTES = 48 << 20
+MAX_WORDS = 1 << 20
 PER_CALL, CALLS = 256, 32
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-UNUSUAL_BREAK = re.compile("[\x1c-\x1f]")
 
 
 class CapacityTree:
@@ -94,67 +95,138 @@ def plan_bins(lengths: Iterable[tuple[int, int]], size: int) -> list[tuple[int,
     return plan
 
 
+class Chunks:
+    """Ids of chunks by hash: sorted hashes, and where the ids of each lie in one buffer. Bounded by bytes."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.begins = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.sizes, self.ids, self.used = np.empty(0, np.int64), np.empty(1 << 16, "<u4"), 0
+
+    @property
+    def size(self) -> int:
+        return 24 * len(self.hashes) + 4 * self.used
+
+    def places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where hashes are, or would be, and whether they are there."""
+        at = np.searchsorted(self.hashes, hashes)
+        if not len(self.hashes):
+            return at, np.zeros(len(hashes), dtype=bool)
+        return at, self.hashes[np.minimum(at, len(self.hashes) - 1)] == hashes
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Add sorted hashes that are not there yet."""
+        if self.used + len(ids) > len(self.ids):
+            grown = np.empty(max(2 * len(self.ids), self.used + len(ids)), "<u4")
+            grown[: self.used] = self.ids[: self.used]
+            self.ids = grown
+        self.ids[self.used : self.used + len(ids)] = ids
+        at = np.searchsorted(self.hashes, hashes)
+        self.begins = np.insert(self.begins, at, self.used + np.cumsum(sizes) - sizes)
+        self.sizes, self.hashes = np.insert(self.sizes, at, sizes), np.insert(self.hashes, at, hashes)
+        self.used += len(ids)
+
+
 class Encoder:
-    """Token ids of texts, cached by the blank-separated chunks that the tokenizer never joins.
+    """Token ids of texts, remembered by the blank-separated chunks that the tokenizer never joins.
 
-    A full stop or comma after a letter is a token of its own, and case does not count, so only the chunk before it has
-    to be known, in lower case. Case does count in added tokens, which are looked for in the text as it is: a chunk
-    that would hold one in lower case is encoded as it stands. New
-    chunks are encoded many at once, with a control character between them that has an id of its own.
+    A full stop or comma at the end of a chunk, after a letter, is a token of its own, so it is cut off. The case of A-Z does not
+    count, but in added tokens, which are looked for in the text as it is: a chunk that would hold one in lower case is
+    encoded as it stands. New chunks are encoded many at once, with a control character between them that has an
+    id of its own. Chunks are known by 64-bit hashes, and forgotten when they take more than ``CACHE_BYTES``.
     """
 
-    MARK = "\x01"
+    MARK = b"\x01"
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         (self.mark_id,) = self._encode(self.MARK)
-        added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
-        self.known: dict[str, bytes] = {}
+        added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"|".join(map(re.escape, added)) or rb"(?!)")
+        self.known = Chunks()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of every text."""
-        cut = [t.split(" ") if UNUSUAL_BREAK.search(t) else t.split() for t in texts]
-        if len(self.known) > CACHE_CHUNKS:
+        ids, offsets = self.encoded([t.encode() for t in texts])
+        return [ids[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+    def encoded(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids, offsets)``: ids of all texts, and where those of each text begin."""
+        buf, starts, ends, offsets = text_words(texts)
+        starts, ends, offsets = _without_stops(buf, starts, ends, offsets)
+        buf = self._folded(buf, starts, ends)
+        parts, sizes = [np.empty(0, "<u4")], [np.zeros(1, np.int64)]
+        for at in range(0, len(starts), MAX_WORDS):
+            part, size = self._chunks(buf, starts[at : at + MAX_WORDS], ends[at : at + MAX_WORDS])
+            parts.append(part)
+            sizes.append(size)
+        return np.concatenate(parts), np.cumsum(np.concatenate(sizes))[offsets]
+
+    def _folded(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A-Z in lower case but in chunks that would then hold an added token."""
+        lower = lower_bytes()[buf]
+        for found in self.added.finditer(lower.tobytes()):
+            # A token that holds a blank is in no chunk; one that is cut off from its stop is in the chunk before.
+            at = int(np.searchsorted(starts, found.start(), side="right")) - 1
+            if at >= 0:
+                lower[starts[at] : ends[at]] = buf[starts[at] : ends[at]]
+        return lower
+
+    def _chunks(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of consecutive chunks, and how many each has."""
+        hashes, first, which = np.unique(hash_words(buf, starts, ends), return_index=True, return_inverse=True)
+        if self.known.size > CACHE_BYTES:
             self.known.clear()
-        self._learn(set().union(*cut))
-        known = self.known
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
-
-    def _learn(self, chunks: set[str]) -> None:
-        known = self.known
-        new = chunks.difference(known)
-        ended = [c for c in new if c[-1:] in (".", ",") and c[-2:-1].lower().isalpha()]
-        whole = new.difference(ended)
-        whole.update(c[:-1] for c in ended)
-        whole.update((".", ","))
-        whole.difference_update(known)
-        special = [c for c in whole if self.MARK in c or not c]
-        for c in special:
-            known[c] = np.asarray(self._encode(c), dtype="<u4").tobytes()
-        cased = self.added.search
-        folded = {c: low for c in whole.difference(special) if c.isascii() and not cased(low := c.lower())}
-        plain = list(whole.difference(special, folded).union(folded.values()).difference(known))
-        parts = [plain[at : at + PER_CALL] for at in range(0, len(plain), PER_CALL)]
-        for at in range(0, len(parts), CALLS):
-            texts = [f" {self.MARK} ".join(part) for part in parts[at : at + CALLS]]
-            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            for part, encoding in zip(parts[at : at + CALLS], found, strict=True):
-                ids = np.asarray(encoding.ids, dtype="<u4")
-                ends = np.flatnonzero(ids == self.mark_id)
-                data, begin = ids.tobytes(), 0
-                for c, end in zip(part, [*ends.tolist(), len(ids)], strict=True):
-                    known[c] = data[4 * begin : 4 * end]
-                    begin = end + 1
-        for c, low in folded.items():
-            known[c] = known[low]
-        for c in ended:
-            known[c] = known[c[:-1]] + known[c[-1]]
-
-    def _encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        new = np.flatnonzero(~self.known.places(hashes)[1])
+        if len(new):
+            begin = int(starts[0])
+            data = buf[begin : int(ends[-1])].tobytes()
+            where = first[new]
+            spans = zip((starts[where] - begin).tolist(), (ends[where] - begin).tolist(), strict=True)
+            self.known.add(hashes[new], *self._learned([data[a:b] for a, b in spans]))
+        at = self.known.places(hashes)[0]
+        sizes = self.known.sizes[at][which]
+        shift = self.known.begins[at][which] - (np.cumsum(sizes) - sizes)
+        return self.known.ids[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))], sizes
+
+    def _learned(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks end to end, and how many each has."""
+        ids, sizes = [], []
+        # A chunk with the mark in it is encoded alone.
+        marked = [i for i, c in enumerate(chunks) if self.MARK in c] if any(self.MARK in c for c in chunks) else []
+        bounds = [-1, *marked, len(chunks)]
+        for before, after in pairwise(bounds):
+            run = chunks[before + 1 : after]
+            parts = [run[at : at + PER_CALL] for at in range(0, len(run), PER_CALL)]
+            for at in range(0, len(parts), CALLS):
+                texts = [(b" " + self.MARK + b" ").join(part).decode() for part in parts[at : at + CALLS]]
+                for encoding in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                    found = np.asarray(encoding.ids, dtype="<u4")
+                    marks = found == self.mark_id
+                    ids.append(found[~marks])
+                    sizes.append(np.diff(np.r_[-1, np.flatnonzero(marks), len(found)]) - 1)
+            if after < len(chunks):
+                ids.append(np.asarray(self._encode(chunks[after]), dtype="<u4"))
+                sizes.append(np.array([len(ids[-1])]))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _encode(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+
+
+def _without_stops(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, offsets: np.ndarray):
+    """Words with a final full stop or comma after a letter a-z cut into two."""
+    last, before = buf[ends - 1], buf[np.maximum(ends - 2, 0)] | 0x20
+    cut = ((last == 0x2E) | (last == 0x2C)) & (before >= 0x61) & (before <= 0x7A) & (ends - starts > 1)
+    counts = 1 + cut
+    second = (np.cumsum(counts) - 1)[cut]
+    starts, ends, stops = np.repeat(starts, counts), np.repeat(ends, counts), ends[cut] - 1
+    starts[second], ends[second - 1] = stops, stops
+    return starts, ends, np.r_[0, np.cumsum(counts)][offsets]
 
 
 def _pieces(path: str, size: int):
@@ -168,11 +240,11 @@ def _pieces(path: str, size: int):
         end = np.asarray([END_ID], dtype="<u4").tobytes()
         for batch in batches_of(rows):
             out = []
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.ids(texts), strict=True):
-                ids += end
-                for n, start in enumerate(range(0, len(ids), 4 * size)):
-                    piece = ids[start : start + 4 * size]
+            ids, offsets = encoder.encoded([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()])
+            for doc, a, b in zip(batch.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                data = ids[a:b].tobytes() + end
+                for n, start in enumerate(range(0, len(data), 4 * size)):
+                    piece = data[start : start + 4 * size]
                     out.append((doc, n, start // 4, len(piece) // 4, zlib.crc32(piece)))
             columns = list(zip(*out, strict=True))
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
