@@ -2,7 +2,8 @@
 
 Every run of 13 words keeps the smallest of the hashes of its 6-word grams. Document and benchmark windows that
 are equal keep the same gram, so joining the kept grams finds every shared window; the hit is then extended over
-all item windows that keep this gram, and each is compared word by word. Items of fewer words are one window and
+all item windows that keep this gram, and each is compared word by word. Whether a gram is the smallest of a window is
+only asked of those that the benchmark has. Items of fewer words are one window and
 keep the hash of the whole. A bitmap of the benchmark's grams, built before, spares the join nearly all others.
 """
 
@@ -16,6 +17,7 @@ from millrace.llm.common import stored
 
 SPAN = 13
 GRAM = 6
+_HIT = "struct<fp:bigint,at:int,begin:int,near:array<string>>"
 
 
 def fingerprints(benchmark: DataFrame, span: int, gram: int) -> DataFrame:
@@ -60,9 +62,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
     """All columns of ``docs(doc_id, text)`` with the words of each row that a benchmark window covers.
 
     Adds ``n_words``, ``n_hit``, ``items`` (sorted ids, as text, of the items with a window in the text) and
-    ``contaminated``: at least one word in twenty is hit. Columns of these names are replaced. Null, empty and
+    ``contaminated``: at least one word in twenty is hit. Columns of these names are replaced, any other names are fine. Null, empty and
     wordless texts have no words and are clean, and so is everything if the benchmark is empty. Every row is judged
     by itself, so repeated rows and null ids stay. Windows of items without an id count as hits but name no item.
+    The work is linear in the length of a text, however much of it is hit.
     """
     added = ("n_words", "n_hit", "items", "contaminated")
     rest = [c for c in docs.columns if c not in added]
@@ -72,76 +75,73 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
         F.sum(F.octet_length(F.concat_ws(" ", "segment")) + 100).alias("size"),
         F.collect_set(F.when(F.col("span") < span, F.col("span"))).alias("short"),
     ).first()
-    schemes = [(gram, span - gram + 1)] + [(n, 1) for n in sorted(facts["short"])]
+    schemes = [(span, gram)] + [(n, n) for n in sorted(facts["short"])]
     map_, bits = native.bitmap(prints, "fp")
 
-    def kept(words: Column, m: Column, gram: int, width: int) -> Column:
+    def kept(words: Column, span: int, gram: int) -> Column:
+        """Grams of benchmark fingerprints that are the smallest of some window, with the words of their windows."""
+        width = span - gram + 1
+
+        def smallest(h: Column, i: Column) -> Column:
+            windows = F.sequence(F.greatest(i - (width - 1), F.lit(1)), F.least(i, F.size(h) - (width - 1)))
+            return (F.size(h) >= width) & F.exists(windows, lambda s: F.array_min(F.slice(h, s, width)) == F.element_at(h, i))
+
         def places(h: Column) -> Column:
-            return F.transform(
-                F.filter(F.array_distinct(native.window_minima(h, width)), lambda v: native.marked(m, bits, v)),
-                lambda v: F.struct(
-                    v.alias("fp"),
-                    F.filter(F.sequence(F.lit(1), F.size(h)), lambda i: F.element_at(h, i) == v).alias("at"),
-                ),
-            )
+            at = F.when(F.size(h) > 0, F.sequence(F.lit(1), F.size(h))).otherwise(F.array().cast("array<int>"))
+            known = F.filter(at, lambda i: native.marked(F.col("map"), bits, F.element_at(h, i)))
+            if width > 1:
+                known = F.filter(known, lambda i: smallest(h, i))
+            return F.transform(known, lambda i: native.let(F.greatest(i - (width - 1), F.lit(1)), lambda begin: hit(h, i, begin)))
 
-        return native.let(native.gram_hashes(words, gram), places)
+        def hit(h: Column, i: Column, begin: Column) -> Column:
+            near = F.slice(words, begin, i - begin + span)
+            return F.struct(F.element_at(h, i).alias("fp"), i.alias("at"), begin.alias("begin"), near.alias("near"))
 
-    def wanted(words: Column, m: Column) -> Column:
-        return F.concat(*[kept(words, m, size, width) for size, width in schemes])
+        return native.let(native.gram_hashes(words, gram), places)
 
     def judged(words: Column) -> Column:
-        return native.let(
-            wanted(words, F.col("_map")),
-            lambda found: F.struct(
-                F.size(words).cast("long").alias("n"),
-                found.alias("found"),
-                F.when(F.size(found) > 0, words).alias("words"),
-            ),
-        )
+        return F.struct(F.size(words).alias("n"), F.concat(*[kept(words, *scheme) for scheme in schemes]).alias("hits"))
 
+    whole = F.struct(*[docs[f"`{c}`"].alias(c) for c in rest])
     rows = (
-        docs.select(*rest)
-        .withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("_map", map_)
-        .withColumn("_judged", native.let(native.alnum_words(F.col("text").cast("string")), judged))
-        .select("_row", *rest, F.col("_judged.n").alias("_n"), F.col("_judged.found").alias("_found"), F.col("_judged.words").alias("_words"))
+        docs.select(whole.alias("doc"), docs["text"].cast("string").alias("text"))
+        .withColumns({"row": F.monotonically_increasing_id(), "map": map_})
+        .select("row", "doc", native.let(native.alnum_words(F.col("text")), judged).alias("judged"))
     )
-    spread = rows.select("_row", *rest, "_n", "_words", F.explode_outer("_found").alias("_hit"))
-    joined = spread.join(native.broadcast_if_small(prints, facts["size"] or 0), F.col("_hit.fp") == F.col("fp"), "left")
-    begins = F.flatten(
-        F.transform(
-            F.col("_hit.at"),
-            lambda p: F.transform(
-                F.filter(
-                    F.sequence(F.lit(0), F.col("extra")),
-                    lambda t: (p - F.col("ahead") + t >= 1)
-                    & (p - F.col("ahead") + t + F.col("span") - 1 <= F.size("_words"))
-                    & (
-                        F.slice("_words", F.greatest(p - F.col("ahead") + t, F.lit(1)), F.col("span"))
-                        == F.slice("segment", t + 1, F.col("span"))
-                    ),
-                ),
-                lambda t: p - F.col("ahead") + t,
-            ),
-        )
+    # The document goes along once, beside its hits and not with each of them.
+    itself = F.struct(F.col("doc"), F.col("judged.n").alias("n"), F.lit(None).cast(_HIT).alias("hit"))
+    each = F.transform(
+        "judged.hits", lambda h: F.struct(F.lit(None).cast(rows.schema["doc"].dataType).alias("doc"), F.col("judged.n").alias("n"), h.alias("hit"))
+    )
+    spread = rows.select("row", F.explode(F.concat(F.array(itself), each)).alias("e")).select("row", "e.*")
+    # Rows without a hit meet nothing; a key of their own keeps them from one partition where the sides are shuffled.
+    key = F.when(F.col("hit").isNotNull(), F.col("hit.fp")).otherwise(F.xxhash64("row"))
+    known = native.broadcast_if_small(prints, facts["size"] or 0)
+    joined = spread.withColumn("key", key).join(known, (F.col("key") == F.col("fp")) & F.col("hit").isNotNull(), "left")
+    first = F.col("hit.at") - F.col("ahead")
+    matching = F.filter(
+        F.sequence(F.lit(0), F.col("extra")),
+        lambda t: (first + t >= 1)
+        & (first + t + F.col("span") - 1 <= F.col("n"))
+        & (
+            F.slice("hit.near", F.greatest(first + t, F.lit(1)) - F.col("hit.begin") + 1, F.col("span"))
+            == F.slice("segment", t + 1, F.col("span"))
+        ),
     )
-    matched = joined.withColumn("_begins", F.when(F.col("fp").isNotNull(), begins))
-    hit = F.when(F.size("_begins") > 0, F.struct("item", "span", F.col("_begins").alias("begins")))
-    grouped = matched.groupBy("_row").agg(
-        *[F.first(c).alias(c) for c in rest], F.first("_n").alias("n_words"), F.collect_list(hit).alias("_hits")
+    matched = joined.withColumn("begins", F.when(F.col("fp").isNotNull(), F.transform(matching, lambda t: first + t)))
+    found = F.when(F.size("begins") > 0, F.struct("item", "span", "begins"))
+    grouped = matched.groupBy("row").agg(
+        F.first("doc", ignorenulls=True).alias("doc"), F.first("n").cast("long").alias("n_words"), F.collect_list(found).alias("hits")
     )
     covered = F.array_distinct(
-        F.flatten(
-            F.transform(
-                "_hits",
-                lambda s: F.flatten(F.transform(s["begins"], lambda b: F.sequence(b, b + s["span"] - 1))),
-            )
-        )
+        F.flatten(F.transform("hits", lambda s: F.flatten(F.transform(s["begins"], lambda b: F.sequence(b, b + s["span"] - 1)))))
     )
-    return (
-        grouped.withColumn("n_hit", F.size(covered).cast("long"))
-        .withColumn("items", F.array_sort(F.array_distinct(F.filter(F.transform("_hits", lambda s: s["item"]), lambda x: x.isNotNull()))))
-        .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-        .select(*rest, *added)
+    items = F.array_sort(F.array_distinct(F.filter(F.transform("hits", lambda s: s["item"]), lambda x: x.isNotNull())))
+    n_hit = F.size(covered).cast("long")
+    return grouped.select("doc", "n_words", n_hit.alias("n_hit"), items.alias("items")).select(
+        *[F.col("doc").getField(c).alias(c) for c in rest],
+        "n_words",
+        "n_hit",
+        "items",
+        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )

@@ -141,6 +141,34 @@ def test_contamination(odd, spark):
     assert not nothing.where("contaminated OR n_hit > 0").count()
 
 
+def test_contamination_with_columns_of_any_name(spark):
+    names = ["span", "item", "fp", "segment", "extra", "_row", "_hit", "row", "doc", "map", "judged", "hit", "key", "e", "n", "a.b", "ahead"]
+    passage = " ".join(f"w{i}" for i in range(20))
+    texts = [passage, "other words only", None]
+    rows = [(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *[f"`{n}` string" for n in names]]))
+    benchmark = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    got = decontamination.contamination(docs, benchmark)
+    assert got.columns == [*docs.columns, "n_words", "n_hit", "items", "contaminated"]
+    assert sorted((tuple(r)[: len(rows[0])] for r in got.collect()), key=lambda r: r[0]) == rows
+    assert {r.doc_id: (r.n_words, r.n_hit, r.contaminated) for r in got.collect()} == {0: (20, 20, True), 1: (3, 0, False), 2: (0, 0, False)}
+
+
+def test_a_long_text_that_is_hit_all_over(spark):
+    import time
+
+    words = [f"w{i % 977}x{i % 31}" for i in range(60)]
+    benchmark = spark.createDataFrame([(1, " ".join(words)), (2, "short item")], "item_id long, text string")
+    rows = [(1, " ".join(words * 900)), (2, " ".join(["short item"] * 20_000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: (r.n_words, r.n_hit, list(r["items"])) for r in decontamination.contamination(docs, benchmark).collect()}
+    assert got[2] == (40_000, 40_000, ["2"])
+    (want,) = plain.hits(rows[:1], [(1, " ".join(words)), (2, "short item")])
+    assert got[1] == (54_000, want[2], ["1"])
+    assert time.time() - began < 60
+
+
 def test_backoff_scores(odd):
     names = ["n_words", "log_score", "n_unseen", "n_order1", "n_order2", "n_order3"]
     got = [tuple(round(r[n], 6) if n == "log_score" else r[n] for n in names) for r in lm.score_documents(odd).collect()]
