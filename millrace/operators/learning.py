@@ -90,7 +90,8 @@ def _document_features(instances: DataFrame) -> DataFrame:
 
 def model_scores(instances: DataFrame, models: DataFrame, rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
     """``(doc_id, model_id, score)`` of every instance by every model that knows one of its features."""
-    features = _document_features(instances)
+    # Used for the frequent features and for the join: written, so that texts are cut into words once.
+    features = write_and_read(_document_features(instances), fresh_path(instances.sparkSession, "features"))
     hot = skew.hot_keys(features.groupBy("feature").agg(F.count("*").alias("documents")), "feature", "documents", rows_per_split)
     # A feature's weights travel together, one for each model.
     weights = models.groupBy("feature").agg(F.collect_list(F.struct("model_id", "weight")).alias("weights"))

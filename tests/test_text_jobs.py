@@ -140,8 +140,10 @@ def test_keys_of_any_length_are_listed(spark, key):
 
 def test_words_below_the_threshold_are_in_no_pair(lines):
     once = pmi.word_lines(lines)
-    lists = [r.w for r in pmi.frequent_words(lines, once, 2, None, 5).collect()]
-    frequent = {r.word for r in once.collect() if r.n >= 2}
+    numbers = pmi.numbered_words(once, 2)
+    lists = [r.w for r in pmi.frequent_words(lines, numbers, None, 5).collect()]
+    assert {r.word for r in numbers.collect()} == {r.word for r in once.collect() if r.n >= 2 and r.word}
+    frequent = {r.id for r in numbers.collect()}
     assert lists and all(set(w) <= frequent and w == sorted(w) and len(w) > 1 for w in lists)
 
 
