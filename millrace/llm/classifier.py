@@ -1,9 +1,9 @@
 """Quality classifier: random-indexing word vectors pooled per document, and a small calibrated network.
 
 Every token (a run of letters and digits, or of other characters) has a sparse random index vector, made from its
-hash. The context vector of a token is the sum of the index vectors around it over all documents; tokens share a table
-of fixed size by their hash. A document is the mean of its tokens' index and context vectors, the agreement of the
-index vectors of neighbours, and its length. The network learns from a bounded sample of labelled rows; a part of it is
+64-bit hash. The context vector of a token is the sum of the index vectors around it over all documents, kept in a table of fixed
+size by the token's hash. A document is the mean of its tokens' index and context vectors, how often a token follows itself,
+how many are different, and its length. The network learns from a bounded sample of labelled rows; a part of it is
 set aside to fit the temperature that makes its outputs probabilities.
 """
 
@@ -26,7 +26,7 @@ SLICE = 1 << 20
 class Shape:
     """Sizes of the word vectors, the network and the training sample."""
 
-    table: int = 1 << 13
+    table: int = 1 << 15  # context vectors, by hash of the token
     width: int = 32
     nonzero: int = 4
     reach: int = 2
@@ -38,8 +38,8 @@ class Shape:
     decay: float = 1e-4
 
 
-def token_slots(texts: list[bytes], table: int) -> tuple[np.ndarray, np.ndarray]:
-    """Table rows of all tokens, and where those of each text begin."""
+def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens, and where those of each text begin."""
     kinds = np.ones(256, dtype=np.int8)  # 0 blank, 1 letters and digits, 2 others
     kinds[:128] = [0 if c <= 32 else 1 if chr(c).isalnum() else 2 for c in range(128)]
     buf = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
@@ -52,29 +52,33 @@ def token_slots(texts: list[bytes], table: int) -> tuple[np.ndarray, np.ndarray]
     real = kind[cut] > 0
     starts, ends = cut[real], ends[real]
     begins = np.r_[0, np.cumsum([len(t) + 1 for t in texts])]
-    return (hash_words(buf, starts, ends) >> np.uint64(20)).astype(np.int64) % table, np.searchsorted(starts, begins)
+    return hash_words(buf, starts, ends), np.searchsorted(starts, begins)
 
 
-def index_places(shape: Shape) -> tuple[np.ndarray, np.ndarray]:
-    """Nonzero places of every index vector, and their signs."""
-    draw = mix(np.arange(shape.table * shape.nonzero, dtype=np.uint64), 41).reshape(shape.table, shape.nonzero)
-    return (draw % np.uint64(shape.width)).astype(np.int64), 1 - 2 * ((draw >> np.uint64(40)) & np.uint64(1)).astype(np.int64)
+def slots_of(hashes: np.ndarray, table: int) -> np.ndarray:
+    """Rows of the table of contexts."""
+    return (hashes >> np.uint64(20)).astype(np.int64) % table
+
+
+def index_vectors(hashes: np.ndarray, shape: Shape) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and signs of the nonzero elements of the tokens' index vectors, one element of each at a time."""
+    for k in range(shape.nonzero):
+        draw = mix(hashes, 41 + k)
+        yield (draw % np.uint64(shape.width)).astype(np.int64), (1 - 2 * ((draw >> np.uint64(40)) & np.uint64(1)).astype(np.int8)).astype(np.float64)
 
 
 def context_sums(texts: list[bytes], shape: Shape, into: np.ndarray) -> None:
     """Add the index vectors around every token of the texts to the token's row."""
-    slots, offsets = token_slots(texts, shape.table)
+    hashes, offsets = token_hashes(texts)
     doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    # How often each pair of slots meets within reach, then one addition per pair.
-    for step in range(1, shape.reach + 1):
-        near = doc[step:] == doc[:-step]
-        a, b = slots[:-step][near], slots[step:][near]
-        pairs, counts = np.unique(np.r_[a * shape.table + b, b * shape.table + a], return_counts=True)
-        places, signs = index_places(shape)
-        row, other = pairs // shape.table, pairs % shape.table
-        for k in range(shape.nonzero):
-            cells = row * shape.width + places[other, k]
-            into += np.bincount(cells, signs[other, k] * counts, shape.table * shape.width).astype(np.int64)
+    rows = slots_of(hashes, shape.table) * shape.width
+    sums = np.zeros(len(into))
+    for places, signs in index_vectors(hashes, shape):
+        for step in range(1, shape.reach + 1):
+            near = doc[step:] == doc[:-step]
+            for token, other in ((slice(None, -step), slice(step, None)), (slice(step, None), slice(None, -step))):
+                sums += np.bincount((rows[token] + places[other])[near], signs[other][near], len(into))
+    into += sums.astype(np.int64)  # sums of ones: exact
 
 
 def _contexts(shape: Shape):
@@ -82,7 +86,7 @@ def _contexts(shape: Shape):
         import pyarrow as pa
 
         sums = np.zeros(shape.table * shape.width, dtype=np.int64)
-        for batch in batches_of(rows, 4 * SLICE):
+        for batch in batches_of(rows, 2 * SLICE):
             context_sums([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], shape, sums)
         sums = sums.reshape(shape.table, shape.width)
         used = np.flatnonzero(sums.any(axis=1))
@@ -106,8 +110,8 @@ def _add(table):
     return pa.table({"slot": pa.array(known, pa.int64()), "sums": lists})
 
 
-def word_vectors(docs: DataFrame, shape: Shape) -> np.ndarray:
-    """Index and context vectors of all slots, side by side; the contexts are those of all documents.
+def context_vectors(docs: DataFrame, shape: Shape) -> np.ndarray:
+    """Context vectors of all rows of the table, of length one, from all documents.
 
     Every task sends its sums, a table of fixed size, and only the final table comes to the driver.
     """
@@ -123,30 +127,31 @@ def word_vectors(docs: DataFrame, shape: Shape) -> np.ndarray:
     if len(sums):
         contexts[sums["slot"].to_numpy()] = np.stack(sums["sums"].to_list())
     length = np.linalg.norm(contexts, axis=1, keepdims=True)
-    places, signs = index_places(shape)
-    index = np.zeros((shape.table, shape.width))
-    np.add.at(index, (np.arange(shape.table)[:, None], places), signs / np.sqrt(shape.nonzero))
-    return np.hstack([index, contexts / np.maximum(length, 1)]).astype(np.float32)
+    return (contexts / np.maximum(length, 1)).astype(np.float32)
 
 
-def features(texts: list[bytes], vectors: np.ndarray) -> np.ndarray:
-    """One row per text: pooled vectors, agreement of neighbours, length. An empty text is all zeros."""
-    slots, offsets = token_slots(texts, len(vectors))
+def features(texts: list[bytes], contexts: np.ndarray, shape: Shape) -> np.ndarray:
+    """One row per text: mean index and context vectors, repeats, different tokens, length. An empty text is all zeros."""
+    hashes, offsets = token_hashes(texts)
     n = np.diff(offsets)
-    out = np.zeros((len(texts), vectors.shape[1] + 3))
+    width = shape.width
+    out = np.zeros((len(texts), 2 * width + 3))
     some = np.flatnonzero(n)
     if not len(some):
         return out
-    # Slots of one text are counted first: a mean over few distinct ones.
     doc = np.repeat(np.arange(len(texts)), n)
-    pairs, counts = np.unique(doc * np.int64(len(vectors)) + slots, return_counts=True)
-    owner = pairs // len(vectors)
-    weighted = vectors[pairs % len(vectors)] * counts[:, None].astype(np.float32)
-    firsts = np.searchsorted(owner, some)
-    out[some, : vectors.shape[1]] = np.add.reduceat(weighted.astype(np.float64), firsts, axis=0) / n[some, None]
-    same = np.r_[(slots[1:] == slots[:-1]) & (doc[1:] == doc[:-1]), False]
+    for places, signs in index_vectors(hashes, shape):
+        out[:, :width] += np.bincount(doc * width + places, signs, len(texts) * width).reshape(-1, width)
+    out[some, :width] /= n[some, None] * np.sqrt(shape.nonzero)
+    # Rows of one text are counted first: a mean over few distinct ones.
+    pairs, counts = np.unique(doc * np.int64(len(contexts)) + slots_of(hashes, len(contexts)), return_counts=True)
+    weighted = contexts[pairs % len(contexts)] * counts[:, None].astype(np.float32)
+    firsts = np.searchsorted(pairs // len(contexts), some)
+    out[some, width : 2 * width] = np.add.reduceat(weighted.astype(np.float64), firsts, axis=0) / n[some, None]
+    same = np.r_[(hashes[1:] == hashes[:-1]) & (doc[1:] == doc[:-1]), False]
     out[:, -3] = np.bincount(doc, same, len(texts)) / np.maximum(n, 1)
-    out[some, -2] = np.diff(np.r_[firsts, len(owner)]) / n[some]
+    _, first = np.unique(mix(hashes + mix(doc.astype(np.uint64), 5)), return_index=True)
+    out[some, -2] = np.bincount(doc[first], minlength=len(texts))[some] / n[some]
     out[:, -1] = np.log1p(n) / 10
     return out
 
@@ -233,24 +238,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
-def _features(vectors, columns: int):
+def _features(contexts, shape: Shape, columns: int):
     def run(rows: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches_of(rows, SLICE):
-            x = features([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], vectors.value)
+            x = features([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], contexts.value, shape)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * columns, pa.int32()), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), lists], names=["doc_id", "label", "x"])
 
     return run
 
 
-def _scores(vectors, net: Network):
+def _scores(contexts, shape: Shape, net: Network):
     def run(rows: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches_of(rows, SLICE):
-            x = features([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], vectors.value)
+            x = features([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], contexts.value, shape)
             table = pa.Table.from_batches([batch]).append_column("score", pa.array(net.scores(x), pa.float64()))
             yield from table.combine_chunks().to_batches()
 
@@ -269,8 +274,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, shape: Shape | None = Non
     """
     shape = shape or Shape()
     spark = docs.sparkSession
-    table = word_vectors(docs, shape)
-    vectors = spark.sparkContext.broadcast(table)  # of fixed size
+    contexts = spark.sparkContext.broadcast(context_vectors(docs, shape))  # of fixed size
     wanted = (
         labels.where("quality IN (0, 1) AND doc_id IS NOT NULL")
         .where(~held_out(F.col("doc_id")))
@@ -281,11 +285,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, shape: Shape | None = Non
     labelled = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).join(
         F.broadcast(wanted), F.col("doc_id") == F.col("_id")
     )
-    columns = table.shape[1] + 3
+    columns = 2 * shape.width + 3
     # Repeated rows of one document would let its label in more often than the sample's bound.
     known = (
         labelled.select("doc_id", "text", "label")
-        .mapInArrow(tidy(_features(vectors, columns)), "doc_id long, label double, x array<double>")
+        .mapInArrow(tidy(_features(contexts, shape, columns)), "doc_id long, label double, x array<double>")
         .groupBy("doc_id", "label")
         .agg(F.min("x").alias("x"))
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
@@ -296,5 +300,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, shape: Shape | None = Non
     rest = [c for c in docs.columns if c not in ("held_out", "score")]
     rows = docs.select(*rest).withColumn("text", docs["text"].cast("string"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", score double"
-    scored = rows.mapInArrow(tidy(_scores(vectors, net)), schema).withColumn("held_out", held_out(F.col("doc_id")))
+    scored = rows.mapInArrow(tidy(_scores(contexts, shape, net)), schema).withColumn("held_out", held_out(F.col("doc_id")))
     return scored if keep_text else scored.drop("text")

@@ -260,6 +260,78 @@ def test_contexts_do_not_depend_on_slices():
     assert whole.any() and (whole == apart).all()
 
 
+def plain_tokens(text):
+    """Runs of ASCII letters and digits with what is beyond ASCII, or of other visible characters."""
+    def kind(c):
+        return 0 if c <= 32 else 1 if c >= 128 or chr(c).isalnum() else 2
+
+    out, last = [], 0
+    for c in text:
+        c = c + 32 if 65 <= c <= 90 else c
+        if kind(c):
+            if kind(c) == last:
+                out[-1] += bytes([c])
+            else:
+                out.append(bytes([c]))
+        last = kind(c)
+    return out
+
+
+def test_scores_equal_plain_loops():
+    """Contexts, pooling and the forward pass, token by token."""
+    rng = random.Random(8)
+    words = ["the", "The", "of", "é", "x1", "...", "<b>", "a-b", "\n", "\x7f", "中文"]
+    texts = ["", "  ", *(" ".join(rng.choices(words, k=rng.randrange(1, 40))) for _ in range(18))]
+    texts = [t.encode() for t in texts]
+    shape = classifier.Shape(table=16, width=8, hidden=5)
+
+    def hash_of(token):
+        return classifier.token_hashes([token])[0]
+
+    def index(token):
+        vector = [0.0] * shape.width
+        for places, signs in classifier.index_vectors(hash_of(token), shape):
+            vector[places[0]] += signs[0]
+        return vector
+
+    tokens = [plain_tokens(t) for t in texts]
+    rows = [[0.0] * shape.width for _ in range(shape.table)]
+    for line in tokens:
+        for i, token in enumerate(line):
+            row = rows[classifier.slots_of(hash_of(token), shape.table)[0]]
+            for j in range(max(0, i - shape.reach), min(len(line), i + shape.reach + 1)):
+                if j != i:
+                    for k, x in enumerate(index(line[j])):
+                        row[k] += x
+    sums = np.zeros(shape.table * shape.width, dtype=np.int64)
+    classifier.context_sums(texts, shape, sums)
+    assert sums.reshape(shape.table, shape.width).tolist() == rows
+    norms = [max(1.0, sum(x * x for x in row) ** 0.5) for row in rows]
+    contexts = np.array([[x / n for x in row] for row, n in zip(rows, norms, strict=True)], dtype=np.float32)
+    x = classifier.features(texts, contexts, shape)
+    for line, got in zip(tokens, x, strict=True):
+        n = len(line)
+        want = [0.0] * (2 * shape.width + 3)
+        for token in line:
+            for k, v in enumerate(index(token)):
+                want[k] += v / n / shape.nonzero**0.5
+            for k, v in enumerate(contexts[classifier.slots_of(hash_of(token), shape.table)[0]]):
+                want[shape.width + k] += float(v) / n
+        want[-3] = sum(a == b for a, b in zip(line, line[1:], strict=False)) / max(n, 1)
+        want[-2] = len(set(line)) / max(n, 1)
+        want[-1] = np.log1p(n) / 10
+        assert np.allclose(got, want, atol=1e-6)
+    net = classifier.fit_network(x, np.arange(len(x)) % 2, classifier.Shape(width=8, hidden=5, epochs=3))
+    net.temperature = 1.7
+    for row, score in zip(x, net.scores(x), strict=True):
+        hidden = [
+            np.tanh(sum((row[i] - net.mean[i]) / net.scale[i] * net.inner[i, h] for i in range(len(row))) + net.inner_bias[h])
+            for h in range(5)
+        ]
+        logit = sum(h * w for h, w in zip(hidden, net.outer, strict=True)) + net.outer_bias
+        assert score == pytest.approx(1 / (1 + np.exp(-logit / 1.7)))
+
+
 # Pipeline -------------------------------------------------------------------------------------------
 
 
