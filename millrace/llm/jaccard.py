@@ -8,7 +8,8 @@ empty ones last), at least q + 1 of the kept ones agree. Because q are to spare,
 signatures with the most holders, which are those that a frequent passage makes, without losing a partner.
 
 Sets that share a signature are compared exactly, but not all with all: first every set with the one it shares the
-most with. Where many sets hold much the same signatures, they are compared tile by tile in memory, and only the
+most with among neighbours in a random order, in several turns where groups stay large. Where many sets hold much the same
+signatures and are still in several components, those outside of the largest are compared with all, tile by tile in memory, and only the
 links that keep a component together leave the task. What is then left are pairs of different components in small
 groups. A pair that shares fewer signatures than it must is not compared.
 """
@@ -26,6 +27,7 @@ from pyspark.sql.window import Window
 from millrace.llm import blocks as B
 from millrace.llm.common import Scratch, grams, hash_words, mix, stored, text_words, tidy, tidy_group
 from millrace.llm.components import components
+from millrace.operators.skew import hot_keys, join_spread
 
 SHINGLE = 5
 THRESHOLD = Fraction(3, 4)
@@ -34,6 +36,8 @@ PART_SIZE = 2.5
 SPARE = 0.1
 HOT_HOLDERS = 32
 CROWD = 64
+CROWD_ROWS = 5_000
+TURNS = 4
 TILE_ROWS = 1024
 TILE_COLUMNS = 4096
 
@@ -321,32 +325,36 @@ def _sharing_enough(holders: DataFrame, facts: DataFrame) -> DataFrame:
     return holders.join(enough, F.col("rep") == F.col("_rep")).drop("_rep")
 
 
-def _neighbours(holders: DataFrame) -> DataFrame:
+def _neighbours(holders: DataFrame, turn: int = 0) -> DataFrame:
     """Pairs of holders of a group, at most one per holder and group, with how much of its groups a pair shares.
 
-    Large groups are dealt to parts at random.
+    Large groups are dealt to parts at random, in another way each ``turn``. Holders that are known to be in one
+    component are no pair.
     """
-    part = F.pmod(F.xxhash64("rep"), F.ceil(F.col("holders") / HOT_HOLDERS).cast("int"))
-    line = Window.partitionBy("g", "_part").orderBy("rep")
+    part = F.pmod(F.xxhash64("rep", F.lit(turn)), F.ceil(F.col("holders") / HOT_HOLDERS).cast("int"))
+    line = Window.partitionBy("g", "_part").orderBy(F.xxhash64("rep", F.lit(-turn)), "rep")
     return (
         holders.withColumn("_part", part)
-        .select("rep", "weight", "holders", F.lag("rep").over(line).alias("b"))
-        .where("b IS NOT NULL")
+        .select("rep", "root", "weight", "holders", F.lag("rep").over(line).alias("b"), F.lag("root").over(line).alias("_root"))
+        .where("b IS NOT NULL AND root <> _root")
         .groupBy(F.col("rep").alias("a"), "b")
         .agg(F.sum(F.col("weight") / F.col("holders")).alias("w"))
     )
 
 
-def _crowds(holders: DataFrame) -> DataFrame:
+def _crowds(holders: DataFrame, scratch: Scratch) -> DataFrame:
     """Open groups with the crowd they belong to, and how many holders it has.
 
     Groups whose holder with the smallest hash is the same form a crowd: groups of much the same holders do.
     """
     least = F.min(F.struct(F.xxhash64("rep").alias("hash"), "rep"))
     crowds = holders.groupBy("g").agg(least["rep"].alias("crowd")).withColumnRenamed("g", "_g")
-    named = holders.join(crowds, F.col("g") == F.col("_g")).drop("_g")
-    sizes = named.groupBy("crowd").agg(F.countDistinct("rep").alias("crowd_size")).withColumnRenamed("crowd", "_c")
-    return named.join(sizes, F.col("crowd") == F.col("_c")).drop("_c")
+    named = scratch.stored(holders.join(crowds, F.col("g") == F.col("_g")).drop("_g"), "jaccard-named")
+    per_rep = named.groupBy("crowd", "rep").agg(F.count("*").alias("_rows"))
+    sizes = per_rep.groupBy("crowd").agg(F.count("*").alias("crowd_size"), F.sum("_rows").alias("_rows"))
+    sizes = scratch.stored(sizes, "jaccard-crowd-sizes")
+    hot = hot_keys(sizes, "crowd", "_rows", CROWD_ROWS)
+    return join_spread(named, sizes.drop("_rows"), "crowd", "rep", hot, CROWD_ROWS)
 
 
 def _compare_all(table):
@@ -385,13 +393,25 @@ def _compare_all(table):
     return pa.table({"a": pa.array(uids[out], pa.int64()), "b": pa.array(uids[root[out]], pa.int64())})
 
 
-def _compare_crowds(crowds: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links inside large crowds, whose documents are dealt to tiles and compared tile by tile."""
-    people = crowds.select("crowd", "crowd_size", "rep").distinct()
-    tiles = F.ceil(F.col("crowd_size") / TILE_ROWS).cast("int")
-    own = F.pmod(F.xxhash64("rep", F.lit(3)), tiles)
-    dealt = people.withColumn("_own", own).select(
-        "crowd", "rep", "_own", F.explode(F.sequence(F.lit(0), tiles - 1)).alias("_other")
+def _compare_crowds(crowds: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links inside large crowds, whose documents are dealt to tiles and compared tile by tile.
+
+    Links are wanted between components only, so the documents of a crowd's largest component, which may be nearly
+    all of it, meet the others but not each other.
+    """
+    people = scratch.stored(crowds.select("crowd", "rep", "root").distinct(), "jaccard-people")
+    parts = people.groupBy("crowd", "root").agg(F.count("*").alias("n"))
+    tops = parts.groupBy("crowd").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("_rows"))
+    tops = scratch.stored(tops, "jaccard-tops")
+    hot = hot_keys(tops, "crowd", "_rows", CROWD_ROWS)
+    placed = join_spread(people, tops, "crowd", "rep", hot, CROWD_ROWS)
+    tiles = lambda n: F.ceil(n / TILE_ROWS).cast("int")
+    few, many = tiles(F.col("_rows") - F.col("top.n")), tiles(F.col("top.n"))
+    largest = F.col("root") == F.col("top.root")
+    tile = F.xxhash64("rep", F.lit(3))
+    own = F.when(largest, few + F.pmod(tile, many)).otherwise(F.pmod(tile, few)).cast("int")
+    dealt = placed.where(F.col("_rows") > F.col("top.n")).select(
+        "crowd", "rep", own.alias("_own"), F.explode(F.sequence(F.lit(0), F.when(largest, few).otherwise(few + many) - 1)).alias("_other")
     )
     shingles = sets.withColumnRenamed("uid", "_uid")
     return (
@@ -470,8 +490,15 @@ def jaccard_join(docs: DataFrame) -> Joined:
     sets = scratch.stored(blocks.table.join(requests, "block").mapInArrow(tidy(_wanted_sets), "uid long, shingles array<long>"), "jaccard-sets")
 
     links = scratch.stored(_verified(_best(_neighbours(holders)), sets), "jaccard-links")
-    open_ = scratch.stored(_crowds(_rooted(holders, links)), "jaccard-open")
-    tiled = scratch.stored(_compare_crowds(open_.where(F.col("crowd_size") >= CROWD), sets), "jaccard-tiled")
+    open_ = scratch.stored(_rooted(holders, links), "jaccard-open")
+    for turn in range(1, TURNS):
+        large = open_.where(F.col("holders") >= CROWD)
+        if large.isEmpty():
+            break
+        links = links.union(scratch.stored(_verified(_best(_neighbours(large, turn)), sets), "jaccard-links"))
+        open_ = scratch.stored(_rooted(open_, links), "jaccard-open")
+    open_ = scratch.stored(_crowds(open_, scratch), "jaccard-crowds")
+    tiled = scratch.stored(_compare_crowds(open_.where(F.col("crowd_size") >= CROWD), sets, scratch), "jaccard-tiled")
     links = links.union(tiled)
     open_ = scratch.stored(_rooted(open_.where(F.col("crowd_size") < CROWD), links), "jaccard-rest")
 

@@ -57,8 +57,11 @@ def crowd(rng, people, words):
         yield " ".join(copy)
 
 
-def test_large_groups_of_near_copies(spark, monkeypatch):
-    """Small limits, so that hot signatures, several tiles and the comparison between tiles all occur."""
+@pytest.mark.parametrize("turns", [1, 3])
+def test_large_groups_of_near_copies(spark, monkeypatch, turns):
+    """Small limits, so that hot signatures, split crowds, several tiles and the comparison between tiles all occur."""
+    monkeypatch.setattr(jaccard, "TURNS", turns)
+    monkeypatch.setattr(jaccard, "CROWD_ROWS", 40)
     monkeypatch.setattr(jaccard, "HOT_HOLDERS", 4)
     monkeypatch.setattr(jaccard, "CROWD", 12)
     monkeypatch.setattr(jaccard, "TILE_ROWS", 16)
