@@ -23,6 +23,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from millrace.llm.common import Scratch, batches_of, stored, tidy
+from millrace.llm.packing import Encoder
 from millrace.session import shuffle_partitions
 
 BEGIN, END = "<|im_start|>", "<|im_end|>\n"
@@ -67,14 +68,13 @@ def _counted(tokenizer: str, step: int, names: list[str]):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        from millrace.llm.packing import Encoder
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = Encoder(tokenizer)
         part = TaskContext.get().partitionId()
         now, nth, before, large = object(), 0, 0, 0
         for batch in batches_of(rows, width="piece"):
-            sizes = [len(ids) // 4 for ids in encoder.ids(batch.column("piece").to_pylist())]
+            _, offsets = encoder.encoded(batch.column("piece").cast(pa.binary()).to_pylist())
+            sizes = (offsets[1:] - offsets[:-1]).tolist()
             out = []
             for conv, size in zip(batch.column("conv_id").to_pylist(), sizes, strict=True):
                 if conv != now:

@@ -27,11 +27,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def give_back() -> None:
-    """Return freed memory to the system: Python workers stay for later tasks, and so would what they once held."""
+    """Return freed memory to the system: Python workers stay for later tasks, and so would what they once held.
+
+    Functions shipped by value refer to themselves, so what a task before has held waits for the collector of cycles.
+    """
     import ctypes
+    import gc
 
     import pyarrow as pa
 
+    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
@@ -39,9 +44,10 @@ def give_back() -> None:
 
 
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """A function over Arrow batches that gives its memory back at the end of the task."""
+    """A function over Arrow batches that gives its memory back at the end of the task, and that of the task before at its begin."""
 
     def tidied(rows: Iterator) -> Iterator:
+        give_back()
         yield from run(rows)
         give_back()
 
@@ -136,6 +142,11 @@ def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
     return h
 
 
+def forget_tables() -> None:
+    """Drop the tables made by hashing on the driver, which would travel with every function that hashes."""
+    _cache.clear()
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, to ``n``."""
     if "up" not in _cache or len(_cache["up"]) <= n:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.llm.common import batches_of, hash_words, lower_bytes, stored, tidy
+from millrace.llm.common import batches_of, forget_tables, hash_words, lower_bytes, stored, tidy
 
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -232,6 +232,7 @@ def _search_block(rows: DataFrame, block: list[Row], k: int) -> DataFrame:
     counts = [Counter(TERM.findall((item["text"] or "").translate(LOWER))) for item in block]
     words = sorted(set().union(*counts))
     hashes = text_terms([w.encode("utf-8", "surrogatepass") for w in words])[0]
+    forget_tables()
     wanted = np.unique(hashes)
     number = dict(zip(words, np.searchsorted(wanted, hashes).tolist(), strict=True))
     index = stored(rows.mapInArrow(tidy(_index(wanted)), INDEX), "postings")
