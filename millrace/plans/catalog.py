@@ -42,7 +42,6 @@ QUERIES = (
     "nowhere-to-be-found been OR",
 )
 ALL_OF, ANY_OF = ("from", "this"), ("been", "beau")
-REPORT_TABLES = ("lineitem", "orders", "customer", "nation", "part", "supplier")
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -58,20 +57,21 @@ def shortened(df: DataFrame, column: str, digits: int = DIGITS) -> DataFrame:
 # Reports ------------------------------------------------------------------------------------------
 
 _tbl_copies: dict[tuple[str, str], str] = {}
+_tbl_tables: set[tuple[str, str]] = set()
 
 
-def tbl_copy(spark: SparkSession, directory: str) -> str:
-    """A directory with the report tables as delimited text, written once per session.
+def tbl_copy(spark: SparkSession, directory: str, *tables: str) -> str:
+    """A directory with tables as delimited text, each written once per session.
 
     The tables come as Parquet only, so this stands for text that is there already; it is no part of a report.
     """
     key = (spark.sparkContext.applicationId, directory)
-    if key not in _tbl_copies:
-        target = fresh_path(spark, "tbl")
-        for name in REPORT_TABLES:
+    target = _tbl_copies.setdefault(key, fresh_path(spark, "tbl"))
+    for name in tables:
+        if (target, name) not in _tbl_tables:
             write_tbl(read_table(spark, directory, name), target, name)
-        _tbl_copies[key] = target
-    return _tbl_copies[key]
+            _tbl_tables.add((target, name))
+    return target
 
 
 def _money(df: DataFrame) -> DataFrame:
@@ -79,29 +79,35 @@ def _money(df: DataFrame) -> DataFrame:
     return rounded(df, 6, *[c for c in df.columns if c.startswith(("sum_", "avg_")) or c == "revenue"])
 
 
-def _report_jobs(suffix: str, fmt: str, place: Callable[[SparkSession, str], str]) -> dict[str, Job]:
+def _reports(fmt: str) -> dict[str, tuple[Job, tuple[str, ...]]]:
+    """The reports over a directory of tables in a format, and the tables each reads."""
     # Only the tables with a clerk and a shipping priority would show them; both formats show the same here.
     shown = "o_orderpriority"
-    jobs: dict[str, Job] = {
-        "q1_shipped_count": lambda s, d: relational.q1_shipped_count(s, place(s, d), DAY, fmt=fmt),
-        "q2_orders_of_date": lambda s, d: relational.q2_orders_of_date(s, place(s, d), MONTH, clerk=shown, fmt=fmt),
-        "q2_orders_of_date_fanout": lambda s, d: relational.q2_orders_of_date(
-            s, place(s, d), MONTH, fanout=True, clerk=shown, fmt=fmt
+    items, orders, by_nation = ("lineitem",), ("lineitem", "orders"), ("lineitem", "orders", "customer", "nation")
+    return {
+        "q1_shipped_count": (lambda s, d: relational.q1_shipped_count(s, d, DAY, fmt=fmt), items),
+        "q2_orders_of_date": (lambda s, d: relational.q2_orders_of_date(s, d, MONTH, clerk=shown, fmt=fmt), orders),
+        "q2_orders_of_date_fanout": (
+            lambda s, d: relational.q2_orders_of_date(s, d, MONTH, fanout=True, clerk=shown, fmt=fmt), orders
         ),
-        "q3_part_supplier": lambda s, d: relational.q3_part_supplier(s, place(s, d), MONTH, fmt=fmt),
-        "q4_shipped_by_nation": lambda s, d: relational.q4_shipped_by_nation(s, place(s, d), MONTH, fmt=fmt),
-        "q5_monthly_by_nation": lambda s, d: relational.q5_monthly_by_nation(s, place(s, d), fmt=fmt),
-        "q6_pricing_summary": lambda s, d: _money(relational.q6_pricing_summary(s, place(s, d), MONTH, fmt=fmt)),
-        "q7_top_unshipped": lambda s, d: _money(relational.q7_top_unshipped(s, place(s, d), DAY, priority=shown, fmt=fmt)),
-    }
-    return {name + suffix: job for name, job in jobs.items()}
+        "q3_part_supplier": (lambda s, d: relational.q3_part_supplier(s, d, MONTH, fmt=fmt), ("lineitem", "part", "supplier")),
+        "q4_shipped_by_nation": (lambda s, d: relational.q4_shipped_by_nation(s, d, MONTH, fmt=fmt), by_nation),
+        "q5_monthly_by_nation": (lambda s, d: relational.q5_monthly_by_nation(s, d, fmt=fmt), by_nation),
+        "q6_pricing_summary": (lambda s, d: _money(relational.q6_pricing_summary(s, d, MONTH, fmt=fmt)), items),
+        "q7_top_unshipped": (
+            lambda s, d: _money(relational.q7_top_unshipped(s, d, DAY, priority=shown, fmt=fmt)), ("lineitem", "orders", "customer")
+        ),
+    }
+
+
+def _from_text(job: Job, tables: tuple[str, ...]) -> Job:
+    return lambda s, d: job(s, tbl_copy(s, d, *tables))
 
 
 def report_jobs() -> dict[str, Job]:
-    from_text = _report_jobs("_text", "tbl", tbl_copy)
     return {
-        **_report_jobs("", "parquet", lambda _, d: d),
-        **from_text,
+        **{name: job for name, (job, _) in _reports("parquet").items()},
+        **{f"{name}_text": _from_text(job, tables) for name, (job, tables) in _reports("tbl").items()},
         # A piece of a date that is no whole year, month or day.
         "date_piece_count": lambda s, d: relational.q1_shipped_count(s, d, "-11-0"),
         "year_count": lambda s, d: relational.q1_shipped_count(s, d, "1996"),

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from millrace.functions.sql import TOKENIZE, register_functions
 from millrace.functions.tokens import tokenize
 from millrace.operators import counts, pmi
-from millrace.sources.tables import read_table, spread_small
+from millrace.sources.tables import dealt_out, read_table
 from millrace.sources.text import explode_lines
 
 
 def documents(spark: SparkSession, directory: str) -> DataFrame:
-    """The documents, dealt out to all cores if they are few."""
-    return spread_small(read_table(spark, directory, "documents").select("doc_id", "text", "lang"))
+    """The documents, dealt out to as many tasks as the session asks for."""
+    return dealt_out(read_table(spark, directory, "documents").select("doc_id", "text", "lang"))
 
 
 def document_lines(spark: SparkSession, directory: str) -> DataFrame:

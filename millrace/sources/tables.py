@@ -26,6 +26,7 @@ TBL_COLUMNS = {
 }
 
 FORMATS = ("parquet", "tbl")
+SCAN_TASKS = "spark.millrace.scan.tasks"
 
 
 def tbl_schema(name: str) -> T.StructType:
@@ -71,10 +72,10 @@ def to_tbl_layout(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a scan that has fewer tasks than there are cores; a larger scan stays as it is.
+def dealt_out(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan to as many tasks as the session asks for by ``SCAN_TASKS``; unset, scans stay as they are.
 
-    Meant for jobs that turn each row into many: a small file would keep all of that in one task.
+    Meant for jobs that turn each row into many, over files too few to keep all cores busy. Whoever runs them knows.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = df.sparkSession.conf.get(SCAN_TASKS, None)
+    return df.repartition(int(tasks)) if tasks else df

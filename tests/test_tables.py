@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans import catalog, relational
 from millrace.sinks.files import write_sorted, write_tbl, write_text
-from millrace.sources.tables import read_table, spread_small
+from millrace.sources.tables import SCAN_TASKS, dealt_out, read_table
 
 NATIONS = ["3|CANADA|1|nice|", "24|UNITED STATES|1|with, \"marks\"|"]
 
@@ -34,7 +34,7 @@ def test_tables_survive_the_round_trip(spark, small, tmp_path, rows):
         assert rows(read_table(spark, str(tmp_path), name, "tbl").select(*table.columns)) == rows(table)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in catalog._report_jobs("", "parquet", None)))
+@pytest.mark.parametrize("name", sorted(catalog._reports("parquet")))
 def test_reports_are_the_same_from_text(spark, small, name):
     jobs = catalog.report_jobs()
     parquet = [tuple(r) for r in jobs[name](spark, small).collect()]
@@ -69,12 +69,16 @@ def test_large_joins_are_not_broadcast_by_hint(spark, small):
     assert "broadcast" not in plan.lower()
 
 
-def test_spread_only_where_there_are_few_tasks(spark, small):
-    cores = spark.sparkContext.defaultParallelism
-    few = spread_small(read_table(spark, small, "documents"))
-    assert few.rdd.getNumPartitions() >= cores
-    many = spark.range(0, 1000, 1, cores * 3)
-    assert spread_small(many) is many
+def test_scans_are_dealt_out_on_request_only(spark, small):
+    table = read_table(spark, small, "documents")
+    assert "Exchange" not in dealt_out(table)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set(SCAN_TASKS, "6")
+    try:
+        dealt = dealt_out(table)
+        assert "RoundRobinPartitioning(6)" in dealt._jdf.queryExecution().executedPlan().toString()
+        assert dealt.count() == table.count()
+    finally:
+        spark.conf.unset(SCAN_TASKS)
 
 
 def test_text_sinks(spark, tmp_path):
