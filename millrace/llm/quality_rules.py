@@ -21,10 +21,16 @@ WORD = re.compile("[^\x20\x09-\x0d]+")
 SYMBOL = re.compile(r"[#*$%&|<>]")
 NOISE = re.compile(r"[#*$%&]{3}")
 SENTENCE_END = re.compile("[.!?…。！？][\"'”’»)\\]]*$")
-# Phrases of page furniture.
+# Phrases of page furniture in English, French, German and Spanish.
 BOILERPLATE = re.compile(
     r"(?i)\b(?:accept (?:all )?cookies|cookie policy|privacy policy|terms of (?:use|service)|all rights reserved"
-    r"|enable javascript|lorem ipsum|sign up for our newsletter|click here to|skip to (?:main )?content)\b"
+    r"|enable javascript|lorem ipsum|sign up for our newsletter|click here to|skip to (?:main )?content"
+    r"|accepter (?:tous )?les cookies|politique de cookies|conditions d'utilisation|mentions l[ée]gales|tous droits r[ée]serv[ée]s"
+    r"|activer javascript|cliquez ici pour|aller au contenu"
+    r"|(?:alle )?cookies akzeptieren|datenschutzerkl[äa]rung|nutzungsbedingungen|alle rechte vorbehalten"
+    r"|javascript aktivieren|newsletter abonnieren|klicken sie hier|zum inhalt springen"
+    r"|aceptar (?:todas )?las cookies|pol[ií]tica de (?:privacidad|cookies)|t[ée]rminos (?:de uso|del servicio)"
+    r"|todos los derechos reservados|habilitar javascript|haga clic en|saltar al contenido)\b"
 )
 
 
