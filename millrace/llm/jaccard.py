@@ -37,9 +37,10 @@ SPARE = 0.1
 HOT_HOLDERS = 32
 CROWD = 64
 CROWD_ROWS = 5_000
-TURNS = 4
+TURNS = 4  # at most, for groups of more than ``MANY_TILES``
 TILE_ROWS = 1024
 TILE_COLUMNS = 4096
+MANY_TILES = 4
 
 
 class Bands:
@@ -492,7 +493,7 @@ def jaccard_join(docs: DataFrame) -> Joined:
     links = scratch.stored(_verified(_best(_neighbours(holders)), sets), "jaccard-links")
     open_ = scratch.stored(_rooted(holders, links), "jaccard-open")
     for turn in range(1, TURNS):
-        large = open_.where(F.col("holders") >= CROWD)
+        large = open_.where(F.col("holders") > MANY_TILES * TILE_ROWS)
         if large.isEmpty():
             break
         links = links.union(scratch.stored(_verified(_best(_neighbours(large, turn)), sets), "jaccard-links"))

@@ -61,6 +61,7 @@ def crowd(rng, people, words):
 def test_large_groups_of_near_copies(spark, monkeypatch, turns):
     """Small limits, so that hot signatures, split crowds, several tiles and the comparison between tiles all occur."""
     monkeypatch.setattr(jaccard, "TURNS", turns)
+    monkeypatch.setattr(jaccard, "MANY_TILES", 1)
     monkeypatch.setattr(jaccard, "CROWD_ROWS", 40)
     monkeypatch.setattr(jaccard, "HOT_HOLDERS", 4)
     monkeypatch.setattr(jaccard, "CROWD", 12)
