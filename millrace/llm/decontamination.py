@@ -9,6 +9,8 @@ keep the hash of the whole. A bitmap of the benchmark's grams, built before, spa
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,17 +60,19 @@ def fingerprints(benchmark: DataFrame, span: int, gram: int) -> DataFrame:
     )
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """All columns of ``docs(doc_id, text)`` with the words of each row that a benchmark window covers.
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM, keep: Sequence[str] | None = None
+) -> DataFrame:
+    """All columns of ``docs(doc_id, text)``, or those to ``keep``, with the words of each row that a benchmark window covers.
 
-    Adds ``n_words``, ``n_hit``, ``items`` (sorted ids, as text, of the items with a window in the text) and
+    Columns that are kept are moved with their row. Adds ``n_words``, ``n_hit``, ``items`` (sorted ids, as text, of the items with a window in the text) and
     ``contaminated``: at least one word in twenty is hit. Columns of these names are replaced, any other names are fine. Null, empty and
     wordless texts have no words and are clean, and so is everything if the benchmark is empty. Every row is judged
     by itself, so repeated rows and null ids stay. Windows of items without an id count as hits but name no item.
     The work is linear in the length of a text, however much of it is hit.
     """
     added = ("n_words", "n_hit", "items", "contaminated")
-    rest = [c for c in docs.columns if c not in added]
+    rest = [c for c in (docs.columns if keep is None else keep) if c not in added]
     prints = stored(fingerprints(benchmark, span, gram), "prints")
     facts = prints.agg(
         F.count("*").alias("n"),

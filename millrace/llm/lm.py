@@ -2,7 +2,8 @@
 
 The count table of each order is partitioned by hash. Every block asks the partitions for the counts of its distinct
 n-grams, so an n-gram costs one entry per block however frequent it is, and sums the scores of its documents from the
-answers. An n-gram can only occur elsewhere if both of its shorter ones do; only those are asked about.
+answers. An n-gram can only occur elsewhere if both of its shorter ones do; only those are asked about. N-grams are
+known by 64-bit hashes, so two that meet by chance would be counted as one.
 """
 
 from __future__ import annotations

@@ -51,8 +51,8 @@ def op1_license_scan(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, directory: str) -> DataFrame:
-    docs = common.documents(spark, directory).select("doc_id", "text")
-    judged = decontamination.contamination(docs, spark.read.parquet(f"{directory}/benchmark.parquet"))
+    benchmark = spark.read.parquet(f"{directory}/benchmark.parquet")
+    judged = decontamination.contamination(common.documents(spark, directory), benchmark, keep=["doc_id"])
     return judged.select(
         "doc_id",
         "n_words",
