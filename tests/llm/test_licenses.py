@@ -106,3 +106,24 @@ def test_bodies_and_headers_are_found(spark, monkeypatch):
     found = {(r.doc_id, r.license) for r in queries.op1_license_scan(spark, "").collect()}
     assert {(i, name) for i, (name, _) in enumerate(licenses.BODIES)} <= found
     assert (100, "ISC") in found and not any(doc == 101 for doc, _ in found)
+
+
+@pytest.mark.parametrize("dropped", range(0, 14))
+def test_windows_at_the_threshold_are_kept(spark, dropped):
+    """Words changed one after another, until too few shingles are left: the count of marked ones never drops a hit."""
+    words = [f"t{i}" for i in range(44)]
+    changed = ["x" if i in range(2, 2 + dropped) else w for i, w in enumerate(words)]
+    texts = [" ".join(["f"] * pad + changed + ["g"] * 9) for pad in (0, 3, 31, 40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = spark.createDataFrame([("L", " ".join(words)), ("L", "t0 t1 t2 t3 t4 and more than these words of t20 t21 t22 t23 t24 for one step")], "license_id string, text string")
+    got = sorted((r.doc_id, r.license, r.n_shingles, r.n_found, r.word_start, r.n_windows) for r in licenses.license_scan(docs, table).collect())
+    assert got == sorted((i, *hit) for i, t in enumerate(texts) if (hit := found(t, "L", " ".join(words))))
+
+
+def test_a_very_long_text(spark):
+    notice = "Permission to use this text is granted to all who keep this notice with it in every copy they make"
+    text = " ".join([*(f"w{i % 3001}" for i in range(200_000)), notice, *(f"v{i % 17}" for i in range(100_000)), *[notice] * 300])
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    table = spark.createDataFrame([("N", notice), ("MIT", "Released under the MIT License.")], "license_id string, text string")
+    got = [(r.license, r.n_shingles, r.n_found, r.word_start, r.n_windows) for r in licenses.license_scan(docs, table).collect()]
+    assert got == [found(text, "N", notice)]
