@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import batches_of, tidy
+from millrace.llm.common import batches_of, small_batches, tidy
 from millrace.session import Bucketed, fresh_path, shuffle_partitions
 
 BLOCK_BYTES = 4 << 20
@@ -52,14 +52,15 @@ def write_blocks(docs: DataFrame, label: str) -> Bucketed:
     spark = docs.sparkSession
     path = fresh_path(spark, label)
     name = path.rsplit("/", 1)[1].replace("-", "_")
-    (
-        docs.mapInArrow(tidy(_pack), BLOCKS)
-        .write.format("parquet")
-        .option("path", path)
-        .option("compression", "none")
-        .bucketBy(shuffle_partitions(spark), "block")
-        .saveAsTable(name)
-    )
+    with small_batches(spark):
+        (
+            docs.mapInArrow(tidy(_pack), BLOCKS)
+            .write.format("parquet")
+            .option("path", path)
+            .option("compression", "none")
+            .bucketBy(shuffle_partitions(spark), "block")
+            .saveAsTable(name)
+        )
     return Bucketed(name, spark.table(name))
 
 

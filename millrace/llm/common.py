@@ -6,6 +6,7 @@ Word hashes are 64-bit and made with numpy over whole byte buffers, so no Python
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,9 +22,29 @@ def documents(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/documents.parquet")
 
 
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
+def limit_batches(spark: SparkSession) -> None:
+    """Let Arrow batches of the session hold ``BATCH_BYTES`` at most: tasks have some of them outside of the heap, and again in Python."""
+    spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """The same while something is written here."""
+    before = spark.conf.get(BATCH_KEY)
+    limit_batches(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_KEY, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
-    return write_and_read(df, fresh_path(df.sparkSession, label))
+    with small_batches(df.sparkSession):
+        return write_and_read(df, fresh_path(df.sparkSession, label))
 
 
 def give_back() -> None:
@@ -78,7 +99,8 @@ class Scratch:
         return self.paths[-1]
 
     def stored(self, df: DataFrame, label: str) -> DataFrame:
-        return write_and_read(df, self.path(label))
+        with small_batches(self.spark):
+            return write_and_read(df, self.path(label))
 
     def delete(self) -> None:
         """Delete all tables written so far. What was computed from them has to be written elsewhere by then."""

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.llm import blocks as B
-from millrace.llm.common import Scratch, grams, hash_words, mix, stored, text_words, tidy, tidy_group
+from millrace.llm.common import Scratch, grams, hash_words, mix, small_batches, stored, text_words, tidy, tidy_group
 from millrace.llm.components import components
 from millrace.operators.skew import hot_keys, join_spread
 
@@ -461,7 +461,8 @@ def jaccard_join(docs: DataFrame) -> Joined:
     asked = blocks.table.mapInArrow(tidy(_ask(buckets)), ASKED)
     met = asked.groupBy("bucket").applyInArrow(tidy_group(_meet), FOUND)
     path = scratch.path("jaccard-met")
-    met.write.partitionBy("kind").parquet(path)
+    with small_batches(docs.sparkSession):
+        met.write.partitionBy("kind").parquet(path)
     found = docs.sparkSession.read.schema(FOUND).parquet(path)
     facts = found.where(F.col("kind") == FACTS).select(F.col("uids")[0].alias("uid"), "k1", "k2", "n", "doc")
     classes = scratch.stored(
