@@ -1,4 +1,4 @@
-"""From raw documents to packed training sequences, in five stages."""
+"""From raw documents to packed training sequences, in five stages, with small Arrow batches throughout the session."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from millrace.llm import classifier, common, decontamination, jaccard, packing,
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
+    common.limit_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = classifier.quality_scores(docs, labels)
     return scored.where(F.col("score") >= queries.GOOD_SCORE).select(*docs.columns)
@@ -17,11 +18,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest id."""
+    common.limit_batches(spark)
     return jaccard.distinct_documents(docs).select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier document has; texts that lose nothing stay as they are."""
+    common.limit_batches(spark)
     cleaned = substrings.substring_dedup(docs)
     cut = F.col("n_removed") > 0
     text = F.when(cut, F.col("kept")).otherwise(F.col("text"))
@@ -33,12 +36,14 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated with benchmark passages."""
+    common.limit_batches(spark)
     judged = decontamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return judged.where(~F.col("contaminated")).select(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The places of all token pieces in sequences."""
+    common.limit_batches(spark)
     return packing.pack_documents(docs, queries.vocabulary(), queries.SEQUENCE)
 
 
