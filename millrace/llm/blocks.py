@@ -77,7 +77,9 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
 def cuts(sorted_hashes: np.ndarray, buckets: int) -> Iterator[tuple[int, int, int]]:
     """``(bucket, first, past the last)`` of the buckets that sorted hashes fall in."""
     where = bucket_of(sorted_hashes, buckets)
-    firsts = np.flatnonzero(np.r_[True, where[1:] != where[:-1]]) if len(where) else np.empty(0, np.int64)
+    if not len(where):
+        return
+    firsts = np.flatnonzero(np.r_[True, where[1:] != where[:-1]])
     for first, past in zip(firsts, np.r_[firsts[1:], len(where)], strict=True):
         yield int(where[first]), int(first), int(past)
 

@@ -7,7 +7,7 @@ import numpy as np
 import plain
 import pytest
 
-from millrace.llm import decontamination, jaccard, lm, substrings
+from millrace.llm import blocks, decontamination, jaccard, lm, substrings
 from millrace.llm.components import components
 
 
@@ -173,6 +173,14 @@ def test_a_long_text_that_is_hit_all_over(spark):
     assert time.time() - began < 60
 
 
+def test_blocks_that_share_nothing(spark):
+    rows = [(1, " ".join(f"a{i}" for i in range(40))), (2, " ".join(f"b{i}" for i in range(40))), (3, None), (4, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in substrings.substring_dedup(docs).collect()]
+    assert sorted(got) == sorted(plain.kept_words(rows))
+    assert len(list(blocks.cuts(np.empty(0, np.uint64), 4))) == 0
+
+
 def test_backoff_scores(odd):
     names = ["n_words", "log_score", "n_unseen", "n_order1", "n_order2", "n_order3"]
     got = [tuple(round(r[n], 6) if n == "log_score" else r[n] for n in names) for r in lm.score_documents(odd).collect()]
