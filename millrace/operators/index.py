@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.counts import words
+from millrace.operators.gaps import running_sums
 from millrace.session import fresh_path, write_and_read
 
 # Documents are numbered without gaps, and a posting list is cut into blocks of this many numbers.
 MAX_POSTINGS = 65_536
+# Long terms and numbers of documents up to these counts are broadcast to the postings (some 100 and 250 MB at most).
+BROADCAST_TERMS, BROADCAST_DOCUMENTS = 1_000_000, 4_000_000
 
 
 def term_frequency(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -46,25 +49,28 @@ def posting_lists(postings: DataFrame, max_postings: int = MAX_POSTINGS) -> Data
     A term of at most ``max_postings`` documents is one row with segment 0. A longer list is cut by the numbers of
     its documents, segment s holding numbers from s * max_postings on, so that a segment holds ``max_postings``
     entries at most and the segments in order give the whole list. Lists are never gathered whole before it is known
-    that they are short, and nothing depends on how far ids lie apart or on how long a term is.
+    that they are short, and nothing depends on how far ids lie apart or on how long a term is. Only postings of long
+    lists need numbers, and every posting is gathered once.
     """
     spark = postings.sparkSession
     written = write_and_read(postings, fresh_path(spark, "index-postings"))
+    long = document_frequency(written).where(F.col("df") > max_postings)
+    long = write_and_read(long, fresh_path(spark, "index-long"))
+    few = long.count() <= BROADCAST_TERMS
+    marked = written.join(F.broadcast(long) if few else long, "term", "left")
+    numbers = write_and_read(numbered(written), fresh_path(spark, "index-numbers"))
+    if numbers.count() <= BROADCAST_DOCUMENTS:
+        numbers = F.broadcast(numbers)
     block = F.floor(F.col("number") / max_postings).cast("long")
-    blocks = (
-        written.join(numbered(written), "doc_id")
-        .groupBy("term", block.alias("block"))
-        .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
-    )
-    blocks = write_and_read(blocks, fresh_path(spark, "index-blocks"))
-    frequencies = blocks.groupBy(F.col("term").alias("_term")).agg(F.sum(F.size("postings")).cast("long").alias("df"))
-    segment = F.when(F.col("df") > max_postings, F.col("block")).otherwise(F.lit(0).cast("long"))
-    return (
-        blocks.join(frequencies, F.col("term") == F.col("_term"))
-        .groupBy("term", segment.alias("segment"), "df")
-        .agg(F.sort_array(F.collect_list(F.struct("block", "postings"))).alias("_parts"))
-        .select("term", "segment", "df", F.flatten(F.transform("_parts", lambda p: p["postings"])).alias("postings"))
+    cut = marked.where(F.col("df").isNotNull()).join(numbers, "doc_id").select("term", block.alias("segment"), "df", "doc_id", "tf")
+    short = marked.where(F.col("df").isNull()).select("term", F.lit(0).cast("long").alias("segment"), "df", "doc_id", "tf")
+    gathered = (
+        short.unionByName(cut)
+        .groupBy("term", "segment")
+        .agg(F.max("df").alias("_df"), F.collect_list(F.struct("doc_id", "tf")).alias("_postings"))
     )
+    df = F.coalesce("_df", F.size("_postings").cast("long"))
+    return gathered.select("term", "segment", df.alias("df"), F.sort_array("_postings").alias("postings"))
 
 
 def gap_encode(lists: DataFrame) -> DataFrame:
@@ -72,8 +78,9 @@ def gap_encode(lists: DataFrame) -> DataFrame:
 
     The first gap of a list is the id itself. Within a segment the distances come from the array
     alone; only lists of several segments need the last id of the segment before, which is looked up
-    on a table of one short row per segment.
+    on a table of one short row per segment. The lists are written, as both read them.
     """
+    lists = write_and_read(lists, fresh_path(lists.sparkSession, "index-lists"))
     last = F.element_at("postings", -1)["doc_id"]
     before = Window.partitionBy("term").orderBy("segment")
     starts = (
@@ -102,8 +109,10 @@ def gap_encode(lists: DataFrame) -> DataFrame:
 def gap_decode(encoded: DataFrame) -> DataFrame:
     """``(term, doc_id, tf)`` from ``gap_encode``: ids are the running sums of the gaps.
 
-    The sums run within a segment, whose size is bounded, from the sum of the segments before it.
+    The sums run within a segment, whose size is bounded, from the sum of the segments before it. They are made
+    where the segment is, so that no posting is moved or sorted. The segments are written, as two steps read them.
     """
+    encoded = write_and_read(encoded, fresh_path(encoded.sparkSession, "index-gaps"))
     span = F.aggregate("gaps", F.lit(0).cast("long"), lambda acc, g: acc + g["gap"])
     earlier = Window.partitionBy("term").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -111,11 +120,8 @@ def gap_decode(encoded: DataFrame) -> DataFrame:
         .select("term", "segment", span.alias("_span"))
         .select("term", "segment", F.sum("_span").over(earlier).alias("_base"))
     )
-    within = Window.partitionBy("term", "segment").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     based = encoded.join(starts, ["term", "segment"], "left").withColumn("_base", F.coalesce("_base", F.lit(0)))
-    return based.select("term", "segment", "_base", F.posexplode("gaps").alias("_at", "_gap")).select(
-        "term", (F.col("_base") + F.sum("_gap.gap").over(within)).alias("doc_id"), F.col("_gap.tf").alias("tf")
-    )
+    return based.select("term", "_base", "gaps").mapInArrow(running_sums(), "term string, doc_id long, tf int")
 
 
 def flatten(lists: DataFrame) -> DataFrame:

@@ -96,3 +96,21 @@ def test_snippets(spark, documents, postings):
     lines = {(r.qid, r.doc_id): r.line for r in boolean.with_snippets(found, documents).collect()}
     assert lines[0, 3] == DOCS[3][:80] + "..."
     assert lines[1, 9] == "d"
+
+
+def test_large_tables_are_joined_not_broadcast(postings, rows, monkeypatch):
+    monkeypatch.setattr(index, "BROADCAST_TERMS", 0)
+    monkeypatch.setattr(index, "BROADCAST_DOCUMENTS", 0)
+    lists = index.posting_lists(postings, 2)
+    assert rows(index.flatten(lists)) == expected()
+    assert rows(index.gap_decode(index.gap_encode(lists))) == expected()
+
+
+def test_postings_are_gathered_once_and_ids_summed_in_place(postings, rows):
+    lists = index.posting_lists(postings, 3)
+    assert lists._jdf.queryExecution().optimizedPlan().toString().count("collect_list") == 1
+    decoded = index.gap_decode(index.gap_encode(lists))
+    plan = decoded._jdf.queryExecution().optimizedPlan().toString()
+    # The only window is that over the segments of long terms, and no posting is a row before the sums.
+    assert plan.count("Window") == 1 and "Generate" not in plan and "collect_list" not in plan
+    assert rows(decoded.select("doc_id").distinct()) == sorted({(d,) for _, d, _ in expected()})
