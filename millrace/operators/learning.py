@@ -19,6 +19,8 @@ from millrace.session import fresh_path, in_buckets, write_and_read, write_bucke
 DELTA = 0.002
 
 ENSEMBLE_METHODS = ("average", "vote")
+# Features up to this number have their weights broadcast (some 150 MB at most, and 8 bytes for each feature and model).
+BROADCAST_FEATURES = 1_000_000
 
 
 def feature_counts(instances: DataFrame) -> DataFrame:
@@ -82,24 +84,45 @@ def _stepped(residuals: DataFrame, scales: DataFrame) -> DataFrame:
     return steps.join(scales, "model_id").select("model_id", "feature", (F.col("scale") * F.col("gradient")).alias("weight"))
 
 
-def _document_features(instances: DataFrame) -> DataFrame:
-    """``(doc_id, feature, n)``; occurrences are counted before anything is joined."""
-    occurrences = instances.select("doc_id", F.explode("features").alias("feature"))
-    return occurrences.groupBy("doc_id", "feature").agg(F.count("*").alias("n"))
-
+def model_scores(
+    instances: DataFrame, models: DataFrame, model_ids: list, rows_per_split: int = skew.ROWS_PER_SPLIT
+) -> DataFrame:
+    """``(doc_id, scores)``: the scores by the models of ``model_ids``, in that order, of instances with a feature that any model knows.
 
-def model_scores(instances: DataFrame, models: DataFrame, rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
-    """``(doc_id, model_id, score)`` of every instance by every model that knows one of its features."""
+    The weights of the features with the largest ones, which are mostly the frequent features, are broadcast, and what they add
+    to a document's scores is summed where its features are; only counts of other features are moved, if there are any.
+    """
+    spark = models.sparkSession
+    if not model_ids:
+        return instances.select("doc_id", F.array().cast("array<double>").alias("scores")).limit(0)
+    # A feature's weights travel together, one for each model.
+    each = [F.coalesce(F.sum(F.when(F.col("model_id") == m, F.col("weight"))), F.lit(0.0)) for m in model_ids]
+    size = F.sum(F.abs("weight"))
+    weights = models.where(F.col("feature").isNotNull()).groupBy("feature").agg(F.array(*each).alias("weights"), size.alias("size"))
+    weights = write_and_read(weights, fresh_path(spark, "weights-by-feature"))
+    few = weights.count() <= BROADCAST_FEATURES
+    first = weights if few else weights.orderBy(F.desc("size"), "feature").limit(BROADCAST_FEATURES)
+    if not few:
+        first = write_and_read(first, fresh_path(spark, "first-weights"))
+    occurrences = instances.select("doc_id", F.explode("features").alias("feature"))
+    joined = occurrences.join(F.broadcast(first.drop("size")), "feature", "inner" if few else "left")
+    places = range(len(model_ids))
+    sums = [F.sum(F.col("weights")[k]).alias(f"s{k}") for k in places]
+    scores = F.array(*[F.coalesce(F.sum(f"s{k}"), F.lit(0.0)) for k in places]).alias("scores")
+    if few:
+        placed = joined.groupBy("doc_id").agg(*sums)
+        return placed.select("doc_id", F.array(*[f"s{k}" for k in places]).alias("scores"))
+    other = F.when(F.col("weights").isNull(), F.col("feature"))
     # Used for the frequent features and for the join: written, so that texts are cut into words once.
-    features = write_and_read(_document_features(instances), fresh_path(instances.sparkSession, "features"))
+    counted = joined.groupBy("doc_id", other.alias("feature")).agg(F.count("*").alias("n"), *sums)
+    counted = write_and_read(counted, fresh_path(spark, "features"))
+    features = counted.where(F.col("feature").isNotNull()).select("doc_id", "feature", "n")
     hot = skew.hot_keys(features.groupBy("feature").agg(F.count("*").alias("documents")), "feature", "documents", rows_per_split)
-    # A feature's weights travel together, one for each model.
-    weights = models.groupBy("feature").agg(F.collect_list(F.struct("model_id", "weight")).alias("weights"))
-    known = skew.join_spread(features, weights, "feature", "doc_id", hot, rows_per_split)
-    weighed = known.select("doc_id", "n", F.explode("weights").alias("w"))
-    return weighed.groupBy("doc_id", F.col("w.model_id").alias("model_id")).agg(
-        F.sum(F.col("w.weight") * F.col("n")).alias("score")
-    )
+    rest = weights.join(first.select("feature"), "feature", "left_anti").drop("size")
+    known = skew.join_spread(features, rest, "feature", "doc_id", hot, rows_per_split)
+    moved = known.select("doc_id", *[(F.col("weights")[k] * F.col("n")).alias(f"s{k}") for k in places])
+    placed = counted.where(F.col("feature").isNull()).select("doc_id", *[f"s{k}" for k in places])
+    return placed.unionByName(moved).groupBy("doc_id").agg(scores)
 
 
 def _predicted(instances: DataFrame, scores: DataFrame, missing: float) -> DataFrame:
@@ -108,28 +131,38 @@ def _predicted(instances: DataFrame, scores: DataFrame, missing: float) -> DataF
     return found.withColumn("score", F.coalesce("score", F.lit(missing))).withColumn("predicted", label_of(F.col("score")))
 
 
-def apply_model(instances: DataFrame, model: DataFrame, rows_per_split: int = skew.ROWS_PER_SPLIT) -> DataFrame:
+def apply_model(
+    instances: DataFrame, model: DataFrame, rows_per_split: int = skew.ROWS_PER_SPLIT, texts: DataFrame | None = None
+) -> DataFrame:
     """``(doc_id, label, score, predicted)`` of every instance by a single model ``(feature, weight)``.
 
-    The label may be null: it is passed on, not used.
+    The label may be null: it is passed on, not used. ``texts`` are the same instances ``(doc_id, features)`` before their labels were
+    looked up, so that features need not be moved for that.
     """
     single = model.select(F.lit(0).alias("model_id"), "feature", "weight")
-    return _predicted(instances, model_scores(instances, single, rows_per_split).select("doc_id", "score"), 0.0)
+    scores = model_scores(instances if texts is None else texts, single, [0], rows_per_split)
+    return _predicted(instances, scores.select("doc_id", F.col("scores")[0].alias("score")), 0.0)
 
 
 def apply_ensemble(
-    instances: DataFrame, models: DataFrame, method: str = "average", rows_per_split: int = skew.ROWS_PER_SPLIT
+    instances: DataFrame,
+    models: DataFrame,
+    method: str = "average",
+    rows_per_split: int = skew.ROWS_PER_SPLIT,
+    texts: DataFrame | None = None,
 ) -> DataFrame:
-    """``(doc_id, label, score, predicted)`` of every instance by all models together.
+    """``(doc_id, label, score, predicted)`` of every instance by all models together; ``texts`` as in ``apply_model``.
 
     ``vote`` adds 1 for each model with a score above 0 and subtracts 1 for each other one;
     ``average`` is the mean of the scores. A model that knows none of an instance's features scores 0.
     """
     if method not in ENSEMBLE_METHODS:
         raise ValueError(f"method must be one of {ENSEMBLE_METHODS}")
-    count = models.agg(F.count_distinct("model_id")).first()[0]
-    per_model = model_scores(instances, models, rows_per_split).groupBy("doc_id")
+    ids = [r.model_id for r in models.select("model_id").distinct().orderBy("model_id").collect() if r.model_id is not None]
+    scores = model_scores(instances if texts is None else texts, models, ids, rows_per_split)
     if method == "vote":
-        in_favour = F.count(F.when(F.col("score") > 0, 1))
-        return _predicted(instances, per_model.agg((2 * in_favour - count).cast("double").alias("score")), float(-count))
-    return _predicted(instances, per_model.agg((F.sum("score") / count).alias("score")), 0.0)
+        in_favour = F.size(F.filter("scores", lambda s: s > 0))
+        votes = scores.select("doc_id", (2 * in_favour - len(ids)).cast("double").alias("score"))
+        return _predicted(instances, votes, float(-len(ids)))
+    total = F.aggregate("scores", F.lit(0.0), lambda a, s: a + s)
+    return _predicted(instances, scores.select("doc_id", (total / len(ids)).alias("score")), 0.0)

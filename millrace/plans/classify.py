@@ -34,10 +34,17 @@ def train_classifier(spark: SparkSession, directory: str, per_language: bool = F
     return learning.train_batch(training_set(spark, directory, per_language), **options)
 
 
+def document_features(spark: SparkSession, directory: str) -> DataFrame:
+    """``(doc_id, features)`` of all documents, whose texts are not moved to look up labels."""
+    return text_instances(documents(spark, directory))
+
+
 def apply_classifier(spark: SparkSession, directory: str, model: DataFrame) -> DataFrame:
     """The score of every document, labelled or not."""
-    return learning.apply_model(labelled_documents(spark, directory, "left"), model)
+    instances = labelled_documents(spark, directory, "left")
+    return learning.apply_model(instances, model, texts=document_features(spark, directory))
 
 
 def apply_ensemble(spark: SparkSession, directory: str, models: DataFrame, method: str = "average") -> DataFrame:
-    return learning.apply_ensemble(labelled_documents(spark, directory, "left"), models, method)
+    instances = labelled_documents(spark, directory, "left")
+    return learning.apply_ensemble(instances, models, method, texts=document_features(spark, directory))

@@ -162,3 +162,24 @@ def test_models_written_as_a_file_each(spark, tmp_path, rows):
     assert sorted(p.name[:10] for p in (tmp_path / "models").glob("part-*")) == ["part-00000", "part-00001", "part-00002"]
     named = {"a": "part-00000", "b": "part-00001", "c": "part-00002"}
     assert rows(read_text_models(spark, path)) == sorted((named[m], f, w) for m, f, w in weights)
+
+
+@pytest.mark.parametrize("few", [0, 1, 2, 100])
+def test_scores_do_not_depend_on_what_is_broadcast(labelled, models, monkeypatch, few):
+    monkeypatch.setattr(learning, "BROADCAST_FEATURES", few)
+    test_ensemble(labelled, models)
+    test_single_model(labelled, models)
+
+
+def test_known_features_are_not_moved(labelled, models):
+    """Each exchange of the scoring has a row per document and task, and no label is looked up for features."""
+    scores = learning.model_scores(labelled.select("doc_id", "features"), models, ["x", "y", "z"])
+    plan = scores._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert scores._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_ensemble_of_no_model(labelled, models):
+    none = models.where("false")
+    for method in learning.ENSEMBLE_METHODS:
+        assert [(r.score, r.predicted) for r in learning.apply_ensemble(labelled, none, method).collect()] == [(0.0, "ham")] * 5
