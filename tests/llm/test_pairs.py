@@ -114,6 +114,31 @@ def test_components(spark, edges):
     assert sorted(map(tuple, components(df).collect())) == sorted((x, find(x)) for x in parent)
 
 
+def test_components_of_few_edges_take_few_tasks(spark, monkeypatch):
+    """However many partitions shuffles have; and the same components where edges fill more tasks than run at once."""
+    edges = [(i, i + 1) for i in range(0, 60, 2)] + [(100, i) for i in range(60, 90)] + [(100, 60)] * 3
+    df = spark.createDataFrame(edges, "a long, b long")
+    want = [(i + k, i) for i in range(0, 60, 2) for k in (0, 1)] + [(i, 60) for i in [*range(60, 90), 100]]
+    context, group = spark.sparkContext, "components of few edges"
+    settings = {"spark.sql.shuffle.partitions": "80", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        context.setJobGroup(group, group)
+        assert sorted(map(tuple, components(df).collect())) == want
+        status = context.statusTracker()
+        ran = {s: status.getStageInfo(s) for j in status.getJobIdsForGroup(group) for s in status.getJobInfo(j).stageIds}
+        tasks = [info.numTasks for info in ran.values() if info and info.numCompletedTasks]
+        assert sum(n >= 80 for n in tasks) <= 1  # of all steps, only the last list of roots is not cut to a few tasks
+        monkeypatch.setattr("millrace.llm.components.EDGES_A_TASK", 5)
+        assert sorted(map(tuple, components(df).collect())) == want
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_words_of_earlier_documents_go(odd):
     got = substrings.substring_dedup(odd)
     assert [c for c in got.columns if c not in substrings.ADDED] == [c for c in odd.columns if c not in substrings.ADDED]
