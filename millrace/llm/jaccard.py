@@ -359,13 +359,16 @@ def _crowds(holders: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def _compare_all(table):
-    """Links that hold the components of a tile of documents together, by comparing all of them."""
+    """Links between the known components of a tile of documents, by comparing all of them.
+
+    A link is of the roots of two components, and a tile has fewer links than components, however many documents they have.
+    """
     import pyarrow as pa
 
-    uids = table.column("rep").to_numpy()
+    roots, firsts, known = np.unique(table.column("root").to_numpy(), return_index=True, return_inverse=True)
     lists = table.column("shingles").combine_chunks()
     sizes = np.diff(lists.offsets.to_numpy())
-    m = len(uids)
+    m = len(known)
     _, which, counts = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(m), sizes)
     common = counts[which] > 1
@@ -380,9 +383,9 @@ def _compare_all(table):
         held[owner[x:y], column[x:y] - first] = 1
         same += held @ held.T
     union = sizes[:, None] + sizes[None, :] - same
-    linked = THRESHOLD.denominator * same >= THRESHOLD.numerator * union
+    linked = (THRESHOLD.denominator * same >= THRESHOLD.numerator * union) | (known[:, None] == known)
     root = np.full(m, -1)
-    for i in range(m):
+    for i in firsts:  # so that tiles which join the same components name the same one, that of the smallest root
         if root[i] < 0:
             reached = np.zeros(m, dtype=bool)
             edge = np.array([i])
@@ -390,8 +393,9 @@ def _compare_all(table):
                 reached[edge] = True
                 edge = np.flatnonzero(linked[edge].any(axis=0) & ~reached)
             root[reached] = i
-    out = np.flatnonzero(root != np.arange(m))
-    return pa.table({"a": pa.array(uids[out], pa.int64()), "b": pa.array(uids[root[out]], pa.int64())})
+    joined = roots[known[root[firsts]]]
+    out = joined != roots
+    return pa.table({"a": pa.array(roots[out], pa.int64()), "b": pa.array(joined[out], pa.int64())})
 
 
 def _compare_crowds(crowds: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
@@ -412,13 +416,14 @@ def _compare_crowds(crowds: DataFrame, sets: DataFrame, scratch: Scratch) -> Dat
     tile = F.xxhash64("rep", F.lit(3))
     own = F.when(largest, few + F.pmod(tile, many)).otherwise(F.pmod(tile, few)).cast("int")
     dealt = placed.where(F.col("_rows") > F.col("top.n")).select(
-        "crowd", "rep", own.alias("_own"), F.explode(F.sequence(F.lit(0), F.when(largest, few).otherwise(few + many) - 1)).alias("_other")
+        "crowd", "rep", "root", own.alias("_own"), F.explode(F.sequence(F.lit(0), F.when(largest, few).otherwise(few + many) - 1)).alias("_other")
     )
     shingles = sets.withColumnRenamed("uid", "_uid")
     return (
         dealt.join(shingles, F.col("rep") == F.col("_uid"))
         .groupBy("crowd", F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"))
         .applyInArrow(tidy_group(_compare_all), "a long, b long")
+        .distinct()  # components that meet in many crowds or tiles are linked in each
     )
 
 
@@ -429,15 +434,19 @@ def _best(pairs: DataFrame) -> DataFrame:
     return best.select(F.greatest("end", "best.other").alias("a"), F.least("end", "best.other").alias("b")).distinct()
 
 
-def _rooted(holders: DataFrame, links: DataFrame) -> DataFrame:
+def _rooted(holders: DataFrame, roots: DataFrame) -> DataFrame:
     """Holders of the groups that still have several components, with their components."""
-    roots = components(links)
     placed = holders.drop("root").join(roots, F.col("rep") == F.col("id"), "left").withColumn("root", F.coalesce("root", "rep"))
     split = placed.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("holders"))
     split = split.where("low < high").select(F.col("g").alias("_g"), "holders")
     return placed.select("g", "rep", "weight", "root").join(split, F.col("g") == F.col("_g")).drop("_g")
 
 
+def _edges(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Edges with the components of ``roots`` and of ``links`` as well."""
+    return roots.where("id <> root").toDF("a", "b").union(links)
+
+
 class Joined:
     """The result of a join: rows by number, and the blocks they are in."""
 
@@ -487,22 +496,23 @@ def jaccard_join(docs: DataFrame) -> Joined:
     facts_of = members.where("uid = rep").join(spared.withColumnRenamed("uid", "_u"), F.col("uid") == F.col("_u"), "left")
     facts_of = scratch.stored(facts_of.select("uid", "n", F.coalesce("spared", F.lit(0)).alias("spared")), "jaccard-facts")
     nothing = docs.sparkSession.createDataFrame([], "a long, b long")
-    holders = scratch.stored(_rooted(_sharing_enough(scratch.stored(distinct, "jaccard-shared"), facts_of), nothing), "jaccard-holders")
+    holders = scratch.stored(_rooted(_sharing_enough(scratch.stored(distinct, "jaccard-shared"), facts_of), components(nothing)), "jaccard-holders")
     requests = holders.select("rep").distinct().groupBy(_block_of(F.col("rep")).alias("block")).agg(F.collect_list("rep").alias("uids"))
     sets = scratch.stored(blocks.table.join(requests, "block").mapInArrow(tidy(_wanted_sets), "uid long, shingles array<long>"), "jaccard-sets")
 
-    links = scratch.stored(_verified(_best(_neighbours(holders)), sets), "jaccard-links")
-    open_ = scratch.stored(_rooted(holders, links), "jaccard-open")
+    # Each list of components is made from the one before, a link for each document, and the links found since.
+    roots = components(scratch.stored(_verified(_best(_neighbours(holders)), sets), "jaccard-links"))
+    open_ = scratch.stored(_rooted(holders, roots), "jaccard-open")
     for turn in range(1, TURNS):
         large = open_.where(F.col("holders") > MANY_TILES * TILE_ROWS)
         if large.isEmpty():
             break
-        links = links.union(scratch.stored(_verified(_best(_neighbours(large, turn)), sets), "jaccard-links"))
-        open_ = scratch.stored(_rooted(open_, links), "jaccard-open")
+        roots = components(_edges(roots, scratch.stored(_verified(_best(_neighbours(large, turn)), sets), "jaccard-links")))
+        open_ = scratch.stored(_rooted(open_, roots), "jaccard-open")
     open_ = scratch.stored(_crowds(open_, scratch), "jaccard-crowds")
     tiled = scratch.stored(_compare_crowds(open_.where(F.col("crowd_size") >= CROWD), sets, scratch), "jaccard-tiled")
-    links = links.union(tiled)
-    open_ = scratch.stored(_rooted(open_.where(F.col("crowd_size") < CROWD), links), "jaccard-rest")
+    roots = components(_edges(roots, tiled))
+    open_ = scratch.stored(_rooted(open_.where(F.col("crowd_size") < CROWD), roots), "jaccard-rest")
 
     sized = open_.join(facts_of, F.col("rep") == F.col("uid")).drop("uid")
     other = sized.select(
@@ -520,7 +530,7 @@ def jaccard_join(docs: DataFrame) -> Joined:
         .select("a", "b")
     )
     more = scratch.stored(_verified(crossing, sets), "jaccard-more")
-    final = components(links.union(more))
+    final = components(_edges(roots, more))
     linked = members.join(final, F.col("rep") == F.col("id"), "left").select(
         "uid", F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "uid").alias("root")
     )

@@ -78,6 +78,19 @@ def test_large_groups_of_near_copies(spark, monkeypatch, turns):
     same(got, want)
 
 
+def test_a_tile_gives_links_between_known_components_only():
+    """One for each component that is joined to another: not one for each document, of which there may be many in many tiles."""
+    import pyarrow as pa
+
+    near = list(range(100, 140))
+    sets = [[i, *near] for i in range(30)] + [list(range(1000 * i, 1000 * i + 20)) for i in range(1, 4)] + [[4000, *range(3000, 3020)]]
+    roots = [7] * 20 + [27] * 9 + [29, 30, 30, 32, 33]
+    table = pa.table({"rep": list(range(34)), "root": roots, "shingles": pa.array(sets, pa.list_(pa.int64()))})
+    links = {tuple(sorted(r.values())) for r in jaccard._compare_all(table).to_pylist()}
+    assert len(links) == jaccard._compare_all(table).num_rows == 3
+    assert links == {(7, 27), (7, 29), (32, 33)}
+
+
 def test_similar_sets_share_more_signatures_than_can_be_spared():
     rng = np.random.default_rng(4)
     bands = jaccard.Bands(jaccard.THRESHOLD)
