@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 
 from millrace.llm import blocks as B
 from millrace.llm.common import Scratch, grams, hash_words, mix, small_batches, stored, text_words, tidy, tidy_group
-from millrace.llm.components import components
+from millrace.llm.components import components, with_links
 from millrace.operators.skew import hot_keys, join_spread
 
 SHINGLE = 5
@@ -442,11 +442,6 @@ def _rooted(holders: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.select("g", "rep", "weight", "root").join(split, F.col("g") == F.col("_g")).drop("_g")
 
 
-def _edges(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """Edges with the components of ``roots`` and of ``links`` as well."""
-    return roots.where("id <> root").toDF("a", "b").union(links)
-
-
 class Joined:
     """The result of a join: rows by number, and the blocks they are in."""
 
@@ -491,12 +486,12 @@ def jaccard_join(docs: DataFrame) -> Joined:
     held = small.select(F.xxhash64(F.lit(1), "uids").alias("g"), "weight", F.explode("uids").alias("uid")).union(
         hot.where("not spared").select(F.xxhash64(F.lit(2), "sig").alias("g"), F.lit(1).cast("long").alias("weight"), "uid")
     )
-    joined = held.join(copies, F.col("uid") == F.col("copy"), "left")
-    distinct = joined.groupBy("g", F.coalesce("rep", "uid").alias("rep")).agg(F.max("weight").alias("weight"))
+    placed = held.join(copies, F.col("uid") == F.col("copy"), "left")
+    distinct = placed.groupBy("g", F.coalesce("rep", "uid").alias("rep")).agg(F.max("weight").alias("weight"))
     facts_of = members.where("uid = rep").join(spared.withColumnRenamed("uid", "_u"), F.col("uid") == F.col("_u"), "left")
     facts_of = scratch.stored(facts_of.select("uid", "n", F.coalesce("spared", F.lit(0)).alias("spared")), "jaccard-facts")
-    nothing = docs.sparkSession.createDataFrame([], "a long, b long")
-    holders = scratch.stored(_rooted(_sharing_enough(scratch.stored(distinct, "jaccard-shared"), facts_of), components(nothing)), "jaccard-holders")
+    alone = docs.sparkSession.createDataFrame([], "id long, root long")
+    holders = scratch.stored(_rooted(_sharing_enough(scratch.stored(distinct, "jaccard-shared"), facts_of), alone), "jaccard-holders")
     requests = holders.select("rep").distinct().groupBy(_block_of(F.col("rep")).alias("block")).agg(F.collect_list("rep").alias("uids"))
     sets = scratch.stored(blocks.table.join(requests, "block").mapInArrow(tidy(_wanted_sets), "uid long, shingles array<long>"), "jaccard-sets")
 
@@ -507,11 +502,11 @@ def jaccard_join(docs: DataFrame) -> Joined:
         large = open_.where(F.col("holders") > MANY_TILES * TILE_ROWS)
         if large.isEmpty():
             break
-        roots = components(_edges(roots, scratch.stored(_verified(_best(_neighbours(large, turn)), sets), "jaccard-links")))
+        roots = with_links(roots, scratch.stored(_verified(_best(_neighbours(large, turn)), sets), "jaccard-links"))
         open_ = scratch.stored(_rooted(open_, roots), "jaccard-open")
     open_ = scratch.stored(_crowds(open_, scratch), "jaccard-crowds")
     tiled = scratch.stored(_compare_crowds(open_.where(F.col("crowd_size") >= CROWD), sets, scratch), "jaccard-tiled")
-    roots = components(_edges(roots, tiled))
+    roots = with_links(roots, tiled)
     open_ = scratch.stored(_rooted(open_.where(F.col("crowd_size") < CROWD), roots), "jaccard-rest")
 
     sized = open_.join(facts_of, F.col("rep") == F.col("uid")).drop("uid")
@@ -530,7 +525,7 @@ def jaccard_join(docs: DataFrame) -> Joined:
         .select("a", "b")
     )
     more = scratch.stored(_verified(crossing, sets), "jaccard-more")
-    final = components(_edges(roots, more))
+    final = with_links(roots, more)
     linked = members.join(final, F.col("rep") == F.col("id"), "left").select(
         "uid", F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "uid").alias("root")
     )
@@ -569,7 +564,7 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
 
     See ``jaccard_join`` for the treatment of nulls, short texts and repeated rows.
     """
-    joined = jaccard_join(docs)
-    kept = joined.rows.where("first").groupBy(_block_of(F.col("uid")).alias("block")).agg(F.collect_list("uid").alias("uids"))
+    found = jaccard_join(docs)
+    kept = found.rows.where("first").groupBy(_block_of(F.col("uid")).alias("block")).agg(F.collect_list("uid").alias("uids"))
     schema = docs.withColumns({"doc_id": docs["doc_id"].cast("long"), "text": docs["text"].cast("string")}).schema
-    return joined.blocks.table.join(kept, "block").mapInArrow(tidy(_take), schema)
+    return found.blocks.table.join(kept, "block").mapInArrow(tidy(_take), schema)

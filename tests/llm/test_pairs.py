@@ -7,7 +7,8 @@ import numpy as np
 import plain
 import pytest
 
-from millrace.llm import blocks, decontamination, jaccard, lm, substrings
+from millrace.llm import blocks, common, decontamination, jaccard, lm, substrings
+from millrace.llm import components as steps
 from millrace.llm.components import components
 
 
@@ -127,6 +128,30 @@ def test_components(spark, edges):
     assert sorted(map(tuple, components(df).collect())) == sorted((x, find(x)) for x in parent)
 
 
+def test_rounds_of_few_edges_are_planned_once(spark, monkeypatch):
+    """Those of many are planned again after each shuffle; both give the same components and leave the session as it was."""
+    df = spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long")
+    key, seen = "spark.sql.adaptive.enabled", []
+    stored, before = common.Scratch.stored, spark.conf.get(key)
+    monkeypatch.setattr(common.Scratch, "stored", lambda self, *a: (seen.append(spark.conf.get(key)), stored(self, *a))[1])
+    found = {}
+    for most in (9, 5):
+        seen.clear()
+        monkeypatch.setattr(steps, "EDGES_A_TASK", most)
+        found[most] = sorted(map(tuple, components(df).collect()))
+        assert set(seen[1:]) == {"false" if most == 9 else before}
+        assert spark.conf.get(key) == before
+    assert found[9] == found[5] == [(i, 0) for i in range(10)]
+
+
+def test_components_with_more_links(spark, monkeypatch):
+    roots = components(spark.createDataFrame([(1, 2), (4, 5), (7, 8)], "a long, b long"))
+    more = steps.with_links(roots, spark.createDataFrame([(5, 2), (9, 7), (3, 3)], "a long, b long"))
+    assert sorted(map(tuple, more.collect())) == [(1, 1), (2, 1), (4, 1), (5, 1), (7, 7), (8, 7), (9, 7)]
+    monkeypatch.setattr(steps, "components", None)  # not called without links
+    assert steps.with_links(roots, spark.createDataFrame([], "a long, b long")) is roots
+
+
 def test_components_of_few_edges_take_few_tasks(spark, monkeypatch):
     """However many partitions shuffles have; and the same components where edges fill more tasks than run at once."""
     edges = [(i, i + 1) for i in range(0, 60, 2)] + [(100, i) for i in range(60, 90)] + [(100, 60)] * 3
