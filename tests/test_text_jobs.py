@@ -69,6 +69,13 @@ def test_relative_frequency_stripes(lines, segments):
         assert rows_of["the"] > 1
 
 
+def test_stripes_get_their_totals_without_joins(lines, capsys):
+    """The pairs are counted once: shuffled by pair, by stripe, and the stripes by left word."""
+    counts.relative_frequency_stripes(lines, 3).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning") == 3 and "Join" not in plan
+
+
 def test_shares_of_a_left_word_add_up_to_one(lines):
     pairs = counts.relative_frequency_pairs(lines).where(F.col("right") != counts.MARGINAL)
     sums = pairs.groupBy("left").agg(F.sum("value").alias("s")).collect()
