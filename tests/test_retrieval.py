@@ -114,3 +114,33 @@ def test_postings_are_gathered_once_and_ids_summed_in_place(postings, rows):
     # The only window is that over the segments of long terms, and no posting is a row before the sums.
     assert plan.count("Window") == 1 and "Generate" not in plan and "collect_list" not in plan
     assert rows(decoded.select("doc_id").distinct()) == sorted({(d,) for _, d, _ in expected()})
+
+
+@pytest.mark.parametrize("whole, few", [(2, index.BROADCAST_TERMS), (2, 0), (1, 0)])
+def test_long_terms_are_coded_in_spans(postings, rows, monkeypatch, whole, few):
+    """A term's segments are in several tasks, and each span goes on from the one before."""
+    monkeypatch.setattr(index, "WHOLE_TERM", whole)
+    monkeypatch.setattr(index, "SPAN_SEGMENTS", 2)
+    monkeypatch.setattr(index, "BROADCAST_TERMS", few)
+    lists = index.posting_lists(postings, 1)
+    assert max(r[0] for r in lists.select(F.floor(F.col("segment") / 2)).collect()) > 1
+    encoded = index.gap_encode(lists)
+    parts = sorted((r for r in encoded.collect() if r.term == "a"), key=lambda r: r.segment)
+    ids = [d for t, d, _ in expected() if t == "a"]
+    assert [g.gap for part in parts for g in part.gaps] == [b - a for a, b in zip([0] + ids, ids)]
+    assert rows(index.gap_decode(encoded)) == expected()
+
+
+def test_lists_from_elsewhere_are_coded_alike(spark, postings, tmp_path, rows):
+    index.posting_lists(postings, 2).repartition(3, "segment").write.parquet(f"{tmp_path}/lists")
+    lists = spark.read.parquet(f"{tmp_path}/lists")
+    for placed in (True, False):
+        assert rows(index.gap_decode(index.gap_encode(lists, placed), placed)) == expected()
+
+
+def test_lists_are_not_moved_to_be_coded(postings):
+    encoded = index.gap_encode(index.posting_lists(postings, 1))
+    decoded = index.gap_decode(encoded)
+    for df in (encoded, decoded):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Window" in plan and plan.replace("BroadcastExchange", "").count("Exchange") == 0

@@ -1,3 +1,7 @@
+import time
+
+from pyspark.sql import functions as F
+
 from millrace import session
 
 
@@ -39,3 +43,22 @@ def test_bucketed_tables_join_without_moving(spark):
     left.release()
     right.release()
     assert not spark.catalog.tableExists(left.name)
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    """Only the rows that were written stay; files of shuffles do not add up over the steps of a job."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {name for name in blocks.getAllBlocks().mkString(" ").split() if name.startswith("shuffle_")}
+
+    before = shuffled()
+    counts = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    assert session.write_and_read(counts, str(tmp_path / "counts")).count() == 10
+    assert spark.conf.get(session.FREE_KEY) == "false"
+    for _ in range(100):
+        # The files go after the query, not with it. Those of the count above stay, and have one name each.
+        if len(left := {name for name in shuffled() - before if name.endswith(".data")}) <= 1:
+            break
+        time.sleep(0.1)
+    assert len(left) <= 1
